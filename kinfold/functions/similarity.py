@@ -6,27 +6,59 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Cells of one padded code-point matrix: bounds a task's memory whatever the text lengths.
+# Cells of one padded letter matrix: bounds a task's memory whatever the text lengths.
 _CELLS = 1 << 21
+# Texts up to this length are compared letter against letter over whole batches, longer ones text against letter.
+_SHORT = 96
 
 
-def _codes(words: np.ndarray, filler: int) -> np.ndarray:
-    """Words as a matrix of code points, padded with ``filler``."""
-    matrix = words.view(np.uint32).reshape(len(words), -1).copy()
-    matrix[matrix == 0] = filler
-    return matrix
+def _finish(a, b, used, hit, len_a, len_b) -> np.ndarray:
+    """Score from the match flags (Winkler 1990: prefix weight 0.1, at most 4 letters)."""
+    matched = hit.sum(axis=1)
+    # Both masks mark the same number of letters per row, so the flattened letters line up.
+    moved = np.bincount(np.nonzero(hit)[0][a[used] != b[hit]], minlength=len(a)) // 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        score = (matched / len_a + matched / len_b + (matched - moved) / matched) / 3.0
+    score[matched == 0] = 0.0
+    head = min(4, a.shape[1], b.shape[1])
+    prefix = np.cumprod(a[:, :head] == b[:, :head], axis=1).sum(axis=1)
+    return np.where(score > 0.7, score + prefix * 0.1 * (1.0 - score), score)
+
 
+def _reach(len_a: np.ndarray, len_b: np.ndarray) -> np.ndarray:
+    return np.maximum(np.maximum(len_a, len_b) // 2 - 1, 0)
 
-def _similarity(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Jaro-Winkler of aligned arrays of non-empty words (Winkler 1990: prefix weight 0.1, at most 4 letters)."""
-    rows = np.arange(len(left))
-    len_l, len_r = np.char.str_len(left), np.char.str_len(right)
-    reach = np.maximum(np.maximum(len_l, len_r) // 2 - 1, 0)
-    a, b = _codes(left, 0xFFFFFFFF), _codes(right, 0xFFFFFFFE)
+
+def _short(a, b, len_a, len_b) -> np.ndarray:
+    """Score of narrow letter matrices: each step handles one pair of places for the whole batch at once."""
+    reach = _reach(len_a, len_b).astype(np.int16)
+    at_a, at_b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    used = np.zeros(at_a.shape, dtype=bool)
+    hit = np.zeros(at_b.shape, dtype=bool)
+    widest = int(reach.max())
+    near = [reach >= d for d in range(widest + 1)]
+    for j in range(int(len_b.max())):
+        open_b = np.ones(len(a), dtype=bool)
+        for i in range(max(0, j - widest), min(at_a.shape[0], j + widest + 1)):
+            new = at_a[i] == at_b[j]
+            new &= near[abs(i - j)]
+            new &= open_b
+            new &= ~used[i]
+            used[i] |= new
+            open_b ^= new
+        hit[j] = ~open_b
+    return _finish(a, b, used.T, hit.T, len_a, len_b)
+
+
+def _unbounded(a, b, len_a, len_b) -> np.ndarray:
+    """Score of letter matrices of any width."""
+    rows = np.arange(len(a))
+    reach = _reach(len_a, len_b)
     used = np.zeros(a.shape, dtype=bool)
     hit = np.zeros(b.shape, dtype=bool)
     widest = int(reach.max())
@@ -41,43 +73,60 @@ def _similarity(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         found = free[rows, first]
         used[rows[found], first[found] + low] = True
         hit[found, j] = True
-    matched = hit.sum(axis=1)
-    # Both masks mark the same number of letters per row, so the flattened letters line up.
-    moved = np.bincount(np.nonzero(hit)[0][a[used] != b[hit]], minlength=len(left)) // 2
-    with np.errstate(divide="ignore", invalid="ignore"):
-        score = (matched / len_l + matched / len_r + (matched - moved) / matched) / 3.0
-    score[matched == 0] = 0.0
-    head = min(4, a.shape[1], b.shape[1])
-    prefix = np.cumprod(a[:, :head] == b[:, :head], axis=1).sum(axis=1)
-    return np.where(score > 0.7, score + prefix * 0.1 * (1.0 - score), score)
+    return _finish(a, b, used, hit, len_a, len_b)
+
+
+def _letters(texts: pa.Array, width: int, filler: int) -> np.ndarray:
+    """ASCII texts as a matrix of letters, straight from the Arrow buffers."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2], np.uint8)
+    column = np.arange(width)
+    matrix = np.take(data, offsets[:-1, None] + column, mode="clip")
+    matrix[column >= np.diff(offsets)[:, None]] = filler
+    return matrix
+
+
+def _code_points(texts: pa.Array, filler: int) -> np.ndarray:
+    words = texts.to_numpy(zero_copy_only=False).astype(np.str_)
+    matrix = words.view(np.uint32).reshape(len(words), -1).copy()
+    matrix[matrix == 0] = filler
+    return matrix
 
 
-def jaro_winkler_arrays(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Jaro-Winkler of aligned object arrays; null on either side gives nan, '' on one side 0."""
-    out = np.full(len(left), np.nan)
-    known = np.array([x is not None and y is not None for x, y in zip(left, right)], dtype=bool)
-    out[known] = [1.0 if x == y and x else 0.0 for x, y in zip(left[known], right[known])]
-    todo = np.nonzero(known & (out == 0.0) & (left != "") & (right != ""))[0]
-    if not len(todo):
-        return out
-    size = np.array([max(len(left[i]), len(right[i])) for i in todo])
+def jaro_winkler_arrow(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Jaro-Winkler of aligned string arrays; a null side gives nan, an empty one 0."""
+    left, right = left.cast(pa.string()), right.cast(pa.string())
+    equal = pc.equal(left, right)
+    out = np.where(pc.fill_null(equal, False).to_numpy(zero_copy_only=False), 1.0, 0.0)
+    out[equal.is_null().to_numpy(zero_copy_only=False)] = np.nan
+    len_l, len_r = (pc.fill_null(pc.utf8_length(x), 0).to_numpy(zero_copy_only=False) for x in (left, right))
+    empty = (len_l == 0) | (len_r == 0)
+    out[(out == 1.0) & empty] = 0.0
+    todo = np.nonzero((out == 0.0) & ~empty)[0]
+    size = np.maximum(len_l, len_r)[todo]
     order = np.argsort(size, kind="stable")
     todo, size = todo[order], size[order]
+    plain = pc.and_(pc.string_is_ascii(left), pc.string_is_ascii(right)).to_numpy(zero_copy_only=False)
     start = 0
     while start < len(todo):
         # Sizes ascend: take as many rows as fit at the width of the last one.
-        fit = (np.arange(1, len(todo) - start + 1) * size[start:]) <= _CELLS
-        stop = start + max(1, int(fit.sum()))
-        pick = todo[start:stop]
-        out[pick] = _similarity(left[pick].astype(np.str_), right[pick].astype(np.str_))
-        start = stop
+        fit = np.arange(1, len(todo) - start + 1) * size[start:] <= _CELLS
+        pick = todo[start : start + max(1, int(fit.sum()))]
+        start += len(pick)
+        x, y = left.take(pa.array(pick)), right.take(pa.array(pick))
+        lengths = len_l[pick], len_r[pick]
+        widest = int(np.maximum(*lengths).max())
+        if plain[pick].all():
+            a, b = _letters(x, widest, 0), _letters(y, widest, 255)
+        else:
+            a, b = _code_points(x, 0xFFFFFFFF), _code_points(y, 0xFFFFFFFE)
+        out[pick] = (_short if widest <= _SHORT else _unbounded)(a, b, *lengths)
     return out
 
 
 @F.arrow_udf(T.DoubleType())
 def _jaro_winkler(left: pa.Array, right: pa.Array) -> pa.Array:
-    score = jaro_winkler_arrays(left.to_numpy(zero_copy_only=False), right.to_numpy(zero_copy_only=False))
-    return pa.array(score, from_pandas=True)
+    return pa.array(jaro_winkler_arrow(left, right), from_pandas=True)
 
 
 def jaro_winkler(left: Column, right: Column) -> Column:

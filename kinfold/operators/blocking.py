@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from kinfold.settings import LinkSettings
 
 # Rows of one block that meet in one join group; larger blocks are laid out as tiles of this size.
-TILE_ROWS = 4096
+TILE_ROWS = 2048
 # Blocks above TILE_ROWS are listed for the join; up to this many the list is broadcast, beyond it is shuffled.
 BROADCAST_BLOCKS = 20_000
+# Pairs one task should form; adaptive execution sees only the small join input, not the pairs it turns into.
+PAIRS_PER_TASK = 500_000
+MOST_TASKS = 20_000
 # New records of one batch that may be broadcast (their count is known to the caller).
 BROADCAST_NEW = 100_000
 
@@ -111,6 +114,11 @@ def _found_by(number: int, rules: tuple[tuple[str, ...], ...]) -> Column:
     return (F.col("l.rule") == number) & reduce(lambda a, b: a & b, earlier, own)
 
 
+def _spread(keyed: DataFrame, tasks: int, keys: list[str]) -> DataFrame:
+    """Fix the number of join tasks where there are pairs enough for several."""
+    return keyed if tasks < 2 else keyed.repartition(max(tasks, keyed.sparkSession.sparkContext.defaultParallelism), *keys)
+
+
 def _meet(left: DataFrame, right: DataFrame, keys: list[str], rules, extra: Column) -> DataFrame:
     same = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
     # The hash is only the join key: the rule columns themselves are compared again here.
@@ -156,8 +164,10 @@ def self_pairs(
         guard_max_pairs(stats.pairs, max_pairs)
     rows, shown = _needed(df, settings, carry)
     keyed = with_block_keys(rows, rules)
+    tasks = min(-(-stats.pairs // PAIRS_PER_TASK), MOST_TASKS)
     ordered = F.col(f"l.{ident}") < F.col(f"r.{ident}")
     if not stats.oversized:
+        keyed = _spread(keyed, tasks, ["rule", "block"])
         return _meet(keyed, keyed, ["rule", "block"], rules, ordered).select(*_sides(shown), F.col("l.rule").alias("rule"))
 
     sized = keyed.join(_oversized(df, rules, tile_rows, stats), ["rule", "block"], "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
@@ -166,7 +176,8 @@ def self_pairs(
     right = sized.withColumn("col_tile", own).withColumn("row_tile", F.explode(F.sequence(F.lit(0), "col_tile")))
     # On the diagonal a pair would meet twice; off it, the sides meet once in whichever order the tiles have.
     once = (F.col("l.row_tile") < F.col("l.col_tile")) | ordered
-    met = _meet(left, right, ["rule", "block", "row_tile", "col_tile"], rules, once)
+    keys = ["rule", "block", "row_tile", "col_tile"]
+    met = _meet(_spread(left, tasks, keys), _spread(right, tasks, keys), keys, rules, once)
     return met.select(*_sides(shown, F.col(f"l.{ident}") > F.col(f"r.{ident}")), F.col("l.rule").alias("rule"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _RANGE = 1 << 52
+_PAIRS_PER_TASK = 100_000
 
 
 def seeded_number(ident: Column, seed: int) -> Column:
@@ -73,8 +74,12 @@ def random_pairs(df: DataFrame, ident: str, carry: list[str], max_pairs: int, se
     number = seeded_number(F.col(ident), seed)
     tiles = 6 if slots < 64 else 1
     placed = df.select(ident, *carry, (number % slots).alias("slot"), F.pmod(F.xxhash64(ident), F.lit(tiles)).cast("int").alias("own"))
-    left = placed.withColumns({"a": F.col("own"), "b": F.explode(F.sequence("own", F.lit(tiles - 1)))}).alias("l")
-    right = placed.withColumns({"b": F.col("own"), "a": F.explode(F.sequence(F.lit(0), "own"))}).alias("r")
+    # A fixed number of tasks: the input looks too small to adaptive execution for the pairs it turns into.
+    pairs = min(max_pairs, rows * (rows - 1) // 2)
+    tasks = max(1, pairs // _PAIRS_PER_TASK, min(slots * tiles, df.sparkSession.sparkContext.defaultParallelism))
+    left = placed.withColumns({"a": F.col("own"), "b": F.explode(F.sequence("own", F.lit(tiles - 1)))})
+    right = placed.withColumns({"b": F.col("own"), "a": F.explode(F.sequence(F.lit(0), "own"))})
+    left, right = left.repartition(tasks, "slot", "a", "b").alias("l"), right.repartition(tasks, "slot", "a", "b").alias("r")
     same = (F.col("l.slot") == F.col("r.slot")) & (F.col("l.a") == F.col("r.a")) & (F.col("l.b") == F.col("r.b"))
     once = (F.col("l.a") < F.col("l.b")) | (F.col(f"l.{ident}") < F.col(f"r.{ident}"))
     swap = F.col(f"l.{ident}") > F.col(f"r.{ident}")

@@ -29,13 +29,12 @@ def _tf_weight(model: LinkModel, c: Comparison) -> Column:
 
 
 def level_weight(model: LinkModel, c: Comparison) -> Column:
+    """Weight of a pair's level, looked up by its number so that the level is computed once."""
     gamma = F.col(f"gamma_{c.column}")
-    weight = F.when(gamma == -1, 0.0)
-    for level in range(c.top + 1):
-        value = F.lit(model.weight(c.column, level))
-        if level == c.top and c.term_frequency:
-            value = value + _tf_weight(model, c)
-        weight = weight.when(gamma == level, value)
+    weights = F.array(*[F.lit(model.weight(c.column, level)) for level in range(-1, c.top + 1)])
+    weight = F.element_at(weights, gamma + 2)
+    if c.term_frequency:
+        weight = weight + F.when(gamma == c.top, _tf_weight(model, c)).otherwise(F.lit(0.0))
     return weight
 
 
@@ -45,9 +44,12 @@ def _best_weight(model: LinkModel, c: Comparison) -> Column:
     exact = F.lit(model.weight(c.column, c.top))
     if c.term_frequency:
         exact = exact + _tf_weight(model, c)
-    fuzzy = F.lit(model.weight(c.column, 0))
+    # Lengths that rule out a similarity rule out every higher one too.
+    best = model.weight(c.column, 0)
+    fuzzy = F.lit(best)
     for level in range(1, c.top):
-        fuzzy = F.greatest(fuzzy, F.when(reachable(c, level), model.weight(c.column, level)).otherwise(F.lit(-math.inf)))
+        best = max(best, model.weight(c.column, level))
+        fuzzy = F.when(reachable(c, level), best).otherwise(fuzzy)
     return F.when(left.isNull() | right.isNull(), 0.0).when(left == right, exact).otherwise(fuzzy)
 
 
@@ -73,14 +75,16 @@ def score_pairs(
     scored = with_cheap_gammas(pairs, settings)
     if min_weight is not None and min_weight != -math.inf:
         best = [_best_weight(model, c) if c.kind == TEXT else level_weight(model, c) for c in settings.comparisons]
+        # The metric also keeps the bound where it is: pushed down, its long expression costs seconds of planning.
+        scored = scored.withColumn("_best", _total(model, best)).observe("candidate_pairs", F.count(F.lit(1)).alias("pairs"))
         # A hair below, so that the order of additions never decides.
-        scored = scored.filter(_total(model, best) >= min_weight - 1e-6)
+        scored = scored.filter(F.col("_best") >= min_weight - 1e-6).drop("_best")
     scored = with_text_gammas(scored, settings)
     weight = _total(model, [level_weight(model, c) for c in settings.comparisons])
     scored = scored.withColumn("match_weight", weight)
     scored = scored.withColumn("match_probability", F.lit(1.0) / (F.lit(1.0) + F.pow(F.lit(2.0), -F.col("match_weight"))))
     if min_weight is not None:
-        scored = scored.filter(F.col("match_weight") >= min_weight)
+        scored = scored.observe("compared_pairs", F.count(F.lit(1)).alias("pairs")).filter(F.col("match_weight") >= min_weight)
     return scored if keep is None else scored.select(*keep, "match_weight", "match_probability")
 
 

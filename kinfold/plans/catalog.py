@@ -62,6 +62,8 @@ RULES = DEFAULT_SETTINGS.rules
 SAMPLE_ROWS = 100_000
 U_PAIRS = 5_000_000
 SITES = "001, 002"
+# Record ids lead with the site: the sites from this one on register later than the others.
+NEW_FROM = "015"
 
 # The caller's own source query, with both placeholders.
 CUSTOM_QUERY = """
@@ -83,7 +85,8 @@ def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _compared(spark: SparkSession, folder: str) -> DataFrame:
-    return _cleaned(spark, folder).select("record_id", *DEFAULT_SETTINGS.columns)
+    """The staged columns that linkage reads, as a stored table like any staging table."""
+    return materialize(_cleaned(spark, folder).select("record_id", *DEFAULT_SETTINGS.columns))
 
 
 def _folder(spark: SparkSession) -> str:
@@ -262,8 +265,7 @@ def pair_estimate(spark, folder):
 
 def new_vs_all_pairs(spark, folder):
     everything = _compared(spark, folder)
-    held = cases(spark, folder).select("record_id").distinct()
-    new = everything.join(held, "record_id", "left_anti")
+    new = everything.filter(F.col("record_id") >= NEW_FROM)
     return blocking.new_vs_all(new, everything, DEFAULT_SETTINGS, carry=[]).select(
         F.col("record_id_l").alias("new_id"), F.col("record_id_r").alias("candidate_id"), "rule"
     )
@@ -363,11 +365,12 @@ def em_trained(spark, folder):
 
 
 def _edges(spark, folder):
-    return scoring.matches(_scored(spark, folder), FROZEN, keep=[F.col("record_id_l").alias("src"), F.col("record_id_r").alias("dst")])
+    found = scoring.matches(_scored(spark, folder), FROZEN, keep=[F.col("record_id_l").alias("src"), F.col("record_id_r").alias("dst")])
+    return materialize(found.select("src", "dst"))
 
 
 def connected_components(spark, folder):
-    return components.connected_components(_edges(spark, folder).select("src", "dst"))
+    return components.connected_components(_edges(spark, folder))
 
 
 def order_components(spark, folder):
@@ -390,11 +393,10 @@ def resolve_entities(spark, folder):
 
 
 def resolve_batch(spark, folder):
-    """New records without a case against records that already have numbers."""
+    """New records, those of the later sites, against records that already have numbers."""
     people = _compared(spark, folder)
-    held = cases(spark, folder).select("record_id").distinct()
-    known = _first_numbers(people).join(held, "record_id", "left_semi")
-    batch = people.join(held, "record_id", "left_anti").select("record_id")
+    known = _first_numbers(people).filter(F.col("record_id") < NEW_FROM)
+    batch = people.filter(F.col("record_id") >= NEW_FROM).select("record_id")
     edges = _edges(spark, folder)
     both = edges.select(F.col("src").alias("new_id"), F.col("dst").alias("candidate_id"))
     both = both.union(edges.select(F.col("dst").alias("new_id"), F.col("src").alias("candidate_id"))).join(batch.select(F.col("record_id").alias("new_id")), "new_id", "left_semi")

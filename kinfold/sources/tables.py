@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from kinfold import schema
 
@@ -29,7 +28,7 @@ def mark_processed(staging: DataFrame, batch: DataFrame, at: Column) -> DataFram
     """Set ``processed_at`` on the rows whose id is in ``batch``."""
     done = batch.select("record_id").distinct().withColumn("_done", F.lit(True))
     joined = staging.join(done, "record_id", "left")
-    return joined.withColumn("processed_at", F.when("_done", at).otherwise(F.col("processed_at"))).select(*staging.columns)
+    return joined.withColumn("processed_at", F.when(F.col("_done"), at).otherwise(F.col("processed_at"))).select(*staging.columns)
 
 
 _COMMIT = "version long, batch_id string, at timestamp, parts array<struct<name:string,path:string,full:boolean>>"
@@ -46,14 +45,11 @@ class EntityStore:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        # An empty log to begin with; nothing happens where there is one.
+        spark.createDataFrame([], _COMMIT).write.mode("ignore").json(f"{self.root}/commits")
 
     def commits(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error.getCondition()):
-                raise
-            return self.spark.createDataFrame([], _COMMIT)
+        return self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
 
     def _log(self) -> list:
         # One row per commit: the log is metadata, not data.
