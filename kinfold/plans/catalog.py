@@ -374,8 +374,8 @@ def connected_components(spark, folder):
 
 
 def order_components(spark, folder):
-    """Components of customers and parts linked by orders of at most 2 pieces: long chains and hot nodes."""
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet").filter("l_quantity <= 2").select("l_orderkey", "l_partkey")
+    """Components of the graph of orders and the parts they hold: few, large, with hot nodes."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
     edges = lines.select(F.concat(F.lit("o"), F.col("l_orderkey")).alias("src"), F.concat(F.lit("p"), F.col("l_partkey")).alias("dst"))
     found = components.connected_components(edges)
     return found.groupBy("component").agg(F.count(F.lit(1)).alias("nodes"))
@@ -459,11 +459,12 @@ def run_statistics(spark, folder):
 
 def stream_stage_and_link(spark, folder):
     source, root = _folder(spark), _folder(spark)
-    staging.extract_increment(persons(spark, folder)).repartition(2).write.parquet(source)
+    staging.extract_increment(persons(spark, folder)).write.parquet(source)
     store = tables.EntityStore(spark, root)
     handler = incremental.stage_and_link(store, FROZEN)
-    incremental.start(incremental.source_stream(spark, source, files_per_batch=1), handler, f"{root}/checkpoint").awaitTermination()
-    return linkage.mapping(store.read("staging"), store.read("clusters")).groupBy("cif_number").agg(F.count(F.lit(1)).alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("entities"))
+    incremental.start(incremental.source_stream(spark, source), handler, f"{root}/checkpoint").awaitTermination()
+    sizes = store.read("clusters").groupBy("cif_number").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.groupBy("n").agg(F.count(F.lit(1)).alias("entities"))
 
 
 # --- identity numbers and evaluation
