@@ -21,7 +21,8 @@ def _finish(a, b, used, hit, len_a, len_b) -> np.ndarray:
     """Score from the match flags (Winkler 1990: prefix weight 0.1, at most 4 letters)."""
     matched = hit.sum(axis=1)
     # Both masks mark the same number of letters per row, so the flattened letters line up.
-    moved = np.bincount(np.nonzero(hit)[0][a[used] != b[hit]], minlength=len(a)) // 2
+    rows = np.repeat(np.arange(len(a)), matched)
+    moved = np.bincount(rows[a[used] != b[hit]], minlength=len(a)) // 2
     with np.errstate(divide="ignore", invalid="ignore"):
         score = (matched / len_a + matched / len_b + (matched - moved) / matched) / 3.0
     score[matched == 0] = 0.0
@@ -52,7 +53,7 @@ def _short(a, b, len_a, len_b) -> np.ndarray:
             used[i] |= new
             open_b ^= new
         hit[j] = ~open_b
-    return _finish(a, b, used.T, hit.T, len_a, len_b)
+    return _finish(a, b, np.ascontiguousarray(used.T), np.ascontiguousarray(hit.T), len_a, len_b)
 
 
 def _unbounded(a, b, len_a, len_b) -> np.ndarray:
@@ -80,9 +81,9 @@ def _letters(texts: pa.Array, width: int, filler: int) -> np.ndarray:
     """ASCII texts as a matrix of letters, straight from the Arrow buffers."""
     offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2], np.uint8)
-    column = np.arange(width)
-    matrix = np.take(data, offsets[:-1, None] + column, mode="clip")
-    matrix[column >= np.diff(offsets)[:, None]] = filler
+    matrix = np.full((len(texts), width), filler, dtype=np.uint8)
+    # Letters lie row after row in the buffer, which is the order in which a mask is filled.
+    matrix[np.arange(width) < np.diff(offsets)[:, None]] = data[offsets[0] : offsets[-1]]
     return matrix
 
 

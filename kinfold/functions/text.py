@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable, Iterable
 from functools import lru_cache, reduce
 
 from pyspark.sql import Column
@@ -70,28 +71,60 @@ def _ascii_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     return "".join(single), "".join(single.values()), tuple(several.items())
 
 
+def _any_of(patterns: Iterable[str]) -> str:
+    """One pattern for several that all start at a word boundary; the boundary is tested once per place."""
+    return r"\b(?:" + "|".join(p.removeprefix(r"\b") for p in patterns) + ")"
+
+
+def _once(text: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(text)`` with ``text`` computed once however often ``use`` names it."""
+    return F.get(F.transform(F.array(text), use), F.lit(0))
+
+
+def _where(text: Column, pattern: str, change: Callable[[Column], Column]) -> Column:
+    """``change`` applied where the text holds the pattern: most texts then pass with a single scan."""
+    return _once(text, lambda t: F.when(t.rlike(pattern), change(t)).otherwise(t))
+
+
+def _unless_ascii(text: Column, change: Callable[[Column], Column]) -> Column:
+    return _once(text, lambda t: F.when(F.octet_length(t) == F.char_length(t), t).otherwise(change(t)))
+
+
+def _spell(text: Column, pairs: list[tuple[str, str]]) -> Column:
+    return reduce(lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), pairs, text)
+
+
 def transliterate(text: Column) -> Column:
     """Latin text to ASCII. Combining marks go; characters of other scripts are left alone."""
     letters, plain, several = _ascii_tables()
+    common = [pair for pair in several if pair[0] in UNDECOMPOSED]
+    rare = [pair for pair in several if pair not in common]
     # translate() deletes the trailing letters that have no counterpart: the combining marks.
-    out = F.translate(text, letters + _COMBINING, plain)
-    wide = "[" + "".join(c for c, _ in several) + "]"
-    spelled = reduce(lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), several, out)
-    return F.when(text.rlike(wide), spelled).otherwise(out)
+    out = _unless_ascii(text, lambda t: F.translate(t, letters + _COMBINING, plain))
+    return _unless_ascii(_unless_ascii(out, lambda t: _spell(t, common)), lambda t: _spell(t, rare))
+
+
+def _untitled(text: Column) -> Column:
+    """Without titles, in as few passes as keep the result of one pass per pattern.
+
+    Words with a final dot and whole words cannot form one another, but deleting them can form one of the dotted
+    degrees, and these in turn run before the last two.
+    """
+    groups = (TITLES[:8], TITLES[8:11], TITLES[11:])
+    return reduce(lambda acc, group: F.regexp_replace(acc, _any_of(group), ""), groups, text)
+
+
+def _spelled_out(text: Column) -> Column:
+    return reduce(lambda acc, pair: F.regexp_replace(acc, *pair), ABBREVIATIONS, text)
 
 
 def clean_text(text: Column) -> Column:
     """Lowercase ASCII words without titles and with abbreviations spelled out.
 
-    Null and '' give null; text made only of blanks or titles gives ''. The title patterns run in as few passes
-    as keep the result of one pass each: words with a final dot and whole words cannot form one another, but
-    deleting them can form one of the dotted degrees, and these in turn run before the last two.
+    Null and '' give null; text made only of blanks or titles gives ''.
     """
-    out = transliterate(F.lower(text))
-    for group in (TITLES[:8], TITLES[8:11], TITLES[11:]):
-        out = F.regexp_replace(out, "|".join(group), "")
-    for pattern, word in ABBREVIATIONS:
-        out = F.regexp_replace(out, pattern, word)
+    out = _where(transliterate(F.lower(text)), _any_of(TITLES), _untitled)
+    out = _where(out, _any_of(p for p, _ in ABBREVIATIONS), _spelled_out)
     # Anything but letters and digits, blanks included, ends up as one space.
     out = F.trim(F.regexp_replace(out, "[^a-z0-9]+", " "))
     return F.when(text != "", out)
