@@ -103,15 +103,21 @@ def _tile(ident: str, tiles: Column) -> Column:
     return F.pmod(F.xxhash64(F.col(ident), F.lit(7)), tiles).cast("int")
 
 
-def _found_by(number: int, rules: tuple[tuple[str, ...], ...]) -> Column:
-    """Rule ``number`` holds for the joined rows and no earlier one does (nulls never hold)."""
+def _holds(rule: tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"l.{c}") == F.col(f"r.{c}") for c in rule])
 
-    def holds(rule):
-        return reduce(lambda a, b: a & b, [F.col(f"l.{c}") == F.col(f"r.{c}") for c in rule])
 
-    own = holds(rules[number - 1])
-    earlier = [~F.coalesce(holds(rule), F.lit(False)) for rule in rules[: number - 1]]
-    return (F.col("l.rule") == number) & reduce(lambda a, b: a & b, earlier, own)
+def _first_found(rules: tuple[tuple[str, ...], ...]) -> Column:
+    """The rule of the joined rows holds and no earlier one does (nulls never hold).
+
+    As one conditional it concerns both sides only together. Nothing of it is pushed into one of them, so the sides
+    of a self join stay alike and share a single shuffle.
+    """
+    found = F.when(F.lit(False), F.lit(False))
+    for number, rule in enumerate(rules, 1):
+        earlier = [~F.coalesce(_holds(r), F.lit(False)) for r in rules[: number - 1]]
+        found = found.when(F.col("l.rule") == number, reduce(lambda a, b: a & b, earlier, _holds(rule)))
+    return found
 
 
 def _spread(keyed: DataFrame, tasks: int, keys: list[str]) -> DataFrame:
@@ -122,8 +128,7 @@ def _spread(keyed: DataFrame, tasks: int, keys: list[str]) -> DataFrame:
 def _meet(left: DataFrame, right: DataFrame, keys: list[str], rules, extra: Column) -> DataFrame:
     same = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
     # The hash is only the join key: the rule columns themselves are compared again here.
-    found = reduce(lambda a, b: a | b, [_found_by(i, rules) for i in range(1, len(rules) + 1)])
-    return left.alias("l").join(right.alias("r"), reduce(lambda a, b: a & b, [*same, found, extra]))
+    return left.alias("l").join(right.alias("r"), reduce(lambda a, b: a & b, [*same, _first_found(rules), extra]))
 
 
 def _sides(columns: list[str], swapped: Column | None = None) -> list[Column]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kinfold import schema
 from kinfold.functions.identity import mint_cif
-from kinfold.operators.blocking import guard_max_pairs, keyed_new_vs_all, profile_pairs, with_block_keys
+from kinfold.operators.blocking import BROADCAST_NEW, guard_max_pairs, keyed_new_vs_all, profile_pairs, with_block_keys
 from kinfold.operators.entities import changed_by_merges, cif_cluster_id, entity_graph, entity_numbers, merges
 from kinfold.operators.frequency import tf_columns, tf_tables, with_tf
 from kinfold.operators.model import LinkModel
@@ -19,7 +19,7 @@ from kinfold.operators.sampling import first_n
 from kinfold.operators.scoring import matches
 from kinfold.operators.skew import attach
 from kinfold.session import materialize
-from kinfold.sources.tables import EntityStore, unprocessed
+from kinfold.sources.tables import EntityStore, unprocessed_ids
 
 _ID = "record_id"
 
@@ -101,7 +101,7 @@ def link_batch(
     threshold: float = 0.9,
     match_weight_threshold: float = -4.0,
     max_pairs: int | None = 3_000_000,
-    broadcast_rows: int = 100_000,
+    broadcast_rows: int = BROADCAST_NEW,
 ) -> BatchLinks:
     """Match new records against all records and settle their entity numbers.
 
@@ -191,20 +191,28 @@ def run(
     match_weight_threshold: float = -4.0,
     compact_every: int = 20,
 ) -> list[BatchReport]:
-    """Link everything that is staged and not linked yet, in batches of ``batch_size`` up to ``limit`` records."""
+    """Link everything that is staged and not linked yet, in batches of ``batch_size`` up to ``limit`` records.
+
+    What is pending is settled once, as a table of ids in id order; each batch then takes the next ids from it and
+    fetches only their rows.
+    """
     staging = materialize(store.read("staging"))
     frequencies = {c: materialize(t) for c, t in tf_tables(staging, model.settings).items()}
+    waiting = unprocessed_ids(staging, store.read("clusters"))
+    pending = materialize(waiting.repartitionByRange(_ID).sortWithinPartitions(_ID))
     reports: list[BatchReport] = []
     done = 0
     while limit is None or done < limit:
         size = batch_size if limit is None else min(batch_size, limit - done)
-        clusters = store.read("clusters")
-        batch = materialize(first_n(unprocessed(staging, clusters), _ID, size))
-        if batch.isEmpty():
+        ids = materialize(first_n(pending, _ID, size))
+        last = ids.agg(F.max(_ID)).first()[0]
+        if last is None:
             break
-        links = link_batch(batch, staging, clusters, model, frequencies, threshold, match_weight_threshold, max_pairs_per_batch)
+        batch = staging.join(F.broadcast(ids) if size <= BROADCAST_NEW else ids, _ID, "left_semi")
+        links = link_batch(batch, staging, store.read("clusters"), model, frequencies, threshold, match_weight_threshold, max_pairs_per_batch)
         reports.append(commit_batch(store, f"run-{uuid.uuid4().hex}", links))
         done += links.records
+        pending = pending.filter(F.col(_ID) > last)
         if len(reports) % compact_every == 0:
             store.compact()
     return reports

@@ -97,13 +97,18 @@ class EntityStore:
             self.commit(f"compact-{name}-{uuid.uuid4().hex}", full=True, **{name: self.read(name)})
 
 
-def unprocessed(staging: DataFrame, clusters: DataFrame) -> DataFrame:
-    """Staged records not linked since they were last extracted.
+def unprocessed_ids(staging: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Ids of the staged records not linked since they were last extracted.
 
     Follows from the entity table, so no batch has to rewrite staging; a record that is extracted again is pending
-    again.
+    again. Only ids and times are joined.
     """
     done = clusters.select("record_id", F.col("processed_at").alias("_linked_at"))
     late = F.col("_linked_at").isNull() | (F.col("_linked_at") < F.col("extracted_at"))
-    return staging.join(done, "record_id", "left").filter(late & F.col("processed_at").isNull()).drop("_linked_at")
+    waiting = staging.filter(F.col("processed_at").isNull()).select("record_id", "extracted_at")
+    return waiting.join(done, "record_id", "left").filter(late).select("record_id")
+
 
+def unprocessed(staging: DataFrame, clusters: DataFrame) -> DataFrame:
+    """The staged records that :func:`unprocessed_ids` names."""
+    return staging.join(unprocessed_ids(staging, clusters), "record_id", "left_semi")

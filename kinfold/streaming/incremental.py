@@ -13,7 +13,7 @@ from kinfold.operators.model import LinkModel
 from kinfold.plans.linkage import BatchReport, commit_batch, link_batch
 from kinfold.plans.staging import to_staging
 from kinfold.session import materialize
-from kinfold.sources.tables import EntityStore, unprocessed
+from kinfold.sources.tables import EntityStore, unprocessed_ids
 
 
 def source_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -43,9 +43,10 @@ def stage_and_link(
         if store.committed(name):
             return
         staging, clusters = materialize(store.read("staging")), store.read("clusters")
-        batch = materialize(unprocessed(staging, clusters))
-        if batch.isEmpty():
+        ids = materialize(unprocessed_ids(staging, clusters))
+        if ids.isEmpty():
             return
+        batch = staging.join(ids, "record_id", "left_semi")
         frequencies = {c: materialize(t) for c, t in tf_tables(staging, model.settings).items()}
         links = link_batch(batch, staging, clusters, model, frequencies, threshold, max_pairs=max_pairs)
         done = commit_batch(store, name, links)
