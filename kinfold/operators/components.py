@@ -8,20 +8,24 @@ from pyspark.sql import functions as F
 from kinfold.session import materialize
 
 
+# The minima are written before they are joined: with a plain scan on either side of the join, adaptive execution
+# can split the partition of a hot node, which it cannot do right above an aggregation.
+
+
 def _large_star(links: DataFrame, seen: Observation) -> DataFrame:
     """Hang each larger neighbour of a node on the smallest node around it. Links run from larger to smaller."""
     both = links.union(links.select("low", "high")).toDF("node", "near")
     # The minimum is combined before the shuffle, so a hot node arrives as one row per task.
     least = both.groupBy("node").agg(F.min("near").alias("least"))
-    least = least.select("node", F.least("node", "least").alias("least"))
-    # Only the upward links are kept, and they hang on their lower end.
-    moved = links.join(least, links.low == least.node).select("high", F.col("least").alias("low"), (F.col("least") != links.low).alias("moved"))
-    return moved.observe(seen, F.count_if("moved").alias("moved")).select("high", "low")
+    least = materialize(least.select("node", F.least("node", "least").alias("least")))
+    joined = links.join(least, links.low == least.node)
+    joined = joined.observe(seen, F.count_if(F.col("least") != F.col("low")).alias("moved"))
+    return joined.select("high", F.col("least").alias("low"))
 
 
 def _small_star(links: DataFrame, seen: Observation) -> DataFrame:
     """Hang each smaller neighbour of a node, and the node itself, on its smallest neighbour."""
-    least = links.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("least"))
+    least = materialize(links.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("least")))
     joined = links.join(least, links.high == least.node)
     rest = joined.filter(F.col("low") != F.col("least")).select(F.col("low").alias("high"), F.col("least").alias("low"))
     rest = rest.observe(seen, F.count(F.lit(1)).alias("moved"))
@@ -38,8 +42,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         edges.filter("src != dst").select(F.greatest("src", "dst").alias("high"), F.least("src", "dst").alias("low")).distinct()
     )
     for _ in range(max_rounds):
+        if links.isEmpty():
+            break
         large, small = Observation(), Observation()
-        links = materialize(_small_star(_large_star(links, large), small))
+        links = materialize(_small_star(materialize(_large_star(links, large)), small))
         if not (large.get["moved"] or small.get["moved"]):
             break
     else:
