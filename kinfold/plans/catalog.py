@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinfold import schema
@@ -293,8 +293,6 @@ def dob_levels(spark, folder):
 
 def order_date_levels(spark, folder):
     """Date levels between consecutive order dates of a customer: many near misses."""
-    from pyspark.sql import Window
-
     orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("birth_date_r"))
     before = F.lag("birth_date_r").over(Window.partitionBy("o_custkey").orderBy("birth_date_r", "o_orderkey"))
     both = orders.withColumn("birth_date_l", before)
@@ -309,7 +307,7 @@ def _with_tf(people: DataFrame) -> DataFrame:
     return frequency.with_tf(people, frequency.tf_tables(people, DEFAULT_SETTINGS), "record_id")
 
 
-def _scored(spark, folder, min_weight=None):
+def _scored(spark, folder):
     people = _with_tf(_compared(spark, folder))
     carry = [*DEFAULT_SETTINGS.columns, *[f"tf_{c}" for c in frequency.tf_columns(DEFAULT_SETTINGS)]]
     return blocking.self_pairs(people, DEFAULT_SETTINGS, carry)

@@ -18,7 +18,7 @@ def people(spark, folder):
     """Staged persons, a third of them copies of one person, and a crowd that shares a profile but no id."""
     base = catalog._cleaned(spark, folder)
     one = base.filter("record_id LIKE '%0000031'")
-    copies = one.crossJoin(spark.range(60).withColumnRenamed("id", "i")).withColumn("record_id", F.format_string("999%015d", "i")).drop("i")
+    copies = one.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(59)))).withColumn("record_id", F.format_string("999%015d", "i")).drop("i")
     nobody = copies.limit(5).withColumns(
         {"record_id": F.concat(F.lit("8"), "record_id"), "national_id": F.lit(None).cast("string"), "birth_date": F.lit(None).cast("date"), "gender": F.lit(None).cast("string")}
     )
