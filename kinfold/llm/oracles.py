@@ -2,4 +2,133 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from kinfold.llm import decontaminate as d
+from kinfold.llm import licenses as n
+from kinfold.llm.common import LOWER, SPACE, UPPER
+from kinfold.llm.queries import FIRST_CAPTURE
+from kinfold.llm.warc import REVISIT_BYTES
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+EXACT = f"""
+WITH docs AS (
+  SELECT doc_id, length(coalesce(text, '')) AS len, regexp_replace(coalesce(text, ''), '{SPACE}+', '', 'g') AS norm FROM documents)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+       row_number() OVER best = 1 AS kept, sha256(norm) AS text_sha256
+FROM docs WINDOW best AS (PARTITION BY norm ORDER BY len DESC, doc_id NULLS LAST)"""
+
+_URL = "^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^#]*)"
+WARC = f"""
+WITH p AS (
+  SELECT page_id, coalesce(url, '') AS url, strlen(coalesce(html, '')) AS size, sha256(coalesce(html, '')) AS digest FROM pages),
+k AS (
+  SELECT *, min(CASE WHEN size >= {REVISIT_BYTES} THEN page_id END) OVER (PARTITION BY digest) AS least,
+         CASE WHEN url = '' THEN '-' WHEN NOT regexp_matches(url, '{_URL}') THEN lower(url)
+              ELSE array_to_string(list_reverse(string_split(lower(regexp_extract(url, '{_URL}', 1)), '.')), ',') || ')'
+                   || lower(coalesce(nullif(regexp_extract(url, '{_URL}', 2), ''), '/')) END AS url_key
+  FROM p)
+SELECT page_id, size AS payload_bytes, digest AS payload_digest,
+       CASE WHEN size >= {REVISIT_BYTES} AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN size >= {REVISIT_BYTES} AND page_id <> least THEN least END AS refers_to, url_key,
+       row_number() OVER (PARTITION BY url_key ORDER BY {FIRST_CAPTURE} + coalesce(page_id, 0), page_id NULLS LAST) AS capture
+FROM k"""
+
+# The checksum goes over the bytes one by one, with the usual table, here made from its rule.
+SHARDS = """
+WITH RECURSIVE bits(i, c, k) AS (
+  SELECT i::BIGINT, i::BIGINT, 0 FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
+steps AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+sized AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, hex(encode(coalesce(text, ''))) AS h FROM documents),
+summed AS (
+  SELECT doc_id, size, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+           list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+           lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]))) AS text_crc32
+  FROM sized, steps),
+walk AS (
+  SELECT DISTINCT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 16))::UBIGINT::HUGEINT AS k, 0::BIGINT AS pos, 0::BIGINT AS shard, 0::BIGINT AS grown FROM documents
+  UNION ALL
+  SELECT doc_id, k2, floor((pos + 1)::DOUBLE * (2147483648.0::DOUBLE / (k2 // 8589934592 + 1)::DOUBLE))::BIGINT,
+         CASE WHEN pos < 16 THEN pos ELSE shard END, pos
+  FROM (SELECT *, (k * 2862933555777941757 + 1) % 18446744073709551616 AS k2 FROM walk WHERE pos <= 16)),
+landed AS (SELECT doc_id, shard, grown FROM walk WHERE pos > 16)
+SELECT s.doc_id, size, text_crc32, 'key' AS law, shard::INT AS shard, grown::INT AS grown_shard,
+       row_number() OVER (PARTITION BY shard ORDER BY md5(concat_ws('|', coalesce(s.doc_id::VARCHAR, ''), size, text_crc32)), s.doc_id NULLS FIRST) - 1 AS slot
+FROM summed s JOIN landed l ON s.doc_id IS NOT DISTINCT FROM l.doc_id"""
+
+LINES = f"""
+WITH parts AS (
+  SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key FROM parts),
+often AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(o.key) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (o.key IS NULL), '')) AS kept_sha256
+FROM keyed k LEFT JOIN often o ON k.key = o.key GROUP BY doc_id"""
+
+
+def _canonical(text: str) -> str:
+    out = f"regexp_replace(lower({text}), {_text(n.COPYRIGHT_LINE.replace('(?md)', '(?m)'))}, '', 'g')"
+    for pattern, replacement in n.SPELLINGS:
+        if "(" in pattern:
+            out = f"regexp_replace({out}, {_text(pattern)}, {_text(replacement.replace('$1', chr(92) + '1'))}, 'g')"
+        else:
+            out = f"replace({out}, {_text(pattern)}, {_text(replacement)})"
+    return f"trim(regexp_replace(regexp_replace({out}, {_text(n.NOT_WORD)}, ' ', 'g'), '[ \\n]+', ' ', 'g'))"
+
+
+LICENSES = f"""
+WITH docs AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '\\r\\n?', chr(10), 'g') AS text FROM documents),
+cut AS (SELECT doc_id, text, regexp_split_to_array(text, '\\n[ \\t]*\\n') AS ps, string_split(text, chr(10)) AS ls FROM docs),
+units AS (
+  SELECT doc_id, 'text' AS unit, text AS body FROM cut
+  UNION ALL SELECT doc_id, 'paragraph', unnest(ps) FROM cut WHERE len(ps) > 1
+  UNION ALL SELECT doc_id, 'line', unnest(ls) FROM cut WHERE len(ls) > 1),
+known AS (SELECT DISTINCT license, {_canonical("text")} AS form FROM (VALUES {", ".join(f"({_text(a)}, {_text(b)})" for a, b in n.NOTICES)}) v(license, text))
+SELECT doc_id, license, unit, count(*) AS n_matches
+FROM (SELECT doc_id, unit, {_canonical("body")} AS form FROM units) u JOIN known USING (form) WHERE form <> '' GROUP BY ALL"""
+
+
+def _windows(table: str, keys: str) -> str:
+    """The windows of the operator, known by their words instead of a hash."""
+
+    def words(values: list[str]) -> str:
+        return ", ".join(map(_text, values))
+
+    clean = "regexp_replace(translate(coalesce(text, ''), chr(1), ''), '([0-9])[.,:/]([0-9])', '\\1\\2', 'g')"
+    clean = f"regexp_replace({clean}, {_text(d.STARTS)}, '\\1\\2' || chr(1) || '\\3', 'g')"
+    clean = f"trim(regexp_replace(regexp_replace({clean}, {_text(d.NOISE)}, ' ', 'g'), {_text(d.SPACES)}, ' ', 'g'))"
+    low = "lower(ltrim(w, chr(1)))"
+    name = "w[1] <> chr(1) AND w[1] <> lower(w[1]) AND w[2] <> upper(w[2])"
+    form = f"CASE WHEN w[1] BETWEEN '0' AND '9' OR {low} IN ({words(d.NUMBERS)}) THEN '<n>' WHEN {low} IN ({words(d.UNITS)}) THEN '<u>' WHEN {name} THEN '<p>' ELSE {low} END"
+    return f"""
+  SELECT {keys}, pos, wide, array_to_string(f[pos:pos + wide - 1], ' ') AS form,
+         list_filter(list_transform(range(pos, pos + wide), lambda j: CASE WHEN f[j] IN ('<n>', '<u>', '<p>') THEN lower(ltrim(ws[j], chr(1))) END), lambda x: x IS NOT NULL) AS slots
+  FROM (SELECT *, unnest(range(1, len(ws) - wide + 2)) AS pos
+        FROM (SELECT {keys}, ws, list_transform(ws, lambda w: {form}) AS f, least({d.WINDOW}, len(ws)) AS wide
+              FROM (SELECT {keys}, string_split({clean}, ' ') AS ws FROM {table})))
+  WHERE wide - len(list_filter(f[pos:pos + wide - 1], lambda x: x IN ('<n>', '<u>', '<p>'))) >= {d.LITERAL}"""
+
+
+LEAKS = f"""
+WITH seen AS ({_windows("documents", "doc_id")}), known AS ({_windows("benchmark", "item_id")}),
+totals AS (SELECT item_id, count(*) AS n_item_windows FROM known GROUP BY item_id),
+met AS (SELECT doc_id, item_id, s.pos - k.pos AS shift, s.pos, s.wide, list_zip(k.slots, s.slots) AS fills FROM seen s JOIN known k USING (form)),
+passages AS (
+  SELECT doc_id, item_id, shift, count(DISTINCT pos) AS n_windows, min(pos) AS from_token, max(pos + wide - 1) AS to_token, list_distinct(flatten(list(fills))) AS fills
+  FROM met GROUP BY ALL)
+SELECT doc_id, item_id, CASE WHEN len(list_filter(fills, lambda x: x[1] <> x[2])) = 0 THEN 'exact' ELSE 'changed' END AS kind,
+       n_windows, n_item_windows, from_token::INT AS from_token, to_token::INT AS to_token
+FROM passages JOIN totals USING (item_id)
+WHERE n_windows >= least({d.LEAK_TOKENS - d.WINDOW + 1}, n_item_windows) AND len(fills) = len(list_distinct(list_transform(fills, lambda x: x[1])))"""
+
+ORACLES: dict[str, str] = {
+    "op1_exact_dedup": EXACT,
+    "op2_warc": WARC,
+    "op4_jump_hash_shards": SHARDS,
+    "op8_decontamination": LEAKS,
+    "op9_license_scan": LICENSES,
+    "op10_line_dedup": LINES,
+}
