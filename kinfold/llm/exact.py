@@ -41,13 +41,15 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     ).withColumn("_hash", F.xxhash64("_norm"))
     hot = hot_keys(rows.select("_hash", F.octet_length("_norm").alias("_size")), "_hash", F.col("_size"), tasks, share)
     keyed = rows.withColumns({"_head": F.substring("_norm", 1, HEAD), "_part": salt(F.col("_hash"), hot, F.xxhash64("doc_id", "_length"), tasks)})
+    # A constant among the keys would hide from the planner that the ranges already hold the groups together.
+    keys = ["_head", "_hash", *(["_part"] if hot else [])]
     if carry:
         # The text itself travels once, inside the row; its normal form is made again where it is sorted.
         keyed = keyed.drop("_norm")
-    dealt = keyed.repartitionByRange("_head", "_hash", "_part")
+    dealt = keyed.repartitionByRange(*keys)
     if carry:
         dealt = dealt.withColumn("_norm", normalised(F.col("_row").getField(text_column)))
-    equal = Window.partitionBy("_head", "_hash", "_part", "_norm")
+    equal = Window.partitionBy(*keys, "_norm")
     ranked = equal.orderBy(F.desc("_length"), F.asc_nulls_last("doc_id"))
     whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     marked = dealt.select(

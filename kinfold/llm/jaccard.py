@@ -17,6 +17,8 @@ from kinfold.session import materialize
 STAR_ROWS = 4_000
 #: Documents whose signatures are looked at to lay out the shuffle of all signatures.
 PROBE_DOCS = 20_000
+#: Copies of one set, and documents of the probe with one signature, that never count as many.
+LARGE_CLASS, OFTEN = 1_000, 50
 
 
 def _class_of(elements: np.ndarray) -> int:
@@ -93,7 +95,7 @@ def _shared_signatures(docs: DataFrame, classes: DataFrame, words: int, percent:
     tasks = partitions(spark)
     rows = classes.count()
     # Copies beyond a fraction of a task's rows: few classes can be so large, at most tasks / share of them.
-    most = max(1000, int(rows / tasks * share))
+    most = max(LARGE_CLASS, int(rows / tasks * share))
     large = _keepers(classes).filter(F.col("n") > most)
     same = F.col("keep_hash").eqNullSafe(F.col("text_hash")) & F.col("keep_id").eqNullSafe(F.col("doc_id"))
     copies = classes.join(F.broadcast(large), "class").filter(~same).select("doc_id", "text_hash").distinct()
@@ -105,7 +107,7 @@ def _shared_signatures(docs: DataFrame, classes: DataFrame, words: int, percent:
         probe = probe.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(PROBE_DOCS / rows * (1 << 20)))
     probed = min(rows, PROBE_DOCS)
     # A third of a task's signatures, if each document had a hundred.
-    often = max(50, int(probed * 100 / tasks * share))
+    often = max(OFTEN, int(probed * 100 / tasks * share))
     hot = _signature_rows(probe, words, percent).groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > often).select("sig", F.lit(True).alias("hot"))
     hot = materialize(hot) if often < probed else None
     found = _signature_rows(source, words, percent)

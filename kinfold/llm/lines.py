@@ -38,8 +38,9 @@ def line_bitmaps(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     key = lower_ascii(F.col("_key"))
     lines = lines.select("doc_id", "_row", "_at", F.xxhash64(key).alias("_h"), F.xxhash64(F.lit(min_chars), key).alias("_g"))
     hot = hot_keys(lines.select("_h"), "_h", F.lit(1), tasks, share)
-    dealt = lines.withColumn("_part", salt(F.col("_h"), hot, F.col("_row"), tasks)).repartitionByRange("_h", "_g", "_part")
-    same = Window.partitionBy("_h", "_g", "_part")
+    keys = ["_h", "_g", *(["_part"] if hot else [])]
+    dealt = lines.withColumn("_part", salt(F.col("_h"), hot, F.col("_row"), tasks)).repartitionByRange(*keys)
+    same = Window.partitionBy(*keys)
     ordered = same.orderBy(F.asc_nulls_last("doc_id"), "_row", "_at")
     new = F.lag("_row").over(ordered)
     streamed = dealt.select("*", (new.isNull() | (new != F.col("_row"))).cast("int").alias("_new"), (F.row_number().over(ordered) == 1).alias("_first"))

@@ -68,12 +68,15 @@ _starts: dict[int, list[int]] = {}
 
 
 def levels_of(size: int, percent: int) -> list[tuple[int, int]]:
-    """(level, largest set size at it) of a set: its own band and the next."""
+    """(level, most differing elements of a linked pair at it) of a set: its own band and the next.
+
+    Level j is for pairs of the bands j - 1 and j, and for pairs within band j - 1, whose bound is no larger.
+    """
     starts = _starts.get(percent)
     if starts is None or starts[-2] <= size:
         starts = _starts[percent] = bands(max(size, 1 << 20), percent)
     band = int(np.searchsorted(starts, size, side="right")) - 1
-    return [(j, starts[j + 1] - 1) for j in (band, band + 1)]
+    return [(j, difference_bound(starts[j] - 1, starts[j + 1] - 1, percent)) for j in (band, band + 1)]
 
 
 def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
@@ -82,8 +85,7 @@ def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
     if len(elements) == 0:
         return np.empty(0, np.uint64)
     spread = mix(elements + _A)
-    for level, largest in levels_of(len(elements), percent):
-        k = difference_bound(largest, largest, percent)
+    for level, k in levels_of(len(elements), percent):
         seed = np.uint64((level * int(_B) + int(_C)) & 0xFFFFFFFFFFFFFFFF)
         if k == 0:
             out.append(mix(np.sum(spread, dtype=np.uint64, keepdims=True) + seed))
