@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -144,17 +143,15 @@ def best_jaro_winkler(left: Column, right: Column) -> Column:
     return F.when(shorter > 0, jaro + 0.4 * (1.0 - jaro) + 1e-9).otherwise(F.lit(0.0))
 
 
-def within_one_edit(left: Column, right: Column, width: int = 10) -> Column:
-    """Damerau-Levenshtein distance of at most 1 for texts of up to ``width`` characters (an ISO date has 10)."""
+def within_one_edit(left: Column, right: Column) -> Column:
+    """Damerau-Levenshtein distance of at most 1, for texts of any length."""
     distance = F.levenshtein(left, right, 2)
-
-    def swapped(i: int) -> Column:
-        ahead = F.substring(left, 1, i - 1) if i > 1 else F.lit("")
-        return F.concat(ahead, F.substring(left, i + 1, 1), F.substring(left, i, 1), F.substring(left, i + 2, width)) == right
-
-    # A swap of neighbours costs two plain edits; the positions are written out to stay within generated code.
-    swap = reduce(lambda x, y: x | y, [swapped(i) for i in range(1, width)])
-    return distance.between(0, 1) | ((distance == 2) & (F.length(left) == F.length(right)) & swap)
+    # A swap of neighbours costs two plain edits: behind the common start, two letters are exchanged.
+    places = F.sequence(F.lit(1), F.char_length(left))
+    start = F.array_position(F.transform(places, lambda i: F.substring(left, i, 1) != F.substring(right, i, 1)), True).cast("int")
+    swapped = F.concat(F.substring(left, F.lit(1), start - 1), F.substring(left, start + 1, 1), F.substring(left, start, F.lit(1)), F.substring(left, start + 2, F.char_length(left))) == right
+    alike = (distance == 2) & (F.char_length(left) == F.char_length(right)) & (F.char_length(left) > 1)
+    return F.when(distance.between(0, 1), True).when(alike, (start > 0) & swapped).otherwise(False)
 
 
 # One month and two years, in seconds.

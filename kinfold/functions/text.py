@@ -9,6 +9,8 @@ from functools import lru_cache, reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from kinfold.functions.scripts import spell_out
+
 # Title patterns to delete, in order.
 TITLES = (
     r"\bdr\.\s*",
@@ -47,6 +49,7 @@ UNDECOMPOSED = {
 
 # Latin-1 to Latin Extended-B, Latin Extended Additional, general punctuation forms, ligatures, fullwidth ASCII.
 _RANGES = ((0xA0, 0x24F), (0x1E00, 0x1EFF), (0xFB00, 0xFB06), (0xFF01, 0xFF5E))
+OTHER_LETTER = r"[\p{L}&&[^\x00-\x7F]]"
 _COMBINING = "".join(map(chr, range(0x300, 0x370)))
 
 
@@ -95,13 +98,14 @@ def _spell(text: Column, pairs: list[tuple[str, str]]) -> Column:
 
 
 def transliterate(text: Column) -> Column:
-    """Latin text to ASCII. Combining marks go; characters of other scripts are left alone."""
+    """Letters to ASCII, of Latin and, one by one, of other scripts. Combining marks go, other characters stay."""
     letters, plain, several = _ascii_tables()
     common = [pair for pair in several if pair[0] in UNDECOMPOSED]
     rare = [pair for pair in several if pair not in common]
     # translate() deletes the trailing letters that have no counterpart: the combining marks.
     out = _unless_ascii(text, lambda t: F.translate(t, letters + _COMBINING, plain))
-    return _unless_ascii(_unless_ascii(out, lambda t: _spell(t, common)), lambda t: _spell(t, rare))
+    out = _unless_ascii(_unless_ascii(out, lambda t: _spell(t, common)), lambda t: _spell(t, rare))
+    return _unless_ascii(out, lambda t: F.when(t.rlike(OTHER_LETTER), spell_out(t)).otherwise(t))
 
 
 def _untitled(text: Column) -> Column:
@@ -129,7 +133,3 @@ def clean_text(text: Column) -> Column:
     out = F.trim(F.regexp_replace(out, "[^a-z0-9]+", " "))
     return F.when(text != "", out)
 
-
-def char_length(text: Column) -> Column:
-    """Length in code points; null stays null."""
-    return F.char_length(text)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
-from pyspark.sql import types as T
 
 from kinfold.schema import SOURCE, SOURCE_NAMES
 
@@ -31,12 +30,9 @@ def missing_columns(found: list[str], required: list[str] | None = None) -> tupl
     return tuple(c for c in required if c.lower() not in have and native.get(c, c).lower() not in have)
 
 
-def validate_columns(schema: T.StructType, required: list[str] | None = None) -> tuple[str, ...]:
-    return missing_columns(schema.names, required)
-
-
 def validate_source(spark: SparkSession, query: str) -> SourceCheck:
     """Check placeholders and result columns of a source query; it is analysed, not run."""
     absent = tuple(p for p in PLACEHOLDERS if p not in query)
-    found = spark.sql(query, args={"last_id": "", "limit": 0}).schema.names
+    args = {p[1:]: value for p, value in zip(PLACEHOLDERS, ("", 0)) if p not in absent}
+    found = spark.sql(query, args=args).schema.names
     return SourceCheck(absent, missing_columns(found), tuple(found))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import math
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinfold.settings import DEFAULT_SETTINGS, LinkSettings
+from kinfold.settings import Comparison, LinkSettings
 
 _FLOOR = 1e-12
 _SCHEMA = "comparison string, level int, label string, m double, u double, tf boolean, prior double"
@@ -44,17 +45,35 @@ class LinkModel:
         return spark.createDataFrame([tuple(r) for r in self.rows()], _SCHEMA)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """A few dozen rows of JSON."""
-        self.to_frame(spark).coalesce(1).write.mode("overwrite").json(path)
+        """A few dozen rows of JSON, and the settings the parameters belong to."""
+        self.to_frame(spark).coalesce(1).write.mode("overwrite").json(f"{path}/parameters")
+        kept = spark.createDataFrame([(describe(self.settings),)], "settings string")
+        kept.coalesce(1).write.mode("overwrite").text(f"{path}/settings")
 
 
-def load_model(spark: SparkSession, path: str, settings: LinkSettings = DEFAULT_SETTINGS) -> LinkModel:
-    """Read saved parameters and check that they are those of ``settings``."""
-    rows = spark.read.schema(_SCHEMA).json(path).collect()
+def describe(settings: LinkSettings) -> str:
+    """Rules, comparisons, thresholds and labels as JSON."""
+    return json.dumps(asdict(settings), sort_keys=True)
+
+
+def stored_settings(spark: SparkSession, path: str) -> LinkSettings:
+    """The settings a model was trained under: rules and comparisons as they were."""
+    found = json.loads(spark.read.text(f"{path}/settings").first()[0])
+    rules = tuple(map(tuple, found["rules"]))
+    comparisons = tuple(Comparison(**{k: tuple(v) if isinstance(v, list) else v for k, v in c.items()}) for c in found["comparisons"])
+    return LinkSettings(found["id_column"], rules, comparisons)
+
+
+def load_model(spark: SparkSession, path: str, settings: LinkSettings | None = None) -> LinkModel:
+    """Read saved parameters with their settings; with ``settings`` given, both must be the same."""
+    stored = stored_settings(spark, path)
+    if settings is not None and describe(settings) != describe(stored):
+        raise ValueError("the saved model was trained under other settings")
+    rows = spark.read.schema(_SCHEMA).json(f"{path}/parameters").collect()
     found = {(r.comparison, r.level): r for r in rows}
-    expected = {(c.column, level) for c in settings.comparisons for level in range(c.top + 1)}
+    expected = {(c.column, level) for c in stored.comparisons for level in range(c.top + 1)}
     if set(found) != expected:
-        raise ValueError("the saved model does not fit these settings")
-    m = {c.column: tuple(found[c.column, i].m for i in range(c.top + 1)) for c in settings.comparisons}
-    u = {c.column: tuple(found[c.column, i].u for i in range(c.top + 1)) for c in settings.comparisons}
-    return LinkModel(settings, rows[0].prior, m, u)
+        raise ValueError("the saved parameters do not fit their settings")
+    m = {c.column: tuple(found[c.column, i].m for i in range(c.top + 1)) for c in stored.comparisons}
+    u = {c.column: tuple(found[c.column, i].u for i in range(c.top + 1)) for c in stored.comparisons}
+    return LinkModel(stored, rows[0].prior, m, u)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.operators.comparison import gamma_columns, reachable, with_cheap_gammas, with_text_gammas
+from kinfold.operators.comparison import reachable, with_cheap_gammas, with_text_gammas
 from kinfold.operators.model import LinkModel
 from kinfold.settings import TEXT, Comparison
 
@@ -94,6 +94,6 @@ def matches(pairs: DataFrame, model: LinkModel, threshold: float = 0.9, match_we
     return score_pairs(pairs, model, coarse, keep).filter(F.col("match_probability") >= threshold)
 
 
-def debug_columns(model: LinkModel) -> list[str]:
-    """What to keep besides ids and scores when looking into single pairs."""
-    return [f"{c}_{side}" for c in model.settings.columns for side in "lr"] + gamma_columns(model.settings)
+def weight_columns(model: LinkModel) -> list[Column]:
+    """``weight_<column>``: what each comparison of a scored pair adds (log2 Bayes factor with its term frequency)."""
+    return [level_weight(model, c).alias(f"weight_{c.column}") for c in model.settings.comparisons]

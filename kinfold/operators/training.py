@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, replace
 from statistics import median
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,12 +13,10 @@ from kinfold.operators.comparison import gamma_columns, gamma_pattern_counts, wi
 from kinfold.operators.frequency import tf_columns, tf_tables, with_tf
 from kinfold.operators.model import LinkModel
 from kinfold.operators.profiles import collapse
-from kinfold.operators.sampling import random_pairs, sample_n
-from kinfold.session import materialize
+from kinfold.operators.sampling import random_pairs
+from kinfold.session import forget, materialize
 from kinfold.settings import Comparison, LinkSettings
 
-# Distinct comparison vectors that may come to the driver; beyond it the iterations run on the cluster.
-DRIVER_VECTORS = 200_000
 MAX_ROUNDS = 25
 SETTLED = 1e-4
 _TINY = 1e-12
@@ -35,12 +31,21 @@ def default_m(c: Comparison) -> tuple[float, ...]:
     return (0.05 / c.top,) * c.top + (0.95,)
 
 
-def estimate_u(sample: DataFrame, settings: LinkSettings, max_pairs: int = 5_000_000, seed: int = 0) -> DataFrame:
+def estimate_u(df: DataFrame, settings: LinkSettings, max_pairs: int = 5_000_000, seed: int = 0) -> DataFrame:
     """``comparison, level, pairs, u``: share of each level among random pairs with both values present."""
-    pairs = random_pairs(sample, settings.id_column, settings.columns, max_pairs, seed)
+    pairs = random_pairs(df, settings.id_column, settings.columns, max_pairs, seed)
     return level_shares(gamma_pattern_counts(pairs, settings), settings)
 
 
+def smoothed_u(shares: DataFrame, settings: LinkSettings) -> dict[str, tuple[float, ...]]:
+    """u of every level: one that no random pair showed counts as half a pair, not as impossible."""
+    pairs = {c.column: [0.0] * (c.top + 1) for c in settings.comparisons}
+    for row in shares.collect():  # a few dozen rows
+        pairs[row.comparison][row.level] = float(row.pairs)
+    floored = {c: [max(n, 0.5) for n in counts] for c, counts in pairs.items()}
+    return {c: tuple(n / sum(counts) for n in counts) for c, counts in floored.items()}
+
+
 def level_shares(patterns: DataFrame, settings: LinkSettings) -> DataFrame:
     """Per comparison the share of each level; ``patterns`` is small whatever the data."""
     columns = gamma_columns(settings)
@@ -121,6 +126,7 @@ class Session:
     m: dict[str, tuple[float | None, ...]]
     prior: float
     rounds: int
+    settled: bool
 
 
 def _start(model: LinkModel, rule: tuple[str, ...]) -> float:
@@ -129,119 +135,106 @@ def _start(model: LinkModel, rule: tuple[str, ...]) -> float:
     return 1 / (1 + 2 ** -max(min(weight, 500), -500))
 
 
-def _driver_rounds(rows: list, model: LinkModel, active, prior: float) -> tuple[dict, float, int]:
-    count = np.array([r.pairs for r in rows], dtype=float)
-    factor = np.log(np.array([r.tf_factor for r in rows], dtype=float))
-    gammas = {c.column: np.array([r[f"gamma_{c.column}"] for r in rows]) for c in active}
-    m = {c.column: np.maximum(np.array(model.m[c.column]), _TINY) for c in active}
-    u = {c.column: np.maximum(np.array(model.u[c.column]), _TINY) for c in active}
-    rounds = 0
-    for rounds in range(1, MAX_ROUNDS + 1):
-        odds = math.log(max(prior, _TINY) / max(1 - prior, _TINY)) + factor
-        for c in active:
-            level = gammas[c.column]
-            odds = odds + np.where(level >= 0, np.log(m[c.column] / u[c.column])[level], 0.0)
-        expected = count / (1 + np.exp(-np.clip(odds, -700, 700)))
-        new_prior = float(expected.sum() / count.sum())
-        change = abs(new_prior - prior)
-        for c in active:
-            level = gammas[c.column]
-            mass = np.bincount(level[level >= 0], expected[level >= 0], minlength=c.top + 1)
-            if mass.sum() > 0:
-                new = np.maximum(mass / mass.sum(), _TINY)
-                change = max(change, float(np.abs(new - m[c.column]).max()))
-                m[c.column] = new
-        prior = new_prior
-        if change < SETTLED:
-            break
-    seen = {c.column: set(gammas[c.column][gammas[c.column] >= 0].tolist()) for c in active}
-    return {c: tuple(float(v) if i in seen[c] else None for i, v in enumerate(values)) for c, values in m.items()}, prior, rounds
-
-
-def _cluster_rounds(vectors: DataFrame, model: LinkModel, active, prior: float) -> tuple[dict, float, int]:
-    rounds = 0
-    for rounds in range(1, MAX_ROUNDS + 1):
-        rows = em_step(vectors, model, active, prior).collect()
-        m = {k: list(v) for k, v in model.m.items()}
-        for r in rows:
-            if r.m is not None:
-                m[r.comparison][r.level] = max(r.m, _TINY)
-        new_prior = rows[0].prior
-        change = max([abs(new_prior - prior)] + [abs(m[c.column][i] - model.m[c.column][i]) for c in active for i in range(c.top + 1)])
-        model, prior = replace(model, m={k: tuple(v) for k, v in m.items()}), new_prior
-        if change < SETTLED:
-            break
-    levels = [F.collect_set(F.col(f"gamma_{c.column}")).alias(c.column) for c in active]  # at most one entry per level
-    seen = vectors.agg(*levels).first()
-    return {c.column: tuple(v if i in seen[c.column] else None for i, v in enumerate(model.m[c.column])) for c in active}, prior, rounds
-
-
-def em_session(
-    profiles: DataFrame, model: LinkModel, rule: tuple[str, ...], use_tf: bool = True, driver_vectors: int = DRIVER_VECTORS
-) -> Session | None:
+def em_session(profiles: DataFrame, model: LinkModel, rule: tuple[str, ...], use_tf: bool = True, max_rounds: int = MAX_ROUNDS) -> Session | None:
     """Learn m from the pairs of one rule with u fixed; None when the rule finds no pairs.
 
-    The pairs are reduced once to distinct comparison vectors. Those are few (without term frequencies at most the
-    product of the level counts), so the rounds usually run on them in the driver; otherwise on the cluster.
+    The pairs are reduced once to distinct comparison vectors, a written table that each round reads again; a round
+    is one aggregation that returns a few dozen numbers. ``settled`` tells whether the last round still moved.
     """
     active = active_comparisons(model.settings, rule)
     vectors = materialize(session_vectors(profiles, model, rule, use_tf))
-    found = vectors.count()
-    if not found:
+    levels = [F.collect_set(F.col(f"gamma_{c.column}")).alias(c.column) for c in active]  # at most one entry per level
+    seen = vectors.agg(F.count(F.lit(1)).alias("_vectors"), *levels).first()
+    if not seen["_vectors"]:
+        forget(vectors)
         return None
-    start = _start(model, rule)
-    if found <= driver_vectors:
-        m, prior, rounds = _driver_rounds(vectors.collect(), model, active, start)
-    else:
-        m, prior, rounds = _cluster_rounds(vectors, model, active, start)
-    return Session(rule, m, prior, rounds)
+    prior, rounds, settled = _start(model, rule), 0, False
+    while rounds < max_rounds and not settled:
+        rounds += 1
+        m = {k: list(v) for k, v in model.m.items()}
+        rows = em_step(vectors, model, active, prior).collect()
+        for r in rows:
+            if r.m is not None:
+                m[r.comparison][r.level] = max(r.m, _TINY)
+        change = max([abs(rows[0].prior - prior)] + [abs(m[c.column][i] - model.m[c.column][i]) for c in active for i in range(c.top + 1)])
+        model, prior = replace(model, m={k: tuple(v) for k, v in m.items()}), rows[0].prior
+        settled = change < SETTLED
+    forget(vectors)
+    taught = {c.column: tuple(v if i in seen[c.column] else None for i, v in enumerate(model.m[c.column])) for c in active}
+    return Session(rule, taught, prior, rounds, settled)
 
 
 def combine(model: LinkModel, sessions: list[Session]) -> LinkModel:
-    """The median over sessions per level; a level no session saw keeps its starting value."""
+    """The median over sessions per level, brought to a sum of 1; a level no session saw keeps its starting value."""
     m = {}
     for c in model.settings.comparisons:
         values = [[s.m[c.column][i] for s in sessions if c.column in s.m and s.m[c.column][i] is not None] for i in range(c.top + 1)]
-        m[c.column] = tuple(median(v) if v else model.m[c.column][i] for i, v in enumerate(values))
+        if any(values):
+            medians = [median(v) if v else model.m[c.column][i] for i, v in enumerate(values)]
+            m[c.column] = tuple(x / sum(medians) for x in medians)
+        else:
+            m[c.column] = model.m[c.column]
     return replace(model, m=m)
 
 
-def fit(
+@dataclass(frozen=True)
+class Training:
+    """A model and how it came about: ``untaught`` (comparison, level) pairs kept their starting values."""
+
+    model: LinkModel
+    sessions: tuple[Session, ...]
+    untaught: tuple[tuple[str, int], ...]
+
+    @property
+    def settled(self) -> bool:
+        return all(s.settled for s in self.sessions)
+
+
+def train(
     staging: DataFrame,
     settings: LinkSettings,
-    sample_size: int = 200_000,
     u_max_pairs: int = 5_000_000,
     deterministic_recall: float = 0.7,
     seed: int = 0,
     use_tf: bool = True,
     prior_rule: tuple[str, ...] = ("national_id",),
     allow_partial: bool = False,
-) -> LinkModel:
-    """Train on a sample: u from random pairs, the prior from a deterministic rule, m by one EM session per rule."""
-    columns = [settings.id_column, *settings.columns]
-    sample = materialize(sample_n(staging.select(*columns), settings.id_column, sample_size, seed))
-    if sample.isEmpty():
+    max_rounds: int = MAX_ROUNDS,
+) -> Training:
+    """Train on the whole table: u from random pairs, the prior from a deterministic rule, m by one EM session per rule.
+
+    A sample of rows would hold only the square of its share of the matching pairs, so nothing is sampled but the
+    random pairs, whose number is bounded. A comparison of which no session saw agreement or disagreement cannot be
+    told apart and raises, unless ``allow_partial``; other levels that never occurred are listed.
+    """
+    rows = staging.select(settings.id_column, *settings.columns)
+    if rows.isEmpty():
         raise TrainingIncomplete("there are no staged records to train on")
-    u = {c.column: [0.0] * (c.top + 1) for c in settings.comparisons}
-    for row in estimate_u(sample, settings, u_max_pairs, seed).collect():  # a few dozen rows
-        u[row.comparison][row.level] = row.u
-    prior = estimate_prior(sample, prior_rule, deterministic_recall).first().prior
-    model = LinkModel(
-        settings,
-        prior,
-        {c.column: default_m(c) for c in settings.comparisons},
-        {c: tuple(max(v, _TINY) for v in values) for c, values in u.items()},
-    )
-    profiles = collapse(sample, settings)
-    profiles = materialize(with_tf(profiles, tf_tables(profiles, settings, F.col("copies")), settings.id_column))
+    prior = estimate_prior(rows, prior_rule, deterministic_recall).first().prior
+    if not 0 < prior < 1 and not allow_partial:
+        raise TrainingIncomplete(f"no two records agree on {prior_rule}: the share of matching pairs is unknown")
+    u = smoothed_u(estimate_u(rows, settings, u_max_pairs, seed), settings)
+    model = LinkModel(settings, prior, {c.column: default_m(c) for c in settings.comparisons}, u)
+    profiles = materialize(collapse(rows, settings))
+    framed = materialize(with_tf(profiles, tf_tables(profiles, settings, F.col("copies")), settings.id_column))
     start, sessions = model, []
     for rule in settings.rules:
-        session = em_session(profiles, model, rule, use_tf)
+        session = em_session(framed, model, rule, use_tf, max_rounds)
         if session is not None:
             sessions.append(session)
             model = combine(start, sessions)
-    taught = {c for s in sessions for c in s.m}
-    missing = [c for c in settings.columns if c not in taught]
-    if missing and not allow_partial:
-        raise TrainingIncomplete(f"no rule found pairs to learn {missing} from")
-    return model
+    forget(profiles, framed)
+    seen = {(c, i) for s in sessions for c, values in s.m.items() for i, v in enumerate(values) if v is not None}
+    untaught = tuple((c.column, i) for c in settings.comparisons for i in range(c.top + 1) if (c.column, i) not in seen)
+    ends = [x for x in untaught if x[1] in (0, settings.comparison(x[0]).top)]
+    if ends and not allow_partial:
+        raise TrainingIncomplete(f"no rule found pairs to learn these levels from: {ends}")
+    return Training(model, tuple(sessions), untaught)
+
+
+def fit(staging: DataFrame, settings: LinkSettings, **options) -> LinkModel:
+    """The model of :func:`train`; raises if a session had not settled when its rounds were over."""
+    found = train(staging, settings, **options)
+    if not found.settled and not options.get("allow_partial"):
+        raise TrainingIncomplete(f"not settled: {[s.rule for s in found.sessions if not s.settled]}")
+    return found.model

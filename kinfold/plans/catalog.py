@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -65,19 +66,21 @@ SITES = "001, 002"
 # Record ids lead with the site: the sites from this one on register later than the others.
 NEW_FROM = "015"
 
-# The caller's own source query, with both placeholders.
-CUSTOM_QUERY = """
-SELECT p.record_id, p.full_name, p.national_id, p.birth_date, p.gender, p.address, c.site_id, p.father_name, p.mother_name,
-       c.case_id
-FROM persons p
-LEFT JOIN cif_mapping m ON p.record_id = m.record_id
-LEFT JOIN cases c ON c.record_id = p.record_id
-WHERE m.record_id IS NULL AND c.case_id IS NOT NULL AND c.site_id IS NOT NULL
-  AND p.full_name <> '' AND p.full_name NOT LIKE 'NAMA WBP%' AND p.record_id NOT LIKE '11f066%'
-  AND p.record_id > :last_id
-ORDER BY p.record_id, c.case_id
+# Placeholders for names, and a site whose records are not linked.
+NOT_NAME, NOT_ID = "UNKNOWN", "024"
+
+# A source query of the caller's own, with both placeholders: unmapped persons under the site of each of their cases.
+CUSTOM_QUERY = f"""
+SELECT record_id, full_name, national_id, birth_date, gender, address, held.site_id, father_name, mother_name, held.case_id
+FROM persons
+JOIN (SELECT record_id, case_id, site_id FROM cases WHERE case_id IS NOT NULL AND site_id IS NOT NULL) held USING (record_id)
+WHERE NOT EXISTS (SELECT 1 FROM cif_mapping WHERE cif_mapping.record_id = persons.record_id)
+  AND length(full_name) > 0 AND NOT startswith(full_name, '{NOT_NAME}') AND NOT startswith(record_id, '{NOT_ID}')
+  AND record_id > :last_id
 LIMIT :limit
 """
+# The same without a place for the limit, without the national id and with the name under another name.
+BROKEN_QUERY = "SELECT record_id, full_name AS nama, birth_date, gender, address, site_id, father_name, mother_name FROM persons WHERE record_id > :last_id"
 
 
 def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
@@ -140,14 +143,20 @@ def extract_custom_sql(spark, folder):
 
 
 def source_contract(spark, folder):
+    """One row per placeholder and required column of a good and of a broken query: is it there?"""
     people = persons(spark, folder)
     people.createOrReplaceTempView("persons")
     mapped_ids(people).createOrReplaceTempView("cif_mapping")
     cases(spark, folder).createOrReplaceTempView("cases")
-    found = checks.validate_source(spark, CUSTOM_QUERY)
-    # The contract is settled from the schema; the rows that meet it are counted per required column.
-    present = [c for c in schema.SOURCE.names if c not in found.missing_columns]
-    return people.select([F.count(c).alias(c) for c in present]).unpivot([], present, "column", "present")
+    rows = []
+    for name, query in (("good", CUSTOM_QUERY), ("broken", BROKEN_QUERY)):
+        found = checks.validate_source(spark, query)
+        rows += [(name, "placeholder", p, p not in found.missing_placeholders) for p in checks.PLACEHOLDERS]
+        rows += [(name, "column", c, c not in found.missing_columns) for c in schema.SOURCE.names]
+    met = spark.createDataFrame(rows, "query string, kind string, item string, present boolean")
+    # The rows that hold a value, per required column, beside what the queries return.
+    values = people.select([F.count(c).alias(c) for c in schema.SOURCE.names]).unpivot([], schema.SOURCE.names, "item", "values")
+    return met.join(values, "item", "left").fillna(0, ["values"])
 
 
 def unmapped_anti_join(spark, folder):
@@ -157,7 +166,7 @@ def unmapped_anti_join(spark, folder):
 
 def _eligible(spark, folder):
     people = persons(spark, folder)
-    return staging.eligible(people, mapped_ids(people), cases(spark, folder), "NAMA WBP", "11f066")
+    return staging.eligible(people, mapped_ids(people), cases(spark, folder), NOT_NAME, NOT_ID)
 
 
 def case_inner_fanout_latest(spark, folder):
@@ -324,8 +333,11 @@ def pairs_over_threshold(spark, folder):
 
 
 def scored_pairs_debug(spark, folder):
+    """Scored pairs with levels and with what each comparison adds."""
     scored = scoring.score_pairs(_scored(spark, folder), FROZEN)
-    return scored.select("record_id_l", "record_id_r", *comparison.gamma_columns(DEFAULT_SETTINGS), F.round("match_weight", 6).alias("match_weight"))
+    scored = scored.select("*", *scoring.weight_columns(FROZEN))
+    rounded = [F.round(c, 6).alias(c) for c in ("match_weight", *[f"weight_{c}" for c in DEFAULT_SETTINGS.columns])]
+    return scored.select("record_id_l", "record_id_r", *comparison.gamma_columns(DEFAULT_SETTINGS), *rounded)
 
 
 # --- training
@@ -346,17 +358,21 @@ def _em_profiles(spark, folder):
 
 
 def em_one_iteration(spark, folder):
-    rule = RULES[0]
-    vectors = training.session_vectors(_em_profiles(spark, folder), FROZEN, rule)
-    step = training.em_step(vectors, FROZEN, training.active_comparisons(DEFAULT_SETTINGS, rule), 0.5)
-    return step.withColumns({"m": F.round("m", 6), "prior": F.round("prior", 6)})
+    """One round of each rule's session from the frozen model."""
+    rows = _em_profiles(spark, folder)
+    steps = []
+    for number, rule in enumerate(RULES, 1):
+        vectors = training.session_vectors(rows, FROZEN, rule)
+        step = training.em_step(vectors, FROZEN, training.active_comparisons(DEFAULT_SETTINGS, rule), 0.5)
+        steps.append(step.select(F.lit(number).alias("rule"), "comparison", "level", F.round("m", 6).alias("m"), F.round("prior", 6).alias("prior")))
+    return reduce(DataFrame.union, steps)
 
 
 def em_trained(spark, folder):
-    model = training.fit(_compared(spark, folder), DEFAULT_SETTINGS)
+    model = training.train(_compared(spark, folder), DEFAULT_SETTINGS, allow_partial=True).model
     path = _folder(spark)
     model.save(spark, path)
-    return load_model(spark, path).to_frame(spark)
+    return load_model(spark, path, DEFAULT_SETTINGS).to_frame(spark)
 
 
 # --- entities

@@ -4,40 +4,39 @@ from __future__ import annotations
 
 from kinfold.functions.text import ABBREVIATIONS, TITLES
 from kinfold.operators.model import LinkModel
-from kinfold.plans.catalog import FROZEN, NEW_FROM, RULES, SAMPLE_ROWS, U_PAIRS
+from kinfold.plans.catalog import FROZEN, NEW_FROM, NOT_ID, NOT_NAME, RULES, SAMPLE_ROWS, U_PAIRS
 from kinfold.settings import DATE, DEFAULT_SETTINGS, EXACT
+from kinfold.sources.persons import CYRILLIC, LATIN, PLACEHOLDER
 
 COLUMNS = DEFAULT_SETTINGS.columns
 TEXTS = [c for c in DEFAULT_SETTINGS.comparisons if c.kind not in (EXACT, DATE)]
 TF = [c.column for c in DEFAULT_SETTINGS.comparisons if c.term_frequency]
 
-PERSONS = """persons AS (
-  WITH e0 AS (
-    SELECT c_custkey AS k, c_nationkey AS nk, c_mktsegment AS seg,
-           CASE WHEN c_custkey % 10 = 9 THEN c_custkey - 9 ELSE c_custkey END AS base
-    FROM customer),
-  e AS (SELECT *, CASE WHEN base % 10 = 4 THEN base - 4 ELSE base END AS fam FROM e0),
-  n AS (
-    SELECT e.k, e.nk, e.seg, e.base, e.fam,
-           a.p_name || ' ' || b.p_name AS nm, f.p_name || ' ' || g.p_name AS fa, m.p_name || ' ' || g.p_name AS mo
-    FROM e
-    JOIN part a ON a.p_partkey = e.base % 199
-    JOIN part b ON b.p_partkey = (e.base * 7 + 3) % 197
-    JOIN part f ON f.p_partkey = (e.fam * 11 + 5) % 193
-    JOIN part g ON g.p_partkey = (e.fam * 17 + 2) % 181
-    JOIN part m ON m.p_partkey = (e.fam * 13 + 1) % 191)
+PERSONS = f"""parts AS (SELECT count(*) AS n FROM part),
+persons AS (
+  WITH keyed AS (
+    SELECT c_custkey AS k, c_nationkey AS nk, c_mktsegment AS seg, CASE WHEN c_custkey % 10 = 9 THEN c_custkey - 9 ELSE c_custkey END AS base FROM customer),
+  related AS (SELECT *, CASE WHEN base % 10 = 4 THEN base - 4 ELSE base END AS fam FROM keyed),
+  named AS (
+    SELECT r.*, a.p_name || ' ' || b.p_name AS nm, f.p_name || ' ' || g.p_name AS fa, m.p_name || ' ' || g.p_name AS mo
+    FROM related r, parts
+    JOIN part a ON a.p_partkey = r.base % parts.n
+    JOIN part b ON b.p_partkey = (r.base * 7 + 3) % parts.n
+    JOIN part f ON f.p_partkey = (r.fam * 11 + 5) % parts.n
+    JOIN part g ON g.p_partkey = (r.fam * 17 + 2) % parts.n
+    JOIN part m ON m.p_partkey = (r.fam * 13 + 1) % parts.n)
   SELECT lpad(cast(nk AS string), 3, '0') || '20240101' || lpad(cast(k AS string), 7, '0') AS record_id,
-         (CASE WHEN k % 7 = 0 THEN 'Dr. ' ELSE '' END)
-           || (CASE WHEN k % 20 = 19 THEN substring(nm,1,2) || substring(nm,4,1) || substring(nm,3,1) || substring(nm,5) ELSE nm END)
-           || (CASE WHEN k % 11 = 0 THEN ', S.Kom' ELSE '' END) AS full_name,
-         CASE WHEN k % 30 = 29 THEN NULL ELSE '11' || lpad(cast(base * 7919 % 99999999 AS string), 14, '0') END AS national_id,
+         CASE k % 50 WHEN 21 THEN '' WHEN 32 THEN '{PLACEHOLDER} ' || k WHEN 16 THEN translate(lower(nm), '{LATIN}', '{CYRILLIC}')
+              ELSE (CASE WHEN k % 7 = 0 THEN 'Dr. ' ELSE '' END)
+                   || (CASE WHEN k % 20 = 19 THEN substring(nm, 1, 2) || substring(nm, 4, 1) || substring(nm, 3, 1) || substring(nm, 5) ELSE nm END)
+                   || (CASE WHEN k % 11 = 0 THEN ', S.Kom' ELSE '' END) END AS full_name,
+         CASE WHEN k % 30 <> 29 THEN '11' || lpad(cast(base * 7919 % 99999999 AS string), 14, '0') END AS national_id,
          DATE '1960-01-01' + cast(fam * 7919 % 15000 AS int) AS birth_date,
          CASE WHEN base % 2 = 0 THEN 'L' ELSE 'P' END AS gender,
-         'Jl. ' || seg || ' No. ' || cast(base % 300 AS string) || ' Kec. ' || cast(nk AS string) AS address,
+         CASE WHEN k % 50 <> 43 THEN 'Jl. ' || seg || ' No. ' || cast(base % 300 AS string) || ' Kec. ' || cast(nk AS string) END AS address,
          lpad(cast(nk AS string), 3, '0') AS site_id,
          fa AS father_name, mo AS mother_name, base AS true_entity
-  FROM n)"""
-
+  FROM named)"""
 CASES = """cases AS (
   SELECT cast(o_orderkey AS varchar) AS case_id,
          lpad(cast(c_nationkey AS varchar), 3, '0') || '20240101' || lpad(cast(c_custkey AS varchar), 7, '0') AS record_id,
@@ -49,7 +48,7 @@ SOURCE = "record_id, full_name, national_id, birth_date, gender, address, site_i
 
 def clean(column: str) -> str:
     """The cleaning chain, one replacement per pattern in order."""
-    out = f"strip_accents(replace(lower({column}), 'ß', 'ss'))"
+    out = f"strip_accents(replace(translate(lower({column}), '{CYRILLIC}', '{LATIN}'), 'ß', 'ss'))"
     for pattern, word in [*((p, "") for p in TITLES), *ABBREVIATIONS]:
         out = f"regexp_replace({out}, '{pattern}', '{word}', 'g')"
     out = f"regexp_replace({out}, '[^a-z0-9\\s]', ' ', 'g')"
@@ -57,9 +56,14 @@ def clean(column: str) -> str:
     return f"CASE WHEN {column} <> '' THEN {out} END"
 
 
+def staged(column: str) -> str:
+    """A text of which nothing is left is null."""
+    return f"nullif({clean(column)}, '')"
+
+
 CLEANED = f"""cleaned AS (
-  SELECT *, {clean("full_name")} AS clean_name, {clean("address")} AS clean_address,
-         {clean("father_name")} AS clean_father, {clean("mother_name")} AS clean_mother
+  SELECT *, {staged("full_name")} AS clean_name, {staged("address")} AS clean_address,
+         {staged("father_name")} AS clean_father, {staged("mother_name")} AS clean_mother
   FROM persons)"""
 
 
@@ -99,15 +103,20 @@ TF_CTES = ",\n".join(
 TF_EXTRA = "".join(f", (SELECT tf FROM tf_{c} WHERE value = l.{c}) AS tf_{c}" for c in TF)
 
 
-def weights(model: LinkModel) -> str:
-    parts = [repr(model.prior_weight)]
+def weight_parts(model: LinkModel) -> dict[str, str]:
+    """What each comparison adds."""
+    parts = {}
     for c in model.settings.comparisons:
         gamma = f"gamma_{c.column}"
         cases = "".join(f" WHEN {i} THEN {model.weight(c.column, i)!r}" for i in range(c.top + 1))
-        parts.append(f"CASE {gamma}{cases} ELSE 0.0 END")
+        parts[c.column] = f"cast(CASE {gamma}{cases} ELSE 0.0 END AS DOUBLE)"
         if c.term_frequency:
-            parts.append(f"CASE WHEN {gamma} = {c.top} THEN log2({model.u[c.column][c.top]!r} / tf_{c.column}) ELSE 0.0 END")
-    return " + ".join(f"({p})" for p in parts)
+            parts[c.column] += f" + CASE WHEN {gamma} = {c.top} THEN log2({model.u[c.column][c.top]!r} / tf_{c.column}) ELSE 0.0 END"
+    return parts
+
+
+def weights(model: LinkModel) -> str:
+    return " + ".join(f"({p})" for p in (repr(model.prior_weight), *weight_parts(model).values()))
 
 
 SCORED = f"""scored AS (
@@ -158,10 +167,11 @@ def duplicates(source: str, keys: str, where: str = "true") -> str:
 
 
 ELIGIBLE = f"""eligible AS (
-  SELECT p.record_id, p.full_name, p.national_id, p.birth_date, p.gender, p.address, c.site_id, p.father_name, p.mother_name, c.case_id
-  FROM persons p LEFT JOIN cif_mapping m ON p.record_id = m.record_id LEFT JOIN cases c ON c.record_id = p.record_id
-  WHERE m.record_id IS NULL AND c.case_id IS NOT NULL AND c.site_id IS NOT NULL
-    AND p.full_name <> '' AND p.full_name NOT LIKE 'NAMA WBP%' AND p.record_id NOT LIKE '11f066%')"""
+  WITH open_cases AS (SELECT case_id, record_id, site_id FROM cases WHERE case_id IS NOT NULL AND site_id IS NOT NULL)
+  SELECT record_id, full_name, national_id, birth_date, gender, address, o.site_id, father_name, mother_name, o.case_id
+  FROM persons JOIN open_cases o USING (record_id)
+  WHERE record_id NOT IN (SELECT record_id FROM cif_mapping) AND length(full_name) > 0
+    AND NOT starts_with(full_name, '{NOT_NAME}') AND NOT starts_with(record_id, '{NOT_ID}'))"""
 LATEST = "latest AS (SELECT * FROM eligible QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY case_id DESC) = 1)"
 STAGED = f"{SOURCE.replace(', father_name, mother_name', '')}, clean_name, clean_address, clean_father, clean_mother"
 
@@ -184,8 +194,8 @@ def u_sql() -> str:
     )
 
 
-def em_sql(prior: float = 0.5) -> str:
-    rule = RULES[0]
+def em_sql(number: int, prior: float = 0.5) -> str:
+    rule = RULES[number - 1]
     active = [c for c in DEFAULT_SETTINGS.comparisons if c.column not in rule]
     factors = [f"({prior / (1 - prior)!r})"]
     for c in active:
@@ -201,7 +211,7 @@ def em_sql(prior: float = 0.5) -> str:
         for i in range(c.top + 1)
     ]
     ctes = [PERSONS, CLEANED, TF_CTES, pairs_cte(rules=(rule,)), gammas_cte(extra=TF_EXTRA), chance, f"steps AS ({' UNION ALL '.join(parts)})"]
-    return with_(*ctes) + "SELECT comparison, cast(level AS INTEGER) AS level, round(m, 6) AS m, round((SELECT avg(p) FROM chance), 6) AS prior FROM steps"
+    return with_(*ctes) + f"SELECT {number} AS rule, comparison, cast(level AS INTEGER) AS level, round(m, 6) AS m, round((SELECT avg(p) FROM chance), 6) AS prior FROM steps"
 
 
 ENTITIES = with_(FULL, components("edges"), "entity AS (SELECT c.record_id, coalesce(k.component, c.record_id) AS least FROM cleaned c LEFT JOIN component k ON k.node = c.record_id)")
@@ -303,13 +313,17 @@ def oracle_sql() -> dict[str, str]:
         "extract_limited": people + f"SELECT {SOURCE} FROM persons WHERE record_id > '010' ORDER BY record_id LIMIT 500",
         "extract_site_filter": people + f"SELECT {SOURCE} FROM persons WHERE site_id IN ('001', '002')",
         "extract_custom_sql": with_(PERSONS, MAPPED, CASES, ELIGIBLE) + "SELECT * FROM eligible",
-        "source_contract": people + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count({c}) AS present FROM persons" for c in SOURCE.split(", ")),
+        "source_contract": people
+        + " UNION ALL ".join(
+            [f"SELECT q AS query, 'placeholder' AS kind, p AS item, q = 'good' OR p <> ':limit' AS present, cast(0 AS BIGINT) AS values FROM (VALUES ('good'), ('broken')) a(q), (VALUES (':last_id'), (':limit')) b(p)"]
+            + [f"SELECT q, 'column', '{c}', {'true' if c not in ('national_id', 'full_name') else 'q = ' + chr(39) + 'good' + chr(39)}, (SELECT count({c}) FROM persons) FROM (VALUES ('good'), ('broken')) a(q)" for c in SOURCE.split(", ")]
+        ),
         "unmapped_anti_join": with_(PERSONS, MAPPED) + "SELECT record_id, full_name, site_id FROM persons p WHERE NOT EXISTS (SELECT 1 FROM cif_mapping m WHERE m.record_id = p.record_id)",
         "case_inner_fanout_latest": with_(PERSONS, MAPPED, CASES, ELIGIBLE, LATEST) + "SELECT record_id, full_name, site_id, case_id FROM latest",
         "staging_rows": cleaned + f"SELECT {STAGED} FROM cleaned",
         "staging_upsert": with_(PERSONS, CLEANED, MAPPED, CASES, ELIGIBLE, LATEST, "delta AS (SELECT record_id, full_name || ' bin ' || case_id AS full_name, site_id FROM latest)")
         + f"""SELECT record_id, full_name, clean_name, site_id FROM cleaned WHERE record_id NOT IN (SELECT record_id FROM delta)
-        UNION ALL SELECT record_id, full_name, {clean("full_name")}, site_id FROM delta""",
+        UNION ALL SELECT record_id, full_name, {staged("full_name")}, site_id FROM delta""",
         "high_water_mark": people + "SELECT site_id, max(record_id) AS position FROM persons GROUP BY site_id UNION ALL SELECT 'all', max(record_id) FROM persons",
         "events_high_water_mark": "SELECT event_type, max(event_id) AS position, count(*) AS n FROM events GROUP BY event_type",
         "mark_processed": with_(PERSONS, CASES)
@@ -340,12 +354,14 @@ def oracle_sql() -> dict[str, str]:
         "scored_pairs_frozen": scored + "SELECT id_l AS record_id_l, id_r AS record_id_r, round(match_weight, 6) AS match_weight, round(match_probability, 6) AS match_probability FROM scored",
         "pairs_over_threshold": scored
         + "SELECT id_l AS record_id_l, id_r AS record_id_r, round(match_probability, 6) AS match_probability FROM scored WHERE match_weight >= -4.0 AND match_probability >= 0.9",
-        "scored_pairs_debug": scored + f"SELECT id_l AS record_id_l, id_r AS record_id_r, {', '.join(names)}, round(match_weight, 6) AS match_weight FROM scored",
+        "scored_pairs_debug": scored + f"SELECT id_l AS record_id_l, id_r AS record_id_r, {', '.join(names)}, round(match_weight, 6) AS match_weight, "
+        + ", ".join(f"round({p}, 6) AS weight_{c}" for c, p in weight_parts(FROZEN).items())
+        + " FROM scored",
         "u_from_random_pairs": u_sql(),
         "prior_estimate": cleaned
         + """SELECT records, pairs::BIGINT AS pairs, round(least(1.0, pairs / 0.7 / (records::DOUBLE * (records - 1) / 2)), 12) AS prior
         FROM (SELECT (SELECT count(*) FROM cleaned) AS records, coalesce(sum(n * (n - 1) / 2.0), 0)::DOUBLE AS pairs FROM (SELECT count(*) AS n FROM cleaned WHERE national_id IS NOT NULL GROUP BY national_id))""",
-        "em_one_iteration": em_sql(),
+        "em_one_iteration": " UNION ALL ".join(f"SELECT * FROM ({em_sql(i)})" for i in range(1, len(RULES) + 1)),
         "connected_components": with_(FULL, components("edges")) + "SELECT node, component FROM component",
         "stable_cluster_id": people + f"SELECT record_id, {stable_id('record_id')} AS numeric_id, {stable_id(chr(39) + 'CIF-' + chr(39) + ' || record_id')} AS hashed_id FROM persons",
         "resolve_entities": ENTITIES + f"SELECT record_id, {cluster_of(chr(39) + 'CIF-' + chr(39) + ' || least')} AS cluster_id, 'CIF-' || least AS cif_number FROM entity",

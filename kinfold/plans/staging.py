@@ -15,7 +15,8 @@ CLEANED = {"full_name": "clean_name", "address": "clean_address", "father_name":
 
 
 def with_clean_columns(df: DataFrame) -> DataFrame:
-    return df.withColumns({clean: clean_text(F.col(raw)) for raw, clean in CLEANED.items()})
+    """Cleaned columns. A text of which nothing is left says nothing: it is null, neither blocks nor compares."""
+    return df.withColumns({clean: F.nullif(clean_text(F.col(raw)), F.lit("")) for raw, clean in CLEANED.items()})
 
 
 def site_filter(sites: str | None) -> Column:

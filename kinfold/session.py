@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The shared folder named by ``spark.checkpoint.dir``; where it is unset, one beside the warehouse's tables."""
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
-        if named is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-            named = tempfile.mkdtemp(prefix="kinfold-")
-        sc.setCheckpointDir(named)
+        named = sc.getConf().get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate")
     return sc.getCheckpointDir()
 
 
+def forget(*frames: DataFrame) -> None:
+    """Delete what :func:`materialize` wrote for these, once nothing reads it any more."""
+    for df in frames:
+        path = getattr(df, "_written_to", None)
+        if path is not None:
+            jvm = df.sparkSession._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -30,4 +35,6 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._written_to = path
+    return written

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from kinfold.operators.sampling import first_n
 
 
 @dataclass(frozen=True)
@@ -50,10 +52,15 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     return spark.read.format(spec.kind).options(**spec.options).load(spec.location)
 
 
-def read_query(spark: SparkSession, query: str, last_id: str | None = None, limit: int | None = None) -> DataFrame:
-    """A source query of the caller's own, with ``:last_id`` and ``:limit`` bound as values."""
-    args = {"last_id": "" if last_id is None else last_id, "limit": 2**31 - 1 if limit is None else limit}
-    return spark.sql(query, args=args)
+def read_query(spark: SparkSession, query: str, last_id: str | None = None, limit: int | None = None, key: str = "record_id") -> DataFrame:
+    """A source query of the caller's own, with ``:last_id`` bound as a value.
+
+    ``LIMIT :limit`` stands for the number of rows wanted: without one all rows come, and with one those of the
+    smallest keys, chosen by a distributed cut instead of an ordered limit in one task.
+    """
+    unlimited = re.sub(r"(?i)\blimit\s+:limit\b", "LIMIT ALL", query)
+    rows = spark.sql(unlimited, args={"last_id": "" if last_id is None else last_id})
+    return rows if limit is None else first_n(rows, key, limit)
 
 
 def append(df: DataFrame, location: str, kind: str = "parquet", table: str | None = None, batch_rows: int = 1000, **options: str) -> None:
@@ -63,12 +70,3 @@ def append(df: DataFrame, location: str, kind: str = "parquet", table: str | Non
     else:
         df.write.mode("append").format(kind).options(**options).save(location)
 
-
-def approximate_sample(df: DataFrame, share: float, seed: int = 0) -> DataFrame:
-    """About a ``share`` of the rows, without ordering anything."""
-    return df.sample(fraction=share, seed=seed)
-
-
-def random_order_sample(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """``n`` rows in random order; for samples small enough to sort in one task."""
-    return df.orderBy(F.rand(seed)).limit(n)
