@@ -78,7 +78,7 @@ def mark_revisits(pages: DataFrame) -> DataFrame:
     adaptive execution splits a frequent one.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
-    rows = pages.withColumns({"html": html, "digest": F.sha2(html.cast("binary"), 256)})
+    rows = pages.select("page_id", "url", "captured_at", "html").withColumns({"html": html, "digest": F.sha2(html.cast("binary"), 256)})
     long_ = rows.filter(F.octet_length("html") >= REVISIT_BYTES)
     first = long_.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("digest").alias("_digest"), "first")
     joined = rows.join(first, F.col("digest") == F.col("_digest"), "left")
