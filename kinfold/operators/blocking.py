@@ -16,7 +16,7 @@ TILE_ROWS = 2048
 BROADCAST_BLOCKS = 20_000
 # Pairs one task should form; adaptive execution sees only the small join input, not the pairs it turns into.
 PAIRS_PER_TASK = 500_000
-MOST_TASKS = 20_000
+ROWS_PER_TASK = 1_000_000
 # New records of one batch that may be broadcast (their count is known to the caller).
 BROADCAST_NEW = 100_000
 
@@ -75,6 +75,12 @@ class BlockStats:
     pairs: int
     largest: int
     oversized: int
+    rows: int = 0
+
+    @property
+    def tasks(self) -> int:
+        """Join tasks that neither the rows nor the pairs overload."""
+        return max(-(-self.pairs // PAIRS_PER_TASK), -(-self.rows // ROWS_PER_TASK))
 
 
 def block_stats(df: DataFrame, rules: tuple[tuple[str, ...], ...], tile_rows: int = TILE_ROWS) -> BlockStats:
@@ -86,10 +92,11 @@ def block_stats(df: DataFrame, rules: tuple[tuple[str, ...], ...], tile_rows: in
             F.coalesce(F.sum(rows * (rows - 1) / 2), F.lit(0)).cast("decimal(38,0)").alias("pairs"),
             F.coalesce(F.max("rows"), F.lit(0)).alias("largest"),
             F.count_if(F.col("rows") > tile_rows).alias("oversized"),
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
         )
         .first()
     )
-    return BlockStats(int(found.pairs), int(found.largest), int(found.oversized))
+    return BlockStats(int(found.pairs), int(found.largest), int(found.oversized), int(found.rows))
 
 
 def _oversized(df: DataFrame, rules, tile_rows: int, stats: BlockStats) -> DataFrame:
@@ -169,7 +176,7 @@ def self_pairs(
         guard_max_pairs(stats.pairs, max_pairs)
     rows, shown = _needed(df, settings, carry)
     keyed = with_block_keys(rows, rules)
-    tasks = min(-(-stats.pairs // PAIRS_PER_TASK), MOST_TASKS)
+    tasks = stats.tasks
     ordered = F.col(f"l.{ident}") < F.col(f"r.{ident}")
     if not stats.oversized:
         keyed = _spread(keyed, tasks, ["rule", "block"])
@@ -219,7 +226,7 @@ def keyed_new_vs_all(
 
     With ``new_rows`` known and at most BROADCAST_NEW, the new side is broadcast and the other side is joined
     where it lies, so a hot block stays spread over the tasks that hold it. Otherwise both sides are shuffled;
-    an oversized block of the new side is cut into tiles, and the matching rows of the other side go to each.
+    a block that is oversized on either side is laid out as a grid of tiles.
     """
     rules = settings.rules
     found = [
@@ -229,16 +236,19 @@ def keyed_new_vs_all(
     ]
     if new_rows is not None and new_rows <= BROADCAST_NEW:
         return _meet(F.broadcast(left), right, ["rule", "block"], rules, condition).select(*found)
-    sizes = left.groupBy("rule", "block").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > tile_rows)
+    sizes = [side.groupBy("rule", "block").agg(F.count(F.lit(1)).alias(n)) for side, n in ((left, "left_rows"), (right, "right_rows"))]
+    sizes = sizes[0].join(sizes[1], ["rule", "block"]).filter((F.col("left_rows") > tile_rows) | (F.col("right_rows") > tile_rows))
     oversized = sizes.count()
     if not oversized:
         return _meet(left, right, ["rule", "block"], rules, condition).select(*found)
-    sizes = sizes.select("rule", "block", F.ceil(F.col("rows") / tile_rows).cast("int").alias("tiles"))
+    tiles = [F.ceil(F.col(f"{side}_rows") / tile_rows).cast("int").alias(f"{side}_tiles") for side in ("left", "right")]
+    sizes = sizes.select("rule", "block", *tiles)
     sizes = F.broadcast(sizes) if oversized <= BROADCAST_BLOCKS else sizes
-    tiles = F.coalesce("tiles", F.lit(1))
-    left = left.join(sizes, ["rule", "block"], "left").withColumn("tile", _tile(settings.id_column, tiles))
-    right = right.join(sizes, ["rule", "block"], "left").withColumn("tile", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    return _meet(left, right, ["rule", "block", "tile"], rules, condition).select(*found)
+    own, other = (F.coalesce(f"{side}_tiles", F.lit(1)) for side in ("left", "right"))
+    # A grid of tiles: a row has one tile of its own side and goes to every tile of the other.
+    left = left.join(sizes, ["rule", "block"], "left").withColumns({"left_tile": _tile(settings.id_column, own), "right_tile": F.explode(F.sequence(F.lit(0), other - 1))})
+    right = right.join(sizes, ["rule", "block"], "left").withColumns({"right_tile": _tile(settings.id_column, other), "left_tile": F.explode(F.sequence(F.lit(0), own - 1))})
+    return _meet(left, right, ["rule", "block", "left_tile", "right_tile"], rules, condition).select(*found)
 
 
 def rule_pairs(df: DataFrame, settings: LinkSettings, number: int) -> DataFrame:

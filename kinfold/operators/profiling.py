@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.operators.sampling import sample_n
+from kinfold.session import materialize
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -43,9 +44,10 @@ def top_values(df: DataFrame, column: str, k: int = 5) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """``bin, low, high, n`` over equal bins from minimum to maximum; the last bin is closed. Nulls are left out.
 
-    Values are counted first, so the second pass runs over distinct values.
+    Values are counted first and the counts written, so that range and bins come from distinct values.
     """
     counted = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    counted = materialize(counted)
     low, high = counted.agg(F.min("value")).scalar(), counted.agg(F.max("value")).scalar()
     ranged = counted.withColumns({"lowest": low, "width": (high - low) / bins})
     # One value only: a single bin of width 1 around it holds everything, as numpy does it.
@@ -66,7 +68,12 @@ def length_histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 
 
 def report(df: DataFrame, key: str, name: str, birth_date: str, lengths: list[str], frequent: list[str]) -> DataFrame:
-    """The profile in long form: ``metric, column, item, value``; ready to be written as JSON or Parquet."""
+    """The profile in long form: ``metric, column, item, value``; ready to be written as JSON or Parquet.
+
+    The source is read once: the profiled columns are written, and each figure then reads only the columns it needs.
+    """
+    df = materialize(df)
+    columns = df.columns
 
     def rows(source: DataFrame, metric, column, item, value) -> DataFrame:
         return source.select(
@@ -77,10 +84,10 @@ def report(df: DataFrame, key: str, name: str, birth_date: str, lengths: list[st
         )
 
     nothing = F.lit(None)
-    parts = [
-        rows(df.agg(F.count(F.lit(1)).alias("n")), "rows", nothing.cast("string"), nothing, F.col("n")),
-        rows(null_counts(df), "missing", F.col("column"), nothing, F.col("missing")),
-    ]
+    wide = df.select(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    counts = wide.unpivot([], ["_rows", *columns], "column", "n")
+    total = F.col("column") == "_rows"
+    parts = [rows(counts, F.when(total, "rows").otherwise("missing"), F.when(~total, F.col("column")), nothing, F.col("n"))]
     for keys, keep_nulls in (([key], False), ([name, birth_date], True)):
         found = exact_duplicates(df, keys, keep_nulls).unpivot([], ["dup_groups", "dup_rows"], "metric", "value")
         parts.append(rows(found, F.col("metric"), F.lit("+".join(keys)), nothing, F.col("value")))

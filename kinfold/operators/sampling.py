@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _RANGE = 1 << 52
-_PAIRS_PER_TASK = 100_000
+_PAIRS_PER_TASK, _ROWS_PER_TASK = 100_000, 1_000_000
 
 
 def seeded_number(ident: Column, seed: int) -> Column:
@@ -46,7 +46,9 @@ def first_n(df: DataFrame, ident: str, n: int) -> DataFrame:
     ``n``, a probe of the ids first finds a value that leaves little more than ``n`` rows to order.
     """
     total = df.count()
-    if total > 4 * n and total > _PROBE:
+    if n >= total:
+        return df.orderBy(ident)
+    if total > n and total > _PROBE:
         share = _PROBE / total
         probe = df.select(ident).filter(seeded_number(F.col(ident), 11) < int(_RANGE * share))
         rank = n * share
@@ -76,7 +78,7 @@ def random_pairs(df: DataFrame, ident: str, carry: list[str], max_pairs: int, se
     placed = df.select(ident, *carry, (number % slots).alias("slot"), F.pmod(F.xxhash64(ident), F.lit(tiles)).cast("int").alias("own"))
     # A fixed number of tasks: the input looks too small to adaptive execution for the pairs it turns into.
     pairs = min(max_pairs, rows * (rows - 1) // 2)
-    tasks = max(1, pairs // _PAIRS_PER_TASK, min(slots * tiles, df.sparkSession.sparkContext.defaultParallelism))
+    tasks = max(1, pairs // _PAIRS_PER_TASK, rows // _ROWS_PER_TASK, min(slots * tiles, df.sparkSession.sparkContext.defaultParallelism))
     left = placed.withColumns({"a": F.col("own"), "b": F.explode(F.sequence("own", F.lit(tiles - 1)))})
     right = placed.withColumns({"b": F.col("own"), "a": F.explode(F.sequence(F.lit(0), "own"))})
     left, right = left.repartition(tasks, "slot", "a", "b").alias("l"), right.repartition(tasks, "slot", "a", "b").alias("r")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # A lookup row counts as hot from this many matching rows on; there can be at most (all rows / HOT_ROWS) such rows.
 HOT_ROWS = 1_000_000
+# Hot lookup rows that are broadcast; should a huge table have more, all rows are joined by a shuffle.
+MOST_HOT = 200_000
 
 
 def attach(df: DataFrame, lookup: DataFrame, key: str, matching: str, spread: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -17,6 +19,8 @@ def attach(df: DataFrame, lookup: DataFrame, key: str, matching: str, spread: Co
     """
     added = [c for c in lookup.columns if c not in (key, matching)]
     hot = lookup.filter(F.col(matching) >= hot_rows).select(F.col(key), F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in added])
+    if hot.count() > MOST_HOT:
+        return df.join(lookup.select(key, *added), key, "left").select(*df.columns, *added)
     cold = lookup.filter(F.col(matching) < hot_rows).select(F.col(key).alias("_cold_key"), F.lit(False).alias("_spread"), *added)
     served = df.join(F.broadcast(hot), key, "left")
     alone = F.col("_hot").isNotNull() | F.col(key).isNull()

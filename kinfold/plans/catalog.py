@@ -159,6 +159,16 @@ def source_contract(spark, folder):
     return met.join(values, "item", "left").fillna(0, ["values"])
 
 
+def extract_resumed(spark, folder):
+    """Runs with two site filters, one of them in two goes; positions and staged rows as they stand afterwards."""
+    store = tables.EntityStore(spark, _folder(spark))
+    people = persons(spark, folder)
+    for run, (sites, limit) in enumerate([(SITES, 5), ("003", None), ("002,001", None), (SITES, None)]):
+        staging.extract_job(store, people, f"run-{run}", sites, limit)
+    staged = store.read("staging").select(F.lit("row").alias("kind"), F.col("record_id").alias("name"), F.col("site_id").alias("value"))
+    return staged.union(store.read("positions").select(F.lit("position"), "sites", "position"))
+
+
 def unmapped_anti_join(spark, folder):
     people = persons(spark, folder)
     return people.join(mapped_ids(people), "record_id", "left_anti").select("record_id", "full_name", "site_id")
@@ -246,6 +256,10 @@ def profile_report(spark, folder):
     return profiling.analyze(persons(spark, folder).drop("true_entity"))
 
 
+def profile_staged(spark, folder):
+    return profiling.analyze(staging.to_staging(staging.extract_increment(persons(spark, folder))), "staged")
+
+
 def sample_rows(spark, folder):
     return sampling.sample_n(persons(spark, folder), "record_id", SAMPLE_ROWS // 100, seed=3).select("record_id", "full_name")
 
@@ -529,11 +543,11 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         normalize_names, normalize_addresses, normalize_documents, clean_documents,
-        extract_keyset, extract_limited, extract_site_filter, extract_custom_sql, source_contract,
+        extract_keyset, extract_limited, extract_site_filter, extract_custom_sql, extract_resumed, source_contract,
         unmapped_anti_join, case_inner_fanout_latest, staging_rows, staging_upsert, high_water_mark,
         events_high_water_mark, mark_processed,
         null_profile, dup_groups_key, dup_groups_name_dob, length_histogram, document_length_histogram,
-        top_values, value_counts, profile_report, sample_rows,
+        top_values, value_counts, profile_report, profile_staged, sample_rows,
         tf_table, pairs_all_rules, pair_estimate, new_vs_all_pairs,
         jaro_winkler_pairs, dob_levels, order_date_levels, gamma_pattern_counts,
         scored_pairs_frozen, pairs_over_threshold, scored_pairs_debug,

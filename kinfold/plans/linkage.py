@@ -18,7 +18,7 @@ from kinfold.operators.profiles import collapse, profile_key
 from kinfold.operators.sampling import first_n
 from kinfold.operators.scoring import matches
 from kinfold.operators.skew import attach
-from kinfold.session import materialize
+from kinfold.session import forget, materialize
 from kinfold.sources.tables import EntityStore, unprocessed_ids
 
 _ID = "record_id"
@@ -100,13 +100,13 @@ def link_batch(
     frequencies: dict[str, DataFrame],
     threshold: float = 0.9,
     match_weight_threshold: float = -4.0,
-    max_pairs: int | None = 3_000_000,
+    max_pairs: int | None = None,
     broadcast_rows: int = BROADCAST_NEW,
 ) -> BatchLinks:
     """Match new records against all records and settle their entity numbers.
 
-    ``everything`` includes the batch; ``clusters`` holds the numbers given so far. ``max_pairs`` bounds the matched
-    profile pairs of the batch (copies count once) and is checked before anything is returned.
+    ``everything`` includes the batch; ``clusters`` holds the numbers given so far. ``max_pairs``, if given, bounds the
+    record pairs that the blocks of the batch make, and is checked before any pair is formed.
     """
     settings = model.settings
     members = materialize(batch.select(_ID, *settings.columns, profile_key(settings).alias("profile")))
@@ -120,7 +120,11 @@ def link_batch(
         }
     fresh = materialize(with_tf(fresh, frequencies, _ID))
     fresh_keys = with_block_keys(fresh, settings.rules)
-    near = _touched(everything, fresh_keys, model, small)
+    near = materialize(_touched(everything, fresh_keys, model, small))
+    if max_pairs is not None:
+        sides = [side.groupBy("rule", "block").agg(F.sum("copies").alias(n)) for side, n in ((fresh_keys, "a"), (near, "b"))]
+        made = sides[0].join(sides[1], ["rule", "block"]).agg(F.sum(F.col("a").cast("decimal(38,0)") * (F.col("b") - 1))).first()[0]
+        guard_max_pairs(int(made or 0), max_pairs)
 
     left = [_ID, *settings.columns, "profile", "copies", *[f"tf_{c}" for c in frequencies]]
     right = [_ID, *settings.columns, "profile", "copies"]
@@ -134,8 +138,6 @@ def link_batch(
 
     per_profile = edges.groupBy("profile_l").agg(F.count(F.lit(1)).alias("edges"), F.sum("pairs").alias("pairs"), F.first("copies_l").alias("members"))
     figures = per_profile.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("edges", "pairs", "members")]).first()
-    if max_pairs is not None:
-        guard_max_pairs(figures.edges, max_pairs)
 
     # Every profile of the batch with a match takes part under the smallest id among all its copies.
     matched = edges.select(F.col("profile_r").alias("profile"), F.col("node_r").alias("node")).distinct()
@@ -187,32 +189,35 @@ def run(
     threshold: float = 0.9,
     batch_size: int = 50_000,
     limit: int | None = None,
-    max_pairs_per_batch: int | None = 3_000_000,
+    max_pairs_per_batch: int | None = None,
     match_weight_threshold: float = -4.0,
     compact_every: int = 20,
 ) -> list[BatchReport]:
     """Link everything that is staged and not linked yet, in batches of ``batch_size`` up to ``limit`` records.
 
     What is pending is settled once, as a table of ids in id order; each batch then takes the next ids from it and
-    fetches only their rows.
+    fetches only their rows. Records count as linked as of the moment their rows were read, so one that is extracted
+    again while the run goes on is pending again.
     """
+    read_at = F.lit(store.spark.range(1).select(F.current_timestamp()).first()[0])
     staging = materialize(store.read("staging"))
     frequencies = {c: materialize(t) for c, t in tf_tables(staging, model.settings).items()}
     waiting = unprocessed_ids(staging, store.read("clusters"))
     pending = materialize(waiting.repartitionByRange(_ID).sortWithinPartitions(_ID))
     reports: list[BatchReport] = []
-    done = 0
+    done, rest = 0, pending
     while limit is None or done < limit:
         size = batch_size if limit is None else min(batch_size, limit - done)
-        ids = materialize(first_n(pending, _ID, size))
+        ids = materialize(first_n(rest, _ID, size))
         last = ids.agg(F.max(_ID)).first()[0]
         if last is None:
             break
         batch = staging.join(F.broadcast(ids) if size <= BROADCAST_NEW else ids, _ID, "left_semi")
         links = link_batch(batch, staging, store.read("clusters"), model, frequencies, threshold, match_weight_threshold, max_pairs_per_batch)
-        reports.append(commit_batch(store, f"run-{uuid.uuid4().hex}", links))
+        reports.append(commit_batch(store, f"run-{uuid.uuid4().hex}", links, read_at))
+        forget(ids)
         done += links.records
-        pending = pending.filter(F.col(_ID) > last)
+        rest = pending.filter(F.col(_ID) > last)
         if len(reports) % compact_every == 0:
             store.compact()
     return reports

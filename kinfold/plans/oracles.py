@@ -228,11 +228,14 @@ def resolve_batch_sql() -> str:
     return with_(FULL, FIRST, known, touching, nodes, graph, components("graph"), given) + f"SELECT record_id, {cluster_of('cif_number')} AS cluster_id, cif_number FROM given"
 
 
-def report_sql() -> str:
+SOURCE_COLUMNS = ("record_id", "full_name", "national_id", "birth_date", "gender", "address", "site_id")
+
+
+def report_sql(profiled=SOURCE_COLUMNS, *more: str) -> str:
     null = "cast(NULL AS varchar)"
     parts = [f"SELECT 'rows' AS metric, {null} AS \"column\", {null} AS item, count(*) AS value FROM persons"]
-    profiled = ("record_id", "full_name", "national_id", "birth_date", "gender", "address", "site_id")
-    parts += [f"SELECT 'missing', '{c}', {null}, count(*) - count({c}) FROM persons" for c in profiled]
+    source = "cleaned" if more else "persons"
+    parts += [f"SELECT 'missing', '{c}', {null}, count(*) - count({c}) FROM {source}" for c in profiled]
     for keys, name, where in (("national_id", "national_id", "national_id IS NOT NULL"), ("full_name, birth_date", "full_name+birth_date", "true")):
         found = duplicates("persons", keys, where)
         parts += [f"SELECT '{m}', '{name}', {null}, {m} FROM ({found})" for m in ("dup_groups", "dup_rows")]
@@ -240,7 +243,22 @@ def report_sql() -> str:
         parts.append(f"""SELECT 'length', "column", cast(round(low, 3) AS varchar), n FROM ({histogram("persons", c, c)})""")
     for c in ("full_name", "site_id"):
         parts.append(f"""SELECT 'frequent', "column", value, n FROM {top("persons", c)}""")
-    return with_(PERSONS) + " UNION ALL ".join(parts)
+    return with_(PERSONS, *more) + " UNION ALL ".join(parts)
+
+
+def spread_labels(rounds: int) -> str:
+    """The smallest node reachable in ``rounds`` steps, by handing smaller labels to neighbours."""
+    ctes = ["labels0 AS MATERIALIZED (SELECT DISTINCT a AS node, a AS label FROM links)"]
+    for i in range(rounds):
+        ctes.append(
+            f"labels{i + 1} AS MATERIALIZED (SELECT node, min(label) AS label FROM (SELECT node, label FROM labels{i} "
+            f"UNION ALL SELECT b, label FROM labels{i} JOIN links ON a = node) GROUP BY node)"
+        )
+    return ",\n".join(ctes)
+
+
+PART_GRAPH = """links AS MATERIALIZED (
+  SELECT DISTINCT 'o' || l_orderkey AS a, 'p' || l_partkey AS b FROM lineitem UNION SELECT DISTINCT 'p' || l_partkey, 'o' || l_orderkey FROM lineitem)"""
 
 
 def _chosen(share: float, seed: int) -> str:
@@ -336,6 +354,12 @@ def oracle_sql() -> dict[str, str]:
         "top_values": people + f"SELECT * FROM {top('persons', 'full_name')} UNION ALL SELECT * FROM {top('persons', 'site_id')}",
         "value_counts": people + "SELECT national_id AS value, count(*) AS n FROM persons GROUP BY national_id",
         "profile_report": report_sql(),
+        "profile_staged": report_sql((*SOURCE_COLUMNS, "clean_name", "clean_address", "clean_father", "clean_mother"), CLEANED),
+        "extract_resumed": people
+        + """SELECT 'row' AS kind, record_id AS name, site_id AS value FROM persons WHERE site_id IN ('001', '002', '003')
+        UNION ALL SELECT 'position', '001,002', max(record_id) FROM persons WHERE site_id IN ('001', '002')
+        UNION ALL SELECT 'position', '003', max(record_id) FROM persons WHERE site_id = '003'""",
+        "order_components": with_(PART_GRAPH, spread_labels(16)) + "SELECT label AS component, count(*) AS nodes FROM labels16 GROUP BY label",
         "sample_rows": people + f"SELECT record_id, full_name FROM persons ORDER BY {hashed('record_id', 3)}, record_id LIMIT {SAMPLE_ROWS // 100}",
         "tf_table": with_(PERSONS, CLEANED, TF_CTES) + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", value, n, round(tf, 9) AS tf FROM tf_{c}" for c in TF),
         "pairs_all_rules": pairs + "SELECT id_l AS record_id_l, id_r AS record_id_r, rule FROM pairs",

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from kinfold import schema
 from kinfold.functions.text import clean_text
 from kinfold.operators.sampling import first_n
-from kinfold.sources.tables import latest_per_key
+from kinfold.session import forget, materialize
+from kinfold.sources.tables import EntityStore, latest_per_key
 
 # Source column and the cleaned column made from it.
 CLEANED = {"full_name": "clean_name", "address": "clean_address", "father_name": "clean_father", "mother_name": "clean_mother"}
@@ -68,17 +69,33 @@ def one_row_per_person(eligible_rows: DataFrame) -> DataFrame:
     return latest_per_key(eligible_rows, ["record_id"], [F.desc("case_id")])
 
 
+def _filter_name(sites: str | None) -> str:
+    return ",".join(sorted(s.strip() for s in sites.split(","))) if sites else ""
+
+
 def filter_position(state: DataFrame, sites: str | None) -> str | None:
     """Where the extraction with this site filter stopped; each filter has a position of its own.
 
-    ``state`` is a table of ``sites, position``, one row per finished extraction.
+    ``state`` is a table of ``sites, position``.
     """
-    name = ",".join(sorted(s.strip() for s in sites.split(","))) if sites else ""
-    return state.filter(F.col("sites") == name).agg(F.max("position")).first()[0]
+    return state.filter(F.col("sites") == _filter_name(sites)).agg(F.max("position")).first()[0]
 
 
 def position_row(increment: DataFrame, sites: str | None) -> DataFrame:
-    """The row to append to the state table after an increment was staged."""
-    name = ",".join(sorted(s.strip() for s in sites.split(","))) if sites else ""
-    return high_water_mark(increment).filter(F.col("position").isNotNull()).select(F.lit(name).alias("sites"), "position")
+    """The row of the state table after an increment was staged."""
+    return high_water_mark(increment).filter(F.col("position").isNotNull()).select(F.lit(_filter_name(sites)).alias("sites"), "position")
+
 
+def extract_job(store: EntityStore, source: DataFrame, run_id: str, sites: str | None = None, limit: int | None = None, restart: bool = False) -> int:
+    """Extract what lies behind the filter's position, or everything with ``restart``; returns the number of rows.
+
+    Rows and new position become visible in one commit, so a run that fails is repeated from where it began, and
+    one that is repeated under its ``run_id`` changes nothing.
+    """
+    last = None if restart else filter_position(store.read("positions"), sites)
+    rows = materialize(extract_increment(source, last, sites, limit))
+    found = rows.count()
+    if found:
+        store.commit(run_id, staging=to_staging(rows), positions=position_row(rows, sites))
+    forget(rows)
+    return found

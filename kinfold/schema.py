@@ -51,6 +51,7 @@ CLUSTERS = _struct(
     ("processed_at", T.TimestampType()),
 )
 
+POSITIONS = T.StructType([T.StructField("sites", T.StringType(), False), T.StructField("position", T.StringType())])
 MERGES = _struct(("old_cif", _S), ("new_cif", _S))
 
 

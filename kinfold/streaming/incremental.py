@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kinfold import schema
@@ -12,7 +13,7 @@ from kinfold.operators.frequency import tf_tables
 from kinfold.operators.model import LinkModel
 from kinfold.plans.linkage import BatchReport, commit_batch, link_batch
 from kinfold.plans.staging import to_staging
-from kinfold.session import materialize
+from kinfold.session import forget, materialize
 from kinfold.sources.tables import EntityStore, unprocessed_ids
 
 
@@ -26,7 +27,7 @@ def stage_and_link(
     store: EntityStore,
     model: LinkModel,
     threshold: float = 0.9,
-    max_pairs: int | None = 3_000_000,
+    max_pairs: int | None = None,
     report: Callable[[BatchReport], None] | None = None,
     run_name: str = "stream",
 ) -> Callable[[DataFrame, int], None]:
@@ -42,6 +43,7 @@ def stage_and_link(
         name = f"{run_name}-{number}"
         if store.committed(name):
             return
+        read_at = F.lit(rows.sparkSession.range(1).select(F.current_timestamp()).first()[0])
         staging, clusters = materialize(store.read("staging")), store.read("clusters")
         ids = materialize(unprocessed_ids(staging, clusters))
         if ids.isEmpty():
@@ -49,7 +51,8 @@ def stage_and_link(
         batch = staging.join(ids, "record_id", "left_semi")
         frequencies = {c: materialize(t) for c, t in tf_tables(staging, model.settings).items()}
         links = link_batch(batch, staging, clusters, model, frequencies, threshold, max_pairs=max_pairs)
-        done = commit_batch(store, name, links)
+        done = commit_batch(store, name, links, read_at)
+        forget(staging, ids, *frequencies.values())
         if report is not None:
             report(done)
 

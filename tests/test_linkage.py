@@ -113,3 +113,24 @@ def test_quality_of_injected_duplicates(spark, folder):
     assert both.filter("record_id <> true_entity").count() > 20
     found = duplicates.pair_quality(linkage.link_all(both, FROZEN), both).first()
     assert found.recall > 0.9 and found.true_pairs == both.filter("record_id <> true_entity").count()
+
+
+def test_names_in_other_scripts_stay_apart(spark, folder):
+    """Six persons with six Cyrillic names, parents and numbers and one birth date are six entities."""
+    names = ["Иванов Пётр", "Сидоров Олег", "Жуков Лев", "Щукин Яков", "Цой Виктор", "Ёлкин Юрий"]
+    rows = [(f"00120240101000900{i}", n, f"77{i:014d}", "1980-05-05", "L", None, "001", names[i - 1], names[i - 2]) for i, n in enumerate(names)]
+    six = spark.createDataFrame(rows, "record_id string, full_name string, national_id string, birth_date string, gender string, address string, site_id string, father_name string, mother_name string")
+    six = six.withColumn("birth_date", F.col("birth_date").cast("date"))
+    people = staging.with_clean_columns(persons(spark, folder).drop("true_entity").unionByName(six))
+    found = linkage.link_all(materialize(people), FROZEN).filter("record_id LIKE '00120240101000900%'")
+    assert found.count() == found.select("cif_number").distinct().count() == 6
+
+
+def test_hot_block_on_the_other_side(spark):
+    """A block with few new and many known records is cut on both sides, and every pair comes once."""
+    rows = [(f"{i:05d}", "1", None) for i in range(300)] + [("x", "2", None)]
+    everything = spark.createDataFrame(rows, "record_id string, national_id string, birth_date date").withColumns({c: F.lit(None).cast("string") for c in DEFAULT_SETTINGS.columns if c not in ("national_id", "birth_date")})
+    new = everything.filter("record_id < '00003'")
+    for tile in (7, 10_000):
+        found = blocking.new_vs_all(new, everything, DEFAULT_SETTINGS, carry=[], tile_rows=tile)
+        assert found.count() == found.distinct().count() == 3 * 299
