@@ -21,7 +21,7 @@ days week weeks month months year years dollar dollars cent cents euro euros per
 
 SPACES = "[ \\t\\n\\x0B\\f\\r]+"
 #: In front of a capital at the start of a text or sentence comes a mark, since such a capital makes no name.
-STARTS = "(^|[.!?\\n])([ \\t\\n\\x0B\\f\\r\"'(]*)(\\p{Lu})"
+STARTS = "(^|[.!?])([ \\t\\n\\x0B\\f\\r\"'(]*)(\\p{Lu})"
 NOISE = "[^\\p{L}\\p{N}\\x01 \\t\\n\\x0B\\f\\r]+"
 
 
@@ -44,25 +44,29 @@ def template(token: Column) -> Column:
     return F.when(first.between("0", "9") | low.isin(NUMBERS), "<n>").when(low.isin(UNITS), "<u>").when(name, "<p>").otherwise(low)
 
 
-def windows(texts: DataFrame, keys: list[str], text_column: str) -> DataFrame:
-    """``keys, at, hash, slots`` of each window of WINDOW template tokens that has at least LITERAL literal ones.
+def windows(texts: DataFrame, keys: list[str], text_column: str, widths: list[int] | None = None) -> DataFrame:
+    """``keys, at, hash, slots, wide`` of each window of template tokens that has at least LITERAL literal ones.
 
-    A text of fewer tokens is one window if it has LITERAL literals. ``slots`` holds the values of the placeholders.
+    Windows have each of the ``widths``; without any, WINDOW tokens, or all of a shorter text. ``slots`` holds the
+    values of the placeholders, if there are any.
     """
     made = texts.select(*keys, tokens(F.col(text_column)).alias("_words"))
     made = made.select(*keys, "_words", F.transform("_words", template).alias("_forms"))
     made = made.select(*keys, "_words", F.transform("_forms", lambda f: F.xxhash64(f)).alias("_hashes"), F.transform("_forms", lambda f: F.substring(f, 1, 1) == "<").alias("_typed"))
-    wide = F.least(F.lit(WINDOW), F.size("_words"))
-    at = F.sequence(F.lit(1), F.size("_words") - wide + 1)
 
-    def window(i: Column) -> Column:
-        typed = F.slice("_typed", i, wide)
-        # The values are looked up only where there is a placeholder.
-        slots = F.when(F.array_contains(typed, True), F.filter(F.zip_with(F.slice("_words", i, wide), typed, lambda w, t: F.when(t, F.lower(w))), lambda x: x.isNotNull()))
-        return F.struct(i.alias("at"), F.xxhash64(F.slice("_hashes", i, wide)).alias("hash"), slots.alias("slots"), wide.alias("wide"))
+    def of_width(wide: Column) -> Column:
+        def window(i: Column) -> Column:
+            typed = F.slice("_typed", i, wide)
+            # The values are looked up only where there is a placeholder.
+            slots = F.when(F.array_contains(typed, True), F.filter(F.zip_with(F.slice("_words", i, wide), typed, lambda w, t: F.when(t, F.lower(w))), lambda x: x.isNotNull()))
+            return F.struct(i.alias("at"), F.xxhash64(F.slice("_hashes", i, wide)).alias("hash"), slots.alias("slots"), wide.alias("wide"))
 
-    out = made.select(*keys, F.explode(F.transform(at, window)).alias("_w")).select(*keys, "_w.at", "_w.hash", "_w.slots", "_w.wide")
-    return out.filter(F.col("slots").isNull() | (F.col("wide") - F.size("slots") >= LITERAL)).filter(F.col("wide") >= LITERAL)
+        return F.when(F.size("_words") >= wide, F.transform(F.sequence(F.lit(1), F.size("_words") - wide + 1), window))
+
+    each = [of_width(F.lit(w)) for w in widths] if widths else [of_width(F.least(F.lit(WINDOW), F.size("_words")))]
+    made = made.select(*keys, F.explode(each[0] if len(each) == 1 else F.flatten(F.array_compact(F.array(*each)))).alias("_w"))
+    out = made.select(*keys, "_w.at", "_w.hash", "_w.slots", "_w.wide").filter(F.col("wide") >= LITERAL)
+    return out.filter(F.col("slots").isNull() | (F.col("wide") - F.size("slots") >= LITERAL))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -70,7 +74,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
 
     Texts turn into templates: numbers, names and units become typed placeholders, case and punctuation go. A window
     of an item and one of a document meet by hash. Windows that keep their distance form a passage; it counts as a
-    leak when it covers LEAK_TOKENS tokens, or all windows of a shorter item, and its placeholders are filled
+    leak when it covers LEAK_TOKENS tokens, or all but one windows of a shorter item, and its placeholders are filled
     consistently: each value of the item stands for one value of the document. ``kind`` is ``exact`` if all values
     agree and ``changed`` if not. Tokens count from 1 in the document. ``text_hash`` tells rows of the same id apart.
 
@@ -82,11 +86,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     """
     source = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("_row"), F.col(text_column).alias("_text"))
     items = benchmark.select(F.col(item_column).alias("item_id"), F.xxhash64(F.coalesce(F.col(item_text), F.lit(""))).alias("_item"), F.col(item_text).alias("_text")).distinct()
-    known = windows(items, ["item_id", "_item"], "_text").select("item_id", "_item", F.col("at").alias("_item_at"), "hash", F.col("slots").alias("_item_slots"))
-    totals = known.groupBy("item_id", "_item").agg(F.count(F.lit(1)).alias("n_item_windows"))
-    small = known.count() <= MOST_BROADCAST
-    seen = windows(source, ["doc_id", "_row"], "_text")
-    met = seen.join(F.broadcast(known) if small else known, "hash")
+    known = windows(items, ["item_id", "_item"], "_text").select("item_id", "_item", F.col("at").alias("_item_at"), "hash", F.col("slots").alias("_item_slots"), F.col("wide").alias("_item_wide"))
+    totals = known.groupBy(F.col("item_id").alias("_total_id"), F.col("_item").alias("_total_item")).agg(F.count(F.lit(1)).alias("n_item_windows"))
+    # Only items shorter than a window have other widths: WINDOW - LITERAL of them at most.
+    found = known.groupBy("_item_wide").count().collect()
+    small = sum(r["count"] for r in found) <= MOST_BROADCAST
+    seen = windows(source, ["doc_id", "_row"], "_text", sorted(r["_item_wide"] for r in found) or [WINDOW])
+    met = seen.join(F.broadcast(known) if small else known, "hash").filter(F.col("wide") == F.col("_item_wide"))
     pair = lambda a, b: F.struct(F.translate(a, "\x01", "").alias("item"), F.translate(b, "\x01", "").alias("doc"))
     fills = F.when(F.col("slots").isNotNull() & F.col("_item_slots").isNotNull(), F.zip_with("_item_slots", "slots", pair))
     met = met.select("doc_id", "_row", "item_id", "_item", (F.col("at") - F.col("_item_at")).alias("_shift"), "at", "wide", fills.alias("_fills"))
@@ -96,12 +102,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
         F.min("at").alias("from_token"),
         F.max(F.col("at") + F.col("wide") - 1).alias("to_token"),
         F.array_distinct(F.flatten(F.collect_set("_fills"))).alias("_fills"),
-        F.max("wide").alias("_wide"),
     )
-    passages = passages.join(F.broadcast(totals) if small else totals, ["item_id", "_item"])
+    same_item = (F.col("_item") == F.col("_total_item")) & F.col("item_id").eqNullSafe(F.col("_total_id"))
+    passages = passages.join(F.broadcast(totals) if small else totals, same_item)
     values = F.size(F.array_distinct(F.transform("_fills", lambda x: x["item"])))
     consistent = F.size("_fills") == values
-    enough = F.least(F.lit(LEAK_TOKENS - WINDOW + 1), F.col("n_item_windows"))
+    # The first word of an item may count as a name where it stands in the middle of a sentence.
+    enough = F.least(F.lit(LEAK_TOKENS - WINDOW + 1), F.greatest(F.lit(1), F.col("n_item_windows") - 1))
     found = passages.filter((F.col("n_windows") >= enough) & consistent)
     kind = F.when(F.forall("_fills", lambda x: x["item"].eqNullSafe(x["doc"])), "exact").otherwise("changed")
     return found.select("doc_id", "item_id", kind.alias("kind"), "n_windows", "n_item_windows", "from_token", "to_token", F.col("_row").alias("text_hash"))

@@ -122,7 +122,7 @@ passages AS (
 SELECT doc_id, item_id, CASE WHEN len(list_filter(fills, lambda x: x[1] <> x[2])) = 0 THEN 'exact' ELSE 'changed' END AS kind,
        n_windows, n_item_windows, from_token::INT AS from_token, to_token::INT AS to_token
 FROM passages JOIN totals USING (item_id)
-WHERE n_windows >= least({d.LEAK_TOKENS - d.WINDOW + 1}, n_item_windows) AND len(fills) = len(list_distinct(list_transform(fills, lambda x: x[1])))"""
+WHERE n_windows >= least({d.LEAK_TOKENS - d.WINDOW + 1}, greatest(1, n_item_windows - 1)) AND len(fills) = len(list_distinct(list_transform(fills, lambda x: x[1])))"""
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": EXACT,
