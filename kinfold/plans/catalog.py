@@ -62,6 +62,7 @@ FROZEN = LinkModel(
 RULES = DEFAULT_SETTINGS.rules
 SAMPLE_ROWS = 100_000
 U_PAIRS = 5_000_000
+MATCH_WEIGHT = 25.0
 SITES = "001, 002"
 # Record ids lead with the site: the sites from this one on register later than the others.
 NEW_FROM = "015"
@@ -346,6 +347,12 @@ def pairs_over_threshold(spark, folder):
     return found.select("record_id_l", "record_id_r", F.round("match_probability", 6).alias("match_probability"))
 
 
+def pairs_over_weight(spark, folder):
+    """The coarse weight filter decides: it asks for more than the probability does."""
+    found = scoring.matches(_scored(spark, folder), FROZEN, 0.9, MATCH_WEIGHT, keep=["record_id_l", "record_id_r"])
+    return found.select("record_id_l", "record_id_r", F.round("match_weight", 6).alias("match_weight"))
+
+
 def scored_pairs_debug(spark, folder):
     """Scored pairs with levels and with what each comparison adds."""
     scored = scoring.score_pairs(_scored(spark, folder), FROZEN)
@@ -550,7 +557,7 @@ QUERIES: dict[str, Query] = {
         top_values, value_counts, profile_report, profile_staged, sample_rows,
         tf_table, pairs_all_rules, pair_estimate, new_vs_all_pairs,
         jaro_winkler_pairs, dob_levels, order_date_levels, gamma_pattern_counts,
-        scored_pairs_frozen, pairs_over_threshold, scored_pairs_debug,
+        scored_pairs_frozen, pairs_over_threshold, pairs_over_weight, scored_pairs_debug,
         u_from_random_pairs, prior_estimate, em_one_iteration, em_trained,
         connected_components, order_components, stable_cluster_id, resolve_entities, resolve_batch,
         bridge_merges, apply_merges, incremental_two_batches, run_statistics, stream_stage_and_link,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from kinfold.functions.text import ABBREVIATIONS, TITLES
 from kinfold.operators.model import LinkModel
-from kinfold.plans.catalog import FROZEN, NEW_FROM, NOT_ID, NOT_NAME, RULES, SAMPLE_ROWS, U_PAIRS
+from kinfold.plans.catalog import FROZEN, MATCH_WEIGHT, NEW_FROM, NOT_ID, NOT_NAME, RULES, SAMPLE_ROWS, U_PAIRS
 from kinfold.settings import DATE, DEFAULT_SETTINGS, EXACT
 from kinfold.sources.persons import CYRILLIC, LATIN, PLACEHOLDER
 
@@ -378,6 +378,8 @@ def oracle_sql() -> dict[str, str]:
         "scored_pairs_frozen": scored + "SELECT id_l AS record_id_l, id_r AS record_id_r, round(match_weight, 6) AS match_weight, round(match_probability, 6) AS match_probability FROM scored",
         "pairs_over_threshold": scored
         + "SELECT id_l AS record_id_l, id_r AS record_id_r, round(match_probability, 6) AS match_probability FROM scored WHERE match_weight >= -4.0 AND match_probability >= 0.9",
+        "pairs_over_weight": scored
+        + f"SELECT id_l AS record_id_l, id_r AS record_id_r, round(match_weight, 6) AS match_weight FROM scored WHERE match_weight >= {MATCH_WEIGHT} AND match_probability >= 0.9",
         "scored_pairs_debug": scored + f"SELECT id_l AS record_id_l, id_r AS record_id_r, {', '.join(names)}, round(match_weight, 6) AS match_weight, "
         + ", ".join(f"round({p}, 6) AS weight_{c}" for c, p in weight_parts(FROZEN).items())
         + " FROM scored",
