@@ -17,6 +17,7 @@ from kinfold.llm.lines import apply_bitmaps, line_bitmaps
 from kinfold.llm.sharding import shard
 from kinfold.llm.tokenfiles import read_token_files, write_token_files
 from kinfold.llm.warc import merge_runs, read_archives, write_archives
+from kinfold.session import materialize
 
 #: Pages carry no time of capture; theirs is one second apart from here, in the order of ids (2024-01-01T00:00:00Z).
 FIRST_CAPTURE = 1704067200
@@ -34,13 +35,15 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").withColumn("captured_at", F.timestamp_seconds(F.coalesce("page_id", F.lit(0)) + FIRST_CAPTURE))
     runs = write_archives(pages, fresh_folder(spark, "warc"))
     history = merge_runs(runs).select("file", "offset", "url_key", "capture")
-    records = read_archives(runs, dict(runs.dtypes)["page_id"]).drop("payload")
+    # Written, so that the planner knows how many there are and does not take them for a few file names.
+    records = materialize(read_archives(runs, dict(runs.dtypes)["page_id"]).drop("payload"))
     return records.join(history, ["file", "offset"]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "capture")
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    manifest = write_token_files(docs, fresh_folder(spark, "tokens"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, vocabulary=50257)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    manifest = write_token_files(docs, fresh_folder(spark, "tokens"), path, public_tokenizers.PATTERN, end_id=2, vocabulary=50257)
     return read_token_files(spark, manifest, dict(docs.dtypes)["doc_id"]).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,30 +22,33 @@ SEQUENCE, BATCH = 2048, 512
 #: Characters of text that are encoded together.
 SPAN = 1 << 21
 
-_encoders: dict[str, WordMemory] = {}
+_encoders: dict[tuple[str, str], WordMemory] = {}
 
 
-def encoder(path: str) -> WordMemory:
-    """The tokenizer of a file of the ``tokenizers`` library, one per worker, behind a memory of words.
+def byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it can be seen, else one above 255."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    unseen = [b for b in range(256) if b not in set(seen)]
+    return {b: b for b in seen} | {b: 256 + i for i, b in enumerate(unseen)}
 
-    Its pre-tokenizer never joins a single blank to what stands in front of it, so words can be encoded apart.
-    Special tokens are read as ordinary text.
+
+def encoder(path: str, pattern: str) -> WordMemory:
+    """The byte-level BPE model of a file of the ``tokenizers`` library, one per worker, behind a memory of words.
+
+    ``pattern`` is the one of its pre-tokenizer. It never joins a single blank to what stands in front of it, so words
+    can be encoded apart, and matches are handed to the model as they are: special tokens are read as ordinary text.
     """
-    if path not in _encoders:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    if (path, pattern) not in _encoders:
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        pieces_of, letters = regex.compile(pattern).findall, byte_letters()
+        tokenize = Tokenizer.from_file(path).model.tokenize
 
         def solve(words: list[str]) -> list[bytes]:
-            out = []
-            for i in range(0, len(words), 4096):
-                out += [np.array(e.ids, np.int32).tobytes() for e in tokenizer.encode_batch_fast(words[i : i + 4096], add_special_tokens=False)]
-            return out
+            return [array("i", [t.id for p in pieces_of(w) for t in tokenize(p.encode().decode("latin-1").translate(letters))]).tobytes() for w in words]
 
-        _encoders[path] = WordMemory(solve)
-    return _encoders[path]
+        _encoders[path, pattern] = WordMemory(solve)
+    return _encoders[path, pattern]
 
 
 def _schema(vocabulary: int, sequence: int) -> pa.Schema:
@@ -103,6 +107,7 @@ def write_token_files(
     docs: DataFrame,
     folder: str,
     tokenizer_path: str,
+    pattern: str,
     end_id: int,
     vocabulary: int,
     id_column: str = "doc_id",
@@ -126,7 +131,7 @@ def write_token_files(
     ordered = rows.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").select("doc_id", "text")
 
     def run(batches):
-        writer, own = None, encoder(tokenizer_path)
+        writer, own = None, encoder(tokenizer_path, pattern)
         for b in batches:
             if writer is None:
                 writer = _ShardWriter(folder, b.schema.field("doc_id").type, vocabulary, sequence, batch)

@@ -9,7 +9,7 @@ from kinfold.llm.common import fresh_folder
 from kinfold.llm.tokenfiles import encoder, read_sequence, read_token_files, write_token_files
 from tests.llm.rows import awkward, frame
 
-PATH = public_tokenizers.path("byte_bpe_50k.json")
+PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
 
 
 @pytest.fixture(scope="module")
@@ -21,12 +21,12 @@ def tokenizer():
 
 def test_words_encode_like_whole_texts(tokenizer):
     texts = [r[1] for r in awkward() if r[1]] + ["  a  b\n\n c\t d\x85e  f", "don't 12 45!!  \n x", "　x　y z  q", "<|endoftext|> x", "a \x1c b\x1f c", " lead", "trail "]
-    assert [e.tolist() for e in encoder(PATH).encode(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [e.tolist() for e in encoder(PATH, PATTERN).encode(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 @pytest.mark.parametrize("sequence, batch", [(2048, 512), (16, 2), (7, 3)])
 def test_round_trip(spark, tokenizer, sequence, batch):
-    manifest = write_token_files(frame(spark), fresh_folder(spark, "tokens"), PATH, 2, 50257, sequence=sequence, batch=batch)
+    manifest = write_token_files(frame(spark), fresh_folder(spark, "tokens"), PATH, PATTERN, 2, 50257, sequence=sequence, batch=batch)
     found = read_token_files(spark, manifest, "bigint").orderBy("start").collect()
     ids = {}
     for r in awkward():
@@ -50,5 +50,5 @@ def test_round_trip(spark, tokenizer, sequence, batch):
 
 
 def test_empty_table(spark):
-    manifest = write_token_files(frame(spark, []), fresh_folder(spark, "tokens"), PATH, 2, 50257)
+    manifest = write_token_files(frame(spark, []), fresh_folder(spark, "tokens"), PATH, PATTERN, 2, 50257)
     assert manifest.count() == 0 and read_token_files(spark, manifest, "bigint").count() == 0
