@@ -292,5 +292,6 @@ def read_archives(runs: DataFrame, id_type: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     schema = f"file string, offset long, page_id {id_type}, url string, captured_at timestamp, record_type string, refers_to {id_type}, payload_bytes long, payload_digest string, payload binary"
-    # As many tasks as there are archives, within reason; they differ little in size.
-    return files.repartition(partitions(files.sparkSession), "file").mapInArrow(run, schema)
+    # A task for each archive: adaptive execution would see a short list of names and put it into one.
+    listed = materialize(files)
+    return listed.repartition(max(1, listed.count())).mapInArrow(run, schema)
