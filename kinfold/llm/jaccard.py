@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kinfold.llm.common import partitions
-from kinfold.llm.signatures import mix, shingle_set, signatures
+from kinfold.llm.signatures import difference_bound, mix, shingle_set, signatures
 from kinfold.operators.components import connected_components
 from kinfold.session import materialize
 
@@ -84,12 +84,12 @@ def _signature_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "sig long, class long")
 
 
-def _shared_signatures(docs: DataFrame, classes: DataFrame, words: int, percent: int, share: float) -> DataFrame:
-    """``sig, class, low`` of signatures that two classes or more have; ``low`` is the least class beside it.
+def _stars(docs: DataFrame, classes: DataFrame, words: int, percent: int, share: float) -> DataFrame:
+    """Distinct pairs ``low, class``: each class beside the centre of those that have the same signature.
 
-    The signatures cross one shuffle. One that an unusual share of the documents has, judged by a probe of bounded
-    size, is dealt over all tasks by class; ``low`` is then the least of its part, and the parts are tied together
-    by further rows. Rows of a large group of copies are left out before: one of them stands for all.
+    The signatures cross one shuffle, and only those that two classes share go on. One that an unusual share of the
+    documents has, judged by a probe of bounded size, is dealt over all tasks by class. Rows of a large group of
+    copies are left out before: one of them stands for all.
     """
     spark = docs.sparkSession
     tasks = partitions(spark)
@@ -118,17 +118,22 @@ def _shared_signatures(docs: DataFrame, classes: DataFrame, words: int, percent:
         found = found.withColumns({"part": F.lit(0), "hot": F.lit(None).cast("boolean")})
     near = Window.partitionBy("sig", "part")
     found = found.select("sig", "class", "hot", F.min("class").over(near).alias("low"), F.max("class").over(near).alias("high"))
-    shared = found.filter((F.col("low") < F.col("high")) | F.col("hot")).select("sig", "class", "hot", "low").distinct()
-    shared = materialize(shared)
-    if not split:
-        return shared.drop("hot")
-    parts = shared.filter("hot").select("sig", F.col("low").alias("class")).distinct()
-    ties = parts.join(parts.groupBy("sig").agg(F.min("class").alias("low")), "sig").select("sig", "class", "low")
-    return shared.drop("hot").union(ties)
+    shared = materialize(found.filter((F.col("low") < F.col("high")) | F.col("hot")).select("sig", "class").distinct())
+    # The class with the most shared signatures is in most of the groups around it, so few classes serve as centres.
+    degree = shared.groupBy("class").agg(F.count(F.lit(1)).alias("degree"))
+    placed = shared.join(degree, "class")
+    centre = placed.groupBy("sig").agg(F.max(F.struct("degree", "class")).alias("top")).select("sig", F.col("top.class").alias("low"))
+    pairs = shared.join(centre, "sig").filter(F.col("low") != F.col("class"))
+    return pairs.select("low", "class").distinct()
 
 
-def _linked(docs: DataFrame, keepers: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``low, class`` whose sets link, by their full shingle sets.
+def _compared(docs: DataFrame, keepers: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``low, class, linked, n, apart, delta`` of each pair, by the full shingle sets.
+
+    ``n`` is the size of the set of ``class`` and ``apart`` the number of elements in which the two sets differ. These
+    in an order that is the same for all sets beside one ``low``, first those that ``low`` has not, are ``delta``, as
+    far as they can matter to :func:`_rest_pairs`. Half of each hash is enough there: what it confuses is compared again.
+    Repeated rows of one document may give a pair twice.
 
     Each text is fetched once per pair it is the second of. The texts to be compared with the same first text meet
     in one stretch of a sorted partition, or in several if they are many; a task holds two sets at a time.
@@ -143,7 +148,7 @@ def _linked(docs: DataFrame, keepers: DataFrame, pairs: DataFrame, words: int, p
     def run(batches):
         centre, own = None, None
         for batch in batches:
-            lows, names = [], []
+            rows = []
             for low, part, name, role, text in zip(*(batch.column(i) for i in range(5))):
                 elements = shingle_set(text.as_py(), words)
                 if role.as_py() == 0:
@@ -152,54 +157,48 @@ def _linked(docs: DataFrame, keepers: DataFrame, pairs: DataFrame, words: int, p
                     continue
                 if centre != (low.as_py(), part.as_py()):
                     raise RuntimeError("a star without its first set")
-                common = len(own) + len(elements) - len(np.union1d(own, elements))
-                if common and 100 * common >= percent * (len(own) + len(elements) - common):
-                    lows.append(low.as_py())
-                    names.append(name.as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(lows, pa.int64()), pa.array(names, pa.int64())], ["src", "dst"])
-
-    return ordered.mapInArrow(run, "src long, dst long")
-
-
-def _rest_pairs(docs: DataFrame, keepers: DataFrame, mixed: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs ``low, class`` between different components that may link, among the classes of ``mixed(class, root)``.
-
-    These classes share a signature with a class of another component, often by a passage that many texts have. Their
-    shingles are ordered by how many of them have it, rare first. Linked sets share one of the first
-    ``n - ceil(percent * n / 100) + 1`` shingles, and with the first shared one at places i and j they can share at
-    most ``min(n1 - i, n2 - j)``; what cannot reach the bound is never formed.
+                n = len(elements)
+                at = np.minimum(np.searchsorted(own, elements), len(own) - 1)
+                held = own[at] == elements
+                common = int(held.sum())
+                apart = n + len(own) - 2 * common
+                linked = common > 0 and 100 * common >= percent * (n + len(own) - common)
+                most = difference_bound(n, n * 100 // percent + 1, percent) + 1
+                delta = elements[~held][:most]
+                if len(delta) < most:
+                    delta = np.r_[delta, np.delete(own, at[held])[: most - len(delta)]]
+                rows.append((low.as_py(), name.as_py(), linked, n, apart, (delta >> np.uint64(32)).astype(np.uint32).view(np.int32)))
+            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+            columns = list(zip(*rows)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["low", "class", "linked", "n", "apart", "delta"])
+
+    return ordered.mapInArrow(run, "low long, class long, linked boolean, n long, apart long, delta array<int>")
+
+
+def _rest_pairs(compared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``low, class`` of different components that may still link, from what they differ in from one ``low``.
+
+    Linked sets share a signature and hence a ``low`` that both were compared with. Say they differ from it in D1 and
+    D2. They differ from each other in ``|D1| + |D2| - 2 |D1 and D2|`` elements; if the bound k allows that without
+    any common difference, one of them links to ``low``, and since its set is close, so does the other. Otherwise
+    they share a difference. The first shared one, at places i and j, leaves at most ``min(|D1| - i, |D2| - j)``
+    shared ones; what cannot reach ``(|D1| + |D2| - k) / 2`` is never formed. So texts that have much in common with
+    ``low``, but each differ from it in their own way, do not meet.
     """
-
-    def run(batches):
-        for batch in batches:
-            names, roots, sizes, found = [], [], [], []
-            for name, root, text in zip(*(batch.column(i) for i in range(3))):
-                elements = shingle_set(text.as_py(), words)
-                names.append(name.as_py())
-                roots.append(root.as_py())
-                sizes.append(len(elements))
-                found.append(elements)
-            if found:
-                spread = [np.repeat(np.array(x, np.int64), sizes) for x in (names, roots, sizes)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in spread] + [pa.array(np.concatenate(found).view(np.int64))], ["class", "root", "n", "element"])
-
-    texts = _texts_of(mixed, keepers, docs).select("class", "root", "text")
-    rows = materialize(texts.mapInArrow(run, "class long, root long, n long, element long").distinct())
-    often = rows.groupBy("element").agg(F.count(F.lit(1)).alias("often"))
-    # Rows are joined to counts on the element; adaptive execution splits frequent ones.
-    order = Window.partitionBy("class").orderBy("often", "element")
-    ranked = rows.join(often, "element").withColumn("at", F.row_number().over(order) - 1)
-    ranked = ranked.filter((F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100)) & (F.col("often") > 1))
-    heads = materialize(ranked.select("class", "root", "n", "element", "at"))
-    a, b = heads.alias("a"), heads.alias("b")
-    reach = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    placed = compared.drop("linked").join(roots, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("component", "class"))
+    mixed = placed.groupBy("low").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter(F.col("least") < F.col("most")).select("low")
+    rows = placed.join(mixed, "low", "left_semi").select("low", "class", "root", "n", "apart", F.posexplode("delta").alias("at", "element"))
+    a, b = rows.alias("a"), rows.alias("b")
+    reach = F.least(F.col("a.apart") - F.col("a.at"), F.col("b.apart") - F.col("b.at"))
+    sizes = F.col("a.n") + F.col("b.n")
     may = (
-        (F.col("a.element") == F.col("b.element"))
+        (F.col("a.low") == F.col("b.low"))
+        & (F.col("a.element") == F.col("b.element"))
         & (F.col("a.class") < F.col("b.class"))
         & (F.col("a.root") != F.col("b.root"))
         & (F.col("a.n") * 100 >= F.col("b.n") * percent)
         & (F.col("b.n") * 100 >= F.col("a.n") * percent)
-        & (reach * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent)
+        & ((2 * reach - F.col("a.apart") - F.col("b.apart")) * (100 + percent) + (100 - percent) * sizes >= 0)
     )
     return a.join(b, may).select(F.col("a.class").alias("low"), F.col("b.class").alias("class")).distinct()
 
@@ -214,23 +213,21 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     same id apart; texts under one id are documents of their own, though their components may then have one name.
 
     No link is lost, though the pairs of a group are not formed: classes that share a signature are compared with one
-    of them each (stars). Only classes that still share a signature across components need more, and these are few:
-    ``_rest_pairs`` finds what may link among them.
+    of them each (stars), and what they differ in from it tells which others have to be compared.
     """
     text = F.col(text_column)
     source = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"), text.alias("text"))
     classes = materialize(shingle_classes(source, words))
     keepers = materialize(_keepers(classes))
-    shared = _shared_signatures(source, classes, words, percent, share)
-    stars = shared.filter(F.col("low") < F.col("class")).select("low", "class").distinct()
-    links = materialize(_linked(source, keepers, materialize(stars), words, percent).distinct())
+    stars = materialize(_stars(source, classes, words, percent, share))
+    compared = materialize(_compared(source, keepers, stars, words, percent))
+    links = compared.filter("linked").select(F.col("low").alias("src"), F.col("class").alias("dst"))
     roots = materialize(connected_components(links))
-    placed = shared.join(roots, F.col("class") == F.col("node"), "left").select("sig", "class", F.coalesce("component", "class").alias("root"))
-    mixed = placed.groupBy("sig").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter(F.col("least") < F.col("most")).select("sig")
-    mixed = materialize(placed.join(mixed, "sig", "left_semi").select("class", "root").distinct())
-    if not mixed.isEmpty():
-        rest = materialize(_rest_pairs(source, keepers, mixed, words, percent).join(stars, ["low", "class"], "left_anti"))
-        more = materialize(_linked(source, keepers, rest, words, percent).distinct())
+    known = compared.select(F.least("low", "class").alias("low"), F.greatest("low", "class").alias("class"))
+    rest = materialize(_rest_pairs(compared, roots, percent).join(known, ["low", "class"], "left_anti"))
+    if not rest.isEmpty():
+        more = _compared(source, keepers, rest, words, percent).filter("linked").select(F.col("low").alias("src"), F.col("class").alias("dst"))
+        more = materialize(more)
         if not more.isEmpty():
             roots = materialize(connected_components(links.union(more)))
     named = keepers.join(roots, F.col("class") == F.col("node"), "left").select("class", "keep_id", F.coalesce("component", "class").alias("root"))

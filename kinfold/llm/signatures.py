@@ -10,18 +10,22 @@ Kaushik, VLDB 2006) turns into equality of signatures:
   elements at most k // 2 groups hold two or more, so at least one group holds at most one, and in that group one
   of the three subsets of two parts is free of differences. Each subset of each group is one signature.
 
-A signature whose parts hold no element says little and would gather unrelated sets. Levels with k >= 8 therefore
-have ``SPARE`` groups more than needed; a set with at most SPARE groups that hold such a signature leaves these out
-without losing a pair, since one more group still agrees.
+A signature whose parts hold no element says little and would gather unrelated sets. Levels therefore have some spare
+groups, more than even the smallest sets of the level are likely to have with such signatures; a set with no more of
+them than spare groups leaves them out without losing a pair, since one more group still agrees. A set with more of them
+(mostly a small one) leaves them out too, and adds its first ``n - ceil(percent n / 100) + 1`` shingles in the order of
+their hashes: two linked sets that both do so share one of these, as every prefix filter has it.
 """
 
 from __future__ import annotations
 
+import math
+from functools import lru_cache
+
 import numpy as np
 import xxhash
 
 PARTS = 3
-SPARE = 2
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S27, _S30, _S31 = np.uint64(27), np.uint64(30), np.uint64(31)
 
@@ -67,8 +71,24 @@ def bands(largest: int, percent: int) -> list[int]:
 _starts: dict[int, list[int]] = {}
 
 
-def levels_of(size: int, percent: int) -> list[tuple[int, int]]:
-    """(level, most differing elements of a linked pair at it) of a set: its own band and the next.
+@lru_cache(maxsize=None)
+def _layout(smallest: int, k: int) -> tuple[int, int]:
+    """(groups, spare groups) of a level whose smallest sets have ``smallest`` elements.
+
+    With g groups, about ``3 g exp(-2/3 smallest / g)`` signatures of such a set hold nothing. The fewest spare groups
+    are taken that exceed this by three deviations, or none if that would take half of the groups again.
+    """
+    needed = k // 2 + 1
+    for spare in range(2, needed // 2 + 2):
+        groups = needed + spare
+        empty = PARTS * groups * math.exp(-2 / 3 * smallest / groups)
+        if empty + 3 * math.sqrt(empty) <= spare:
+            return groups, spare
+    return needed, 0
+
+
+def levels_of(size: int, percent: int) -> list[tuple[int, int, int]]:
+    """(level, most differing elements of a linked pair at it, size of its smallest sets): own band and the next.
 
     Level j is for pairs of the bands j - 1 and j, and for pairs within band j - 1, whose bound is no larger.
     """
@@ -76,7 +96,7 @@ def levels_of(size: int, percent: int) -> list[tuple[int, int]]:
     if starts is None or starts[-2] <= size:
         starts = _starts[percent] = bands(max(size, 1 << 20), percent)
     band = int(np.searchsorted(starts, size, side="right")) - 1
-    return [(j, difference_bound(starts[j] - 1, starts[j + 1] - 1, percent)) for j in (band, band + 1)]
+    return [(j, difference_bound(starts[j] - 1, starts[j + 1] - 1, percent), starts[max(j - 1, 0)]) for j in (band, band + 1)]
 
 
 def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
@@ -84,14 +104,13 @@ def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
     out = []
     if len(elements) == 0:
         return np.empty(0, np.uint64)
-    spread = mix(elements + _A)
-    for level, k in levels_of(len(elements), percent):
+    spread, crowded = mix(elements + _A), False
+    for level, k, smallest in levels_of(len(elements), percent):
         seed = np.uint64((level * int(_B) + int(_C)) & 0xFFFFFFFFFFFFFFFF)
         if k == 0:
             out.append(mix(np.sum(spread, dtype=np.uint64, keepdims=True) + seed))
             continue
-        spare = SPARE if k >= 8 else 0
-        groups = k // 2 + 1 + spare
+        groups, spare = _layout(smallest, k)
         part = ((elements >> np.uint64(32)) * np.uint64(groups * PARTS) >> np.uint64(32)).astype(np.int64)
         sums = np.zeros(groups * PARTS, np.uint64)
         np.add.at(sums, part, spread)
@@ -99,8 +118,9 @@ def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
         sums = mix(sums + np.arange(groups * PARTS, dtype=np.uint64) * _A + seed).reshape(groups, PARTS)
         found = np.stack([mix(sums[:, 0] * _A + sums[:, 1]), mix(sums[:, 0] * _B + sums[:, 2]), mix(sums[:, 1] * _C + sums[:, 2])], axis=1)
         held = np.stack([counts[:, 0] + counts[:, 1], counts[:, 0] + counts[:, 2], counts[:, 1] + counts[:, 2]], axis=1) > 0
-        if spare and int((~held.all(axis=1)).sum()) <= spare:
-            out.append(found[held])
-        else:
-            out.append(found.ravel())
+        out.append(found[held])
+        crowded |= int((~held.all(axis=1)).sum()) > spare
+    if crowded:
+        n = len(elements)
+        out.append(mix(elements[: n + percent * n // -100 + 1] ^ _C))
     return np.concatenate(out)

@@ -104,4 +104,4 @@ def test_linked_sets_share_a_signature(percent):
 def test_helpers():
     assert len(shingle_set("A  b\tC d", 4)) == 1 and (shingle_set("A  b\tC d", 4) == shingle_set("a B c\nD", 4)).all()
     assert len(shingle_set(None, 4)) == len(shingle_set(" \n", 4)) == 0
-    assert [j for j, _ in levels_of(10, 85)] == [levels_of(10, 85)[0][0], levels_of(10, 85)[0][0] + 1]
+    assert [j for j, _, _ in levels_of(10, 85)] == [levels_of(10, 85)[0][0], levels_of(10, 85)[0][0] + 1]
