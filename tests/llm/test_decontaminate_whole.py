@@ -9,3 +9,14 @@ def test_verbatim_text_of_any_make_up(spark):
     items = ["If John has 5 apples, Mary has 3 and Bob has 2, then 7 or 8 go to Ann", "7 14 3 99 12 8 41 6 5 22", "Name three primes", "Berlin"]
     texts = [f"{around} {t} {around}" for t in items] + [around]
     assert leaks(spark, texts, items) == [(i, i, "exact") for i in range(4)]
+
+
+def test_one_contradiction_does_not_hide_a_verbatim_passage(spark):
+    item = "the old baker sold 3 apples to a child who then ran along the narrow road into a green field and later came back for some more bread and 3 pears"
+    # The two values fall into different runs of changed windows.
+    other = item.replace("3 apples", "5 apples").replace("3 pears", "7 pears")
+    short = "she put 3 apples and 3 pears into the basket"
+    texts = [item.replace("3 pears", "7 pears"), f"{prose(1, 30)} {other}", short.replace("3 apples", "4 apples")]
+    found = leaks(spark, texts, [item, short])
+    assert [(d, i) for d, i, _ in found] == [(0, 0), (1, 0)]
+    assert found[1][2] == "changed"
