@@ -1,5 +1,7 @@
 """Leaks that a template with one shift and one verdict per passage cannot show."""
 
+import pytest
+
 from tests.llm.rows import prose
 from tests.llm.test_decontaminate import leaks
 
@@ -20,3 +22,15 @@ def test_one_contradiction_does_not_hide_a_verbatim_passage(spark):
     found = leaks(spark, texts, [item, short])
     assert [(d, i) for d, i, _ in found] == [(0, 0), (1, 0)]
     assert found[1][2] == "changed"
+
+
+@pytest.mark.parametrize("before", ["Question: ", "Geography\n", "Geography\n\n", "- ", "see ", "1) "])
+def test_start_of_a_short_item(spark, before):
+    item = "What is the capital of old France now?"
+    other = item.replace("France", "Peru")
+    assert leaks(spark, [before + item, before + other], [item]) == [(0, 0, "exact"), (1, 0, "changed")]
+
+
+def test_any_case(spark):
+    item = "In the year when Maria met a young Peter at the old mill by the Danube near the small town of Linz they sang and Maria wept over poor Peter"
+    assert leaks(spark, [item.lower(), item.upper(), item.title()], [item]) == [(0, 0, "exact"), (1, 0, "exact"), (2, 0, "exact")]
