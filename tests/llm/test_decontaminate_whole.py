@@ -34,3 +34,11 @@ def test_start_of_a_short_item(spark, before):
 def test_any_case(spark):
     item = "In the year when Maria met a young Peter at the old mill by the Danube near the small town of Linz they sang and Maria wept over poor Peter"
     assert leaks(spark, [item.lower(), item.upper(), item.title()], [item]) == [(0, 0, "exact"), (1, 0, "exact"), (2, 0, "exact")]
+
+
+def test_values_of_other_lengths(spark):
+    item = "a farmer named Tom has five sheep and he sells some of them in Paris for eighty coins while the neighbour Eve only keeps ten more"
+    other = item.replace("Tom", "Mary Ann").replace("five", "twenty-five").replace("Paris", "New York").replace("eighty", "one hundred and two").replace("Eve", "Tom and Bob")
+    short = "we saw how Anna went to the market again"
+    found = leaks(spark, [f"{prose(1, 30)} {other}", short.replace("Anna", "Mary Ann")], [item, short])
+    assert found == [(0, 0, "changed"), (1, 1, "changed")]
