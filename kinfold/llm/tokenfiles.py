@@ -23,6 +23,7 @@ SEQUENCE, BATCH = 2048, 512
 SPAN = 1 << 21
 
 _encoders: dict[tuple[str, str], WordMemory] = {}
+_added: dict[str, tuple[regex.Pattern | None, dict[str, int]]] = {}
 
 
 def byte_letters() -> dict[int, int]:
@@ -36,7 +37,8 @@ def encoder(path: str, pattern: str) -> WordMemory:
     """The byte-level BPE model of a file of the ``tokenizers`` library, one per worker, behind a memory of words.
 
     ``pattern`` is the one of its pre-tokenizer. It never joins a single blank to what stands in front of it, so words
-    can be encoded apart, and matches are handed to the model as they are: special tokens are read as ordinary text.
+    can be encoded apart, and matches are handed to the model as they are: added tokens are read as ordinary text, and
+    :func:`encode_texts` takes them out before.
     """
     if (path, pattern) not in _encoders:
         from tokenizers import Tokenizer
@@ -51,6 +53,36 @@ def encoder(path: str, pattern: str) -> WordMemory:
     return _encoders[path, pattern]
 
 
+def added_tokens(path: str) -> tuple[regex.Pattern | None, dict[str, int]]:
+    """A pattern of the file's added tokens, the longest first, and their ids; read once in each worker."""
+    if path not in _added:
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(path).get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in found.values()):
+            raise ValueError(f"{path}: added tokens that take blanks with them, or single words only, are not supported")
+        ids = {t.content: i for i, t in found.items()}
+        _added[path] = (regex.compile("|".join(map(regex.escape, sorted(ids, key=len, reverse=True)))) if ids else None, ids)
+    return _added[path]
+
+
+def encode_texts(path: str, pattern: str, texts: list[str | None]) -> list[np.ndarray]:
+    """Ids as the library's ``encode(text, add_special_tokens=False)`` gives them: an added token in a text is one id."""
+    own, (found, ids_of) = encoder(path, pattern), added_tokens(path)
+    marked = {i: found.findall(t) for i, t in enumerate(texts) if t and found.search(t)} if found else {}
+    if not marked:
+        return own.encode(texts)
+    parts = [found.split(t) if i in marked else [t] for i, t in enumerate(texts)]
+    ids = iter(own.encode([p for some in parts for p in some]))
+    out = []
+    for i, some in enumerate(parts):
+        row = [next(ids)]
+        for token, _ in zip(marked.get(i, ()), some[1:]):
+            row += [np.array([ids_of[token]], np.int32), next(ids)]
+        out.append(row[0] if len(row) == 1 else np.concatenate(row).astype(np.int32))
+    return out
+
+
 def _schema(vocabulary: int, sequence: int) -> pa.Schema:
     ids = pa.uint16() if vocabulary <= 1 << 16 else pa.uint32()
     return pa.schema([pa.field("ids", pa.list_(ids, sequence)), pa.field("mask", pa.list_(pa.bool_(), sequence))])
@@ -131,12 +163,12 @@ def write_token_files(
     ordered = rows.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").select("doc_id", "text")
 
     def run(batches):
-        writer, own = None, encoder(tokenizer_path, pattern)
+        writer = None
         for b in batches:
             if writer is None:
                 writer = _ShardWriter(folder, b.schema.field("doc_id").type, vocabulary, sequence, batch)
             for start, texts in pieces(b, "text", SPAN):
-                writer.add(b.column(0).slice(start, len(texts)), [np.append(ids, np.int32(end_id)) for ids in own.encode(texts)])
+                writer.add(b.column(0).slice(start, len(texts)), [np.append(ids, np.int32(end_id)) for ids in encode_texts(tokenizer_path, pattern, texts)])
         if writer is not None:
             writer.close()
             # What is recorded is the folder's own name, which other tasks can open as well.
