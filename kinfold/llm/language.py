@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm.common import pieces
@@ -19,6 +19,8 @@ SMOOTHING = 0.1
 UNKNOWN = "und"
 #: Code points that are scored at once.
 SPAN = 1 << 20
+#: The share of the training rows below which a fit is too poor, and what a text of one letter may stay below that.
+POOR_SHARE, SLACK = 0.001, 9.0
 
 _letter = np.zeros(0, np.uint32)
 
@@ -84,23 +86,29 @@ class LanguageModel:
     log_prior: np.ndarray
 
 
-def train(labelled: DataFrame, text_column: str = "text", label_column: str = "lang", training_rows: int = TRAINING_ROWS) -> LanguageModel:
-    """Count n-grams per language in the labelled rows, thinned to about ``training_rows`` of each language.
-
-    Rows without text or label teach nothing. Tasks count in numpy and send (language, bucket, count) triples that
-    Spark adds up; the driver receives the sums, at most languages * 2 ** BUCKET_BITS of them.
-    """
+def _thinned(labelled: DataFrame, text_column: str, label_column: str, training_rows: int) -> tuple[DataFrame, dict[str, int]]:
+    """The labelled rows that teach, and the number of all labelled rows of each language."""
     rows = labelled.select(F.col(text_column).alias("text"), F.col(label_column).alias("lang")).filter("text is not null and lang is not null")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    languages = sorted(sizes)
-    number = {x: i for i, x in enumerate(languages)}
     thin = None
-    for name in languages:
+    for name in sorted(sizes):
         if sizes[name] > training_rows:
             keep = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(training_rows / sizes[name] * (1 << 20))
             thin = (F.col("lang") != name) | keep if thin is None else thin & ((F.col("lang") != name) | keep)
     if thin is not None:
         rows = rows.filter(thin)
+    return rows, sizes
+
+
+def train(labelled: DataFrame, text_column: str = "text", label_column: str = "lang", training_rows: int = TRAINING_ROWS) -> LanguageModel:
+    """Count n-grams per language in the labelled rows, thinned to about ``training_rows`` of each language.
+
+    Rows without text or label teach nothing. Tasks count in numpy and send (language, bucket, count) triples that
+    Spark adds up; the driver receives the sums, at most languages * 2 ** BUCKET_BITS of them.
+    """
+    rows, sizes = _thinned(labelled, text_column, label_column, training_rows)
+    languages = sorted(sizes)
+    number = {x: i for i, x in enumerate(languages)}
 
     def count(batches):
         sums = np.zeros((len(languages), 1 << BUCKET_BITS), np.int64)
@@ -130,31 +138,38 @@ def train(labelled: DataFrame, text_column: str = "text", label_column: str = "l
 
 def score(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np.ndarray]:
     """Best language of each text and its posterior probability; ``und`` and 0 without a letter."""
+    return judge(texts, model)[:2]
+
+
+def judge(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """What ``score`` gives, the mean log probability per n-gram in the best language, and the number of letters."""
     sums = np.zeros((len(texts), len(model.languages)))
-    letters = np.zeros(len(texts), np.int64)
+    letters, grams = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
     for docs, parts in _spans(texts):
         for n, (owner, bucket) in enumerate(_features(docs, parts), 1):
             if n == 1:
                 letters += np.bincount(owner, minlength=len(texts))
+            grams += np.bincount(owner, minlength=len(texts))
             if len(owner):
                 cut = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
                 part = np.add.reduceat(model.log_probability[bucket], cut, axis=0, dtype=np.float64)
                 np.add.at(sums, owner[cut], part)
     if not model.languages:
-        return [UNKNOWN] * len(texts), np.zeros(len(texts))
-    sums += model.log_prior
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts)), letters
+    plain, sums = sums, sums + model.log_prior
     best = sums.argmax(axis=1)
+    fit = plain[np.arange(len(texts)), best] / np.maximum(grams, 1)
     share = 1 / np.exp(sums - sums.max(axis=1, keepdims=True)).sum(axis=1)
     known = letters > 0
-    return [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)], np.where(known, share, 0.0)
+    return [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)], np.where(known, share, 0.0), fit, letters
 
 
-def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text", carry: list[str] = ()) -> DataFrame:
+def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text", carry: list[str] = (), with_fit: bool = False) -> DataFrame:
     """The columns ``carry``, then ``lang_pred`` and ``score`` (posterior, 0 to 1), for each row.
 
     Null texts and texts without a letter get ``und`` and 0, as all texts do if the model knows no language. Ties go
     to the language that sorts first. Long texts are scored whole, in spans. The model is broadcast: its size is set
-    by the number of buckets and languages, not by the data.
+    by the number of buckets and languages, not by the data. ``with_fit`` adds ``fit`` and ``letters`` of ``judge``.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     # The text travels once and drops out again unless it is carried.
@@ -162,13 +177,33 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text", c
 
     def run(batches):
         for batch in batches:
-            names, shares = [], []
+            names, shares, fits, letters = [], [], [], []
             for _, texts in pieces(batch, "text"):
-                found, share = score(texts, shared.value)
+                found, *rest = judge(texts, shared.value)
                 names += found
-                shares.append(share)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(np.concatenate(shares))], ["carried", "lang_pred", "score"])
+                for own, part in zip((shares, fits, letters), rest):
+                    own.append(part)
+            columns = [batch.column(0), pa.array(names, pa.string()), *[pa.array(np.concatenate(x)) for x in (shares, fits, letters)]]
+            yield pa.RecordBatch.from_arrays(columns, ["carried", "lang_pred", "score", "fit", "letters"])
 
     kind = rows.schema["carried"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"carried {kind}, lang_pred string, score double")
-    return out.select(*[F.col(f"carried.`{c}`").alias(c) for c in carry], "lang_pred", "score")
+    out = rows.mapInArrow(run, f"carried {kind}, lang_pred string, score double, fit double, letters long")
+    return out.select(*[F.col(f"carried.`{c}`").alias(c) for c in carry], "lang_pred", "score", *(["fit", "letters"] if with_fit else []))
+
+
+def least_fits(labelled: DataFrame, model: LanguageModel, text_column: str = "text", label_column: str = "lang", training_rows: int = TRAINING_ROWS) -> dict[str, float]:
+    """For each language the fit that all but POOR_SHARE of its training rows reach, of those recognised as it."""
+    rows, _ = _thinned(labelled, text_column, label_column, training_rows)
+    found = identify(rows, model, carry=["lang"], with_fit=True).filter("lang = lang_pred")
+    return {r["lang"]: r["low"] for r in found.groupBy("lang").agg(F.percentile_approx("fit", POOR_SHARE, 10_000).alias("low")).collect()}
+
+
+def fits(low: dict[str, float]) -> Column:
+    """Whether ``fit`` reaches the limit of ``lang_pred``, less by SLACK over the root of the number of letters.
+
+    The mean of few n-grams scatters, hence the slack. A language without a limit takes all.
+    """
+    limit = F.lit(None).cast("double")
+    for name, value in low.items():
+        limit = F.when(F.col("lang_pred") == name, F.lit(value)).otherwise(limit)
+    return F.coalesce(F.col("fit") >= limit - SLACK / F.sqrt("letters"), F.lit(True))
