@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,15 +61,34 @@ NOTICES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
+APACHE_HEADER = [
+    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+    "http://www.apache.org/licenses/LICENSE-2.0",
+    "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+    "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+]
+GNU_HEADER = [
+    "This {0} is free software{4} you can redistribute it and/or modify it under the terms of the {1} as published by the Free Software Foundation{5} either version {2} of the License, or (at your option) any later version.",
+    "This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {1} for more details.",
+    "You should have received a copy of the {1} along with this {0}. If not, see {3}.",
+]
+GNU = [("GPL-2.0", "program", "GNU General Public License", "2"), ("GPL-3.0", "program", "GNU General Public License", "3"), ("LGPL-2.1", "library", "GNU Lesser General Public License", "2.1"), ("LGPL-3.0", "library", "GNU Lesser General Public License", "3")]
+MPL_HEADER = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at {}."
+
 #: Larger tables of licences are joined by a shuffle.
 MOST_BROADCAST = 100_000
 COPYRIGHT_LINE = r"(?md)^[^\n\p{L}\p{N}]*(?:copyright|\(c\)|©)[^\n]*[0-9]{4}[^\n]*$"
+#: The same, and lines that name a holder without a year; a licence's own sentences on copyright stay.
+COPYRIGHT_LINES = (
+    r"(?md)^[^\n\p{L}\p{N}]*(?:(?:copyright|\(c\)|©)[^\n]*[0-9]{4}[^\n]*|copyright[ \t]*(?:\(c\)|©|[\[<{]|by )[^\n]*|©[^\n]*"
+    r"|copyright (?!holder|owner|notice)[^\n]*\b(?:authors|contributors)\.?[ \t]*)$"
+)
 NOT_WORD = r"[^\p{L}\p{N}\n]+"
 
 
 def canonical(text: Column) -> Column:
     """Lower case, copyright lines gone, spellings made equal, punctuation and space as single blanks."""
-    out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
+    out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINES, "")
     for pattern, replacement in SPELLINGS:
         out = F.regexp_replace(out, pattern, replacement) if any(c in pattern for c in "[(") else F.replace(out, F.lit(pattern), F.lit(replacement))
     return F.trim(F.regexp_replace(F.regexp_replace(out, NOT_WORD, " "), r"[ \n]+", " "))
@@ -76,8 +98,38 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def known_licenses(spark: SparkSession, notices: list[tuple[str, str]] = NOTICES) -> DataFrame:
-    """``license, digest`` of the known texts; a table of one's own with these columns serves as well."""
+def full_texts() -> list[tuple[str, str]]:
+    """The licence texts shipped in ``license_texts``: as they are, without a short title, and without an appendix."""
+    found = []
+    for file in sorted(resources.files("kinfold.llm").joinpath("license_texts").iterdir(), key=lambda f: f.name):
+        name, text = file.name.removesuffix(".txt"), file.read_text("utf-8")
+        found.append((name, text))
+        if name in ("MIT", "BSD-2-Clause", "BSD-3-Clause"):
+            found.append((name, text.split("\n", 1)[1]))
+        if name == "MIT":
+            found.append((name, "The " + text))
+        if end := re.search(r"\n *END OF TERMS AND CONDITIONS\n", text):
+            found += [(name, text[: end.end()]), (name, text[: end.start()])]
+    return found
+
+
+def headers() -> list[tuple[str, str]]:
+    """Standard headers of source files: whole, as a comment keeps them, and by the paragraph that names the licence."""
+    found = [("Apache-2.0", " ".join(APACHE_HEADER)), ("Apache-2.0", APACHE_HEADER[0]), ("Apache-2.0", " ".join(APACHE_HEADER[:2]))]
+    for name, kind, title, version in GNU:
+        for what in {kind, "program"}:
+            for link in ("http://www.gnu.org/licenses/", "http://www.gnu.org/licenses"):
+                parts = [p.format(what, title, version, link, ";", ",") for p in GNU_HEADER]
+                found += [(name, " ".join(parts)), (name, parts[0])]
+    return found + [("MPL-2.0", MPL_HEADER.format(link)) for link in ("http://mozilla.org/MPL/2.0/", "http://www.mozilla.org/MPL/2.0/")]
+
+
+def known_licenses(spark: SparkSession, notices: list[tuple[str, str]] | None = None) -> DataFrame:
+    """``license, digest`` of the known texts, by default the notices, standard headers and full texts.
+
+    A table of one's own with these columns serves as well.
+    """
+    notices = NOTICES + headers() + full_texts() if notices is None else notices
     table = spark.createDataFrame(notices, "license string, text string")
     return table.select("license", digest(F.col("text")).alias("digest")).distinct()
 
