@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 import zlib
 from array import array
@@ -33,6 +34,14 @@ def byte_letters() -> dict[int, int]:
     return {b: b for b in seen} | {b: 256 + i for i, b in enumerate(unseen)}
 
 
+@functools.cache
+def _tokenizer(path: str):
+    """The tokenizer of a file, loaded once in each worker."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 def encoder(path: str, pattern: str) -> WordMemory:
     """The byte-level BPE model of a file of the ``tokenizers`` library, one per worker, behind a memory of words.
 
@@ -41,10 +50,8 @@ def encoder(path: str, pattern: str) -> WordMemory:
     :func:`encode_texts` takes them out before.
     """
     if (path, pattern) not in _encoders:
-        from tokenizers import Tokenizer
-
         pieces_of, letters = regex.compile(pattern).findall, byte_letters()
-        tokenize = Tokenizer.from_file(path).model.tokenize
+        tokenize = _tokenizer(path).model.tokenize
 
         def solve(words: list[str]) -> list[bytes]:
             return [array("i", [t.id for p in pieces_of(w) for t in tokenize(p.encode().decode("latin-1").translate(letters))]).tobytes() for w in words]
@@ -56,9 +63,7 @@ def encoder(path: str, pattern: str) -> WordMemory:
 def added_tokens(path: str) -> tuple[regex.Pattern | None, dict[str, int]]:
     """A pattern of the file's added tokens, the longest first, and their ids; read once in each worker."""
     if path not in _added:
-        from tokenizers import Tokenizer
-
-        found = Tokenizer.from_file(path).get_added_tokens_decoder()
+        found = _tokenizer(path).get_added_tokens_decoder()
         if any(t.lstrip or t.rstrip or t.single_word for t in found.values()):
             raise ValueError(f"{path}: added tokens that take blanks with them, or single words only, are not supported")
         ids = {t.content: i for i, t in found.items()}
@@ -69,7 +74,7 @@ def added_tokens(path: str) -> tuple[regex.Pattern | None, dict[str, int]]:
 def encode_texts(path: str, pattern: str, texts: list[str | None]) -> list[np.ndarray]:
     """Ids as the library's ``encode(text, add_special_tokens=False)`` gives them: an added token in a text is one id."""
     own, (found, ids_of) = encoder(path, pattern), added_tokens(path)
-    marked = {i: found.findall(t) for i, t in enumerate(texts) if t and found.search(t)} if found else {}
+    marked = {i: found.findall(t) for i, t in enumerate(texts) if t and any(c in t for c in ids_of)} if found else {}
     if not marked:
         return own.encode(texts)
     parts = [found.split(t) if i in marked else [t] for i, t in enumerate(texts)]
