@@ -124,6 +124,33 @@ SELECT doc_id, item_id, CASE WHEN len(list_filter(fills, lambda x: x[1] <> x[2])
 FROM passages JOIN totals USING (item_id)
 WHERE n_windows >= least({d.LEAK_TOKENS - d.WINDOW + 1}, greatest(1, n_item_windows - 1)) AND len(fills) = len(list_distinct(list_transform(fills, lambda x: x[1])))"""
 
+COLLOCATIONS = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^ \\t]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+grams AS (
+  SELECT lang, p, len(p) AS k, count(*) AS f FROM (
+    SELECT lang, unnest(list_transform(range(1, len(w) + 1), lambda i: [w[i]])) AS p FROM pieces
+    UNION ALL SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: [w[i], w[i + 1]])) FROM pieces
+    UNION ALL SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: [w[i], w[i + 1], w[i + 2]])) FROM pieces)
+  GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang),
+often AS (SELECT * FROM grams WHERE f >= 10),
+cuts AS (
+  SELECT c.lang, c.p, c.k, c.f AS a, x.f AS l, y.f AS r, x.k AS cut, (1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS at_word FROM often WHERE k > 1) c
+  JOIN often x ON x.lang = c.lang AND x.p = list_slice(c.p, 1, at_word) JOIN often y ON y.lang = c.lang AND y.p = list_slice(c.p, at_word + 1, c.k)),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, part, max(f) AS most FROM (
+    SELECT lang, p[1:2] AS part, f FROM often WHERE k = 3 UNION ALL SELECT lang, p[2:3], f FROM often WHERE k = 3)
+  GROUP BY ALL),
+kept AS (
+  SELECT s.*, array_to_string(p, ' ') AS phrase FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.part = s.p
+  WHERE s.k = 3 OR most IS NULL OR 100 * most < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::INT AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000"""
+
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": EXACT,
     "op2_warc": WARC,
@@ -131,4 +158,5 @@ ORACLES: dict[str, str] = {
     "op8_decontamination": LEAKS,
     "op9_license_scan": LICENSES,
     "op10_line_dedup": LINES,
+    "op11_collocations": COLLOCATIONS,
 }

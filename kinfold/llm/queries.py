@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.llm.bpe import encode_digests
+from kinfold.llm.collocations import collocations
 from kinfold.llm.common import fresh_folder
 from kinfold.llm.decontaminate import find_leaks
 from kinfold.llm.exact import exact_duplicates
@@ -80,6 +81,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_warc": op2_warc,
@@ -91,4 +96,5 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
+    "op11_collocations": op11_collocations,
 }
