@@ -15,11 +15,13 @@ from kinfold.llm.tries import Trie, build
 from kinfold.session import materialize
 
 #: Phrases of one trie, on average, and bytes of the tries that are broadcast together; more take further passes.
-TRIE_PHRASES, BROADCAST_BYTES = 1 << 18, 96 << 20
+TRIE_PHRASES, BROADCAST_BYTES = 1 << 18, 64 << 20
 #: Buckets of a filter are a power of two, at least one for each word of the corpus, up to this power: 32 MB.
 MOST_BUCKET_BITS = 28
 #: Distinct words a task counts or remembers before it lets them go, and keys that it handles at once.
-WORDS_HELD, KEYS_AT_ONCE = 300_000, 1 << 20
+WORDS_HELD, KEYS_AT_ONCE = 200_000, 1 << 19
+#: Characters that are split into words at once.
+RUN = 1 << 20
 
 #: Ends a piece. The byte occurs in no UTF-8 text.
 _END = b"\xff"
@@ -37,7 +39,7 @@ def words_of(texts: list[str]) -> list[bytes]:
 def _by_group(batch: pa.RecordBatch):
     """(group, texts) of a batch in runs of bounded size; columns are group and text."""
     groups = batch.column(0)
-    for start, run in pieces(batch, "text"):
+    for start, run in pieces(batch, "text", RUN):
         held: dict[str, list[str]] = {}
         for i, text in enumerate(run):
             if text:

@@ -15,6 +15,8 @@ from kinfold.llm.jaccard import jaccard_components
 from kinfold.llm.language import identify, train
 from kinfold.llm.licenses import known_licenses, license_scan
 from kinfold.llm.lines import apply_bitmaps, line_bitmaps
+from kinfold.llm.negatives import hard_negatives
+from kinfold.llm.secret_scan import secret_scan
 from kinfold.llm.sharding import shard
 from kinfold.llm.tokenfiles import read_token_files, write_token_files
 from kinfold.llm.warc import merge_runs, read_archives, write_archives
@@ -85,6 +87,16 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(_table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label)
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("clear", 256).alias("base_sha256"), "spans", "n_linked")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_warc": op2_warc,
@@ -97,4 +109,6 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
     "op11_collocations": op11_collocations,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_secret_scan": op13_secret_scan,
 }
