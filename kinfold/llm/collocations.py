@@ -15,11 +15,11 @@ from kinfold.llm.tries import Trie, build
 from kinfold.session import materialize
 
 #: Phrases of one trie, on average, and bytes of the tries that are broadcast together; more take further passes.
-TRIE_PHRASES, BROADCAST_BYTES = 1 << 18, 64 << 20
+TRIE_PHRASES, BROADCAST_BYTES = 1 << 17, 32 << 20
 #: Buckets of a filter are a power of two, at least one for each word of the corpus, up to this power: 32 MB.
 MOST_BUCKET_BITS = 28
 #: Distinct words a task counts or remembers before it lets them go, and keys that it handles at once.
-WORDS_HELD, KEYS_AT_ONCE = 200_000, 1 << 19
+WORDS_HELD, KEYS_AT_ONCE = 100_000, 1 << 17
 #: Characters that are split into words at once.
 RUN = 1 << 20
 
