@@ -17,6 +17,8 @@ from kinfold.session import materialize
 STAR_ROWS = 4_000
 #: Documents whose signatures are looked at to lay out the shuffle of all signatures.
 PROBE_DOCS = 20_000
+#: Words of 64 bits of a set's parity sketch.
+SKETCH = 8
 #: Copies of one set, and documents of the probe with one signature, that never count as many.
 LARGE_CLASS, OFTEN = 1_000, 50
 
@@ -28,6 +30,15 @@ def _class_of(elements: np.ndarray) -> int:
     return name if name != -1 else -2
 
 
+def _sketch(elements: np.ndarray) -> np.ndarray:
+    """Parities of the elements dealt over ``64 * SKETCH`` bits, as integers.
+
+    The bits in which the sketches of two sets differ are no more than the elements in which the sets do.
+    """
+    odd = np.bincount(((mix(elements) >> np.uint64(32)) % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def shingle_classes(docs: DataFrame, words: int) -> DataFrame:
     """``doc_id, text_hash, n_shingles, class``: equal shingle sets have equal classes, rows without words none."""
 
@@ -128,7 +139,7 @@ def _stars(docs: DataFrame, classes: DataFrame, words: int, percent: int, share:
 
 
 def _compared(docs: DataFrame, keepers: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``low, class, linked, n, apart, delta`` of each pair, by the full shingle sets.
+    """``low, class, linked, n, apart, delta, sketch`` of each pair, by the full shingle sets.
 
     ``n`` is the size of the set of ``class`` and ``apart`` the number of elements in which the two sets differ. These
     in an order that is the same for all sets beside one ``low``, first those that ``low`` has not, are ``delta``, as
@@ -167,12 +178,12 @@ def _compared(docs: DataFrame, keepers: DataFrame, pairs: DataFrame, words: int,
                 delta = elements[~held][:most]
                 if len(delta) < most:
                     delta = np.r_[delta, np.delete(own, at[held])[: most - len(delta)]]
-                rows.append((low.as_py(), name.as_py(), linked, n, apart, (delta >> np.uint64(32)).astype(np.uint32).view(np.int32)))
-            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
-            columns = list(zip(*rows)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["low", "class", "linked", "n", "apart", "delta"])
+                rows.append((low.as_py(), name.as_py(), linked, n, apart, (delta >> np.uint64(32)).astype(np.uint32).view(np.int32), _sketch(elements)))
+            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+            columns = list(zip(*rows)) or [[]] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["low", "class", "linked", "n", "apart", "delta", "sketch"])
 
-    return ordered.mapInArrow(run, "low long, class long, linked boolean, n long, apart long, delta array<int>")
+    return ordered.mapInArrow(run, "low long, class long, linked boolean, n long, apart long, delta array<int>, sketch array<bigint>")
 
 
 def _rest_pairs(compared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
@@ -182,15 +193,18 @@ def _rest_pairs(compared: DataFrame, roots: DataFrame, percent: int) -> DataFram
     D2. They differ from each other in ``|D1| + |D2| - 2 |D1 and D2|`` elements; if the bound k allows that without
     any common difference, one of them links to ``low``, and since its set is close, so does the other. Otherwise
     they share a difference. The first shared one, at places i and j, leaves at most ``min(|D1| - i, |D2| - j)``
-    shared ones; what cannot reach ``(|D1| + |D2| - k) / 2`` is never formed. So texts that have much in common with
-    ``low``, but each differ from it in their own way, do not meet.
+    shared ones; what cannot reach ``(|D1| + |D2| - k) / 2`` is never formed, nor is a pair whose sketches differ in
+    more than k bits. So texts that have much in common with ``low``, but each differ from it in their own way, or
+    were changed in the same places by different words, do not meet.
     """
     placed = compared.drop("linked").join(roots, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("component", "class"))
     mixed = placed.groupBy("low").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter(F.col("least") < F.col("most")).select("low")
-    rows = placed.join(mixed, "low", "left_semi").select("low", "class", "root", "n", "apart", F.posexplode("delta").alias("at", "element"))
+    bits = [F.get("sketch", F.lit(i)).alias(f"bits{i}") for i in range(SKETCH)]
+    rows = placed.join(mixed, "low", "left_semi").select("low", "class", "root", "n", "apart", *bits, F.posexplode("delta").alias("at", "element"))
     a, b = rows.alias("a"), rows.alias("b")
     reach = F.least(F.col("a.apart") - F.col("a.at"), F.col("b.apart") - F.col("b.at"))
     sizes = F.col("a.n") + F.col("b.n")
+    differ = sum((F.bit_count(F.col(f"a.bits{i}").bitwiseXOR(F.col(f"b.bits{i}"))) for i in range(SKETCH)), F.lit(0))
     may = (
         (F.col("a.low") == F.col("b.low"))
         & (F.col("a.element") == F.col("b.element"))
@@ -199,18 +213,21 @@ def _rest_pairs(compared: DataFrame, roots: DataFrame, percent: int) -> DataFram
         & (F.col("a.n") * 100 >= F.col("b.n") * percent)
         & (F.col("b.n") * 100 >= F.col("a.n") * percent)
         & ((2 * reach - F.col("a.apart") - F.col("b.apart")) * (100 + percent) + (100 - percent) * sizes >= 0)
+        & (differ * (100 + percent) <= (100 - percent) * sizes)
     )
     return a.join(b, may).select(F.col("a.class").alias("low"), F.col("b.class").alias("class")).distinct()
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, percent: int = 80, share: float = 0.3) -> DataFrame:
-    """``doc_id, n_shingles, component_id, text_hash`` for each row of ``docs``.
+    """``doc_id, n_shingles, component_id, text_hash, kept`` for each row of ``docs``.
 
     Two texts link when ``100 * |common shingles| >= percent * |all shingles|`` of their sets of distinct word shingles;
     the component is the smallest id that links reach. Texts of fewer words than a shingle are one shingle; null,
     empty and blank texts have none and link with nothing, and a null id names no component unless all of it is null.
     Repeated rows and texts of equal sets are one class and get the same component. ``text_hash`` tells rows of the
     same id apart; texts under one id are documents of their own, though their components may then have one name.
+    ``kept`` marks one document of each component, the one of smallest id (null ids last) and text hash, and every
+    document without shingles; rows repeated in full are one document.
 
     No link is lost, though the pairs of a group are not formed: classes that share a signature are compared with one
     of them each (stars), and what they differ in from it tells which others have to be compared.
@@ -230,8 +247,10 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
         more = materialize(more)
         if not more.isEmpty():
             roots = materialize(connected_components(links.union(more)))
-    named = keepers.join(roots, F.col("class") == F.col("node"), "left").select("class", "keep_id", F.coalesce("component", "class").alias("root"))
-    least = named.groupBy("root").agg(F.min("keep_id").alias("component_id"))
-    grouped = materialize(named.join(least, "root").select("class", "component_id"))
+    named = keepers.join(roots, F.col("class") == F.col("node"), "left").select("class", "keep_id", "keep_hash", F.coalesce("component", "class").alias("root"))
+    place = F.struct(F.col("keep_id").isNull().alias("none"), "keep_id", "keep_hash")
+    first = named.groupBy("root").agg(F.min(place).alias("first"))
+    grouped = materialize(named.join(first, "root").select("class", F.col("first.keep_id").alias("first_id"), F.col("first.keep_hash").alias("first_hash")))
+    kept = F.col("class").isNull() | (F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash")))
     joined = classes.join(grouped, "class", "left")
-    return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash")
+    return joined.select("doc_id", "n_shingles", F.coalesce("first_id", "doc_id").alias("component_id"), "text_hash", kept.alias("kept"))

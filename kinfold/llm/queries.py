@@ -61,7 +61,7 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(_table(spark, sf_dir, "documents"), words=4, percent=85).drop("text_hash")
+    return jaccard_components(_table(spark, sf_dir, "documents"), words=4, percent=85).drop("text_hash", "kept")
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

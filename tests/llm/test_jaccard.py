@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kinfold.llm import jaccard
 from kinfold.llm.jaccard import jaccard_components
@@ -65,7 +66,7 @@ def many():
 
 @pytest.mark.parametrize("words, percent", [(4, 85), (5, 80)])
 def test_against_brute_force(spark, words, percent):
-    found = jaccard_components(frame(spark, many()), words=words, percent=percent).drop("text_hash")
+    found = jaccard_components(frame(spark, many()), words=words, percent=percent).drop("text_hash", "kept")
     assert sorted(map(tuple, found.collect()), key=repr) == expected(many(), words, percent)
 
 
@@ -74,10 +75,46 @@ def test_hot_signatures_and_stars_are_split(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "STAR_ROWS", 2)
     monkeypatch.setattr(jaccard, "LARGE_CLASS", 2)
     monkeypatch.setattr(jaccard, "OFTEN", 2)
-    found = jaccard_components(frame(spark, many()), words=4, percent=85, share=1e-9).drop("text_hash")
+    found = jaccard_components(frame(spark, many()), words=4, percent=85, share=1e-9).drop("text_hash", "kept")
     assert sorted(map(tuple, found.collect()), key=repr) == expected(many(), 4, 85)
 
 
+def test_one_document_of_each_component_is_kept(spark):
+    """Also where linked texts have one id, or none."""
+    rng, base = random.Random(3), prose(5, 120)
+    ids = [4, 4, 4, None, None, 9, 2, 2]
+    rows = [(i, changed(base, 1, rng), *awkward()[0][2:]) for i in ids] + [(None, prose(50 + i, 80), *awkward()[0][2:]) for i in range(3)] + [(7, " ", *awkward()[0][2:]), (7, None, *awkward()[0][2:])]
+    found = jaccard_components(frame(spark, rows)).collect()
+    assert [r.doc_id for r in found if r.kept and r.component_id == 2] == [2]
+    assert sum(r.kept for r in found) == 1 + 3 + 2 and len(found) == len(rows)
+
+
+def test_rest_pairs_follow_the_rows(spark):
+    """Near copies that hardly ever link form no pairs to speak of, however many they are."""
+    made = []
+    for n in (300, 600, 1200):
+        rng, base = random.Random(1), prose(8, 40)
+        rows = spark.createDataFrame([(i, changed(base, 2, rng)) for i in range(n)], "doc_id long, text string").repartition(4)
+        source = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+        classes = jaccard.materialize(jaccard.shingle_classes(source, 4))
+        keepers = jaccard.materialize(jaccard._keepers(classes))
+        stars = jaccard.materialize(jaccard._stars(source, classes, 4, 85, 0.3))
+        compared = jaccard.materialize(jaccard._compared(source, keepers, stars, 4, 85))
+        links = compared.filter("linked").select(F.col("low").alias("src"), F.col("class").alias("dst"))
+        made.append(jaccard._rest_pairs(compared, jaccard.connected_components(links), 85).count())
+    assert made[2] <= max(300, 5 * made[0])
+
+
+def test_sketches_never_differ_in_more_bits_than_the_sets():
+    rng = np.random.default_rng(5)
+    for n in (1, 5, 50, 700, 5000):
+        a = np.unique(rng.integers(0, 2**64, n, np.uint64))
+        b = np.unique(np.r_[a[n // 3 :], rng.integers(0, 2**64, n // 4, np.uint64)])
+        apart = len(np.setxor1d(a, b))
+        assert sum(bin(int(x)).count("1") for x in (jaccard._sketch(a) ^ jaccard._sketch(b)).view(np.uint64)) <= apart
+    assert len(jaccard._sketch(a)) == jaccard.SKETCH
+
+
 def test_empty_table(spark):
     assert jaccard_components(frame(spark, [])).count() == 0
     assert jaccard_components(frame(spark, [r for r in awkward() if not (r[1] or "").strip()])).count() == 5
