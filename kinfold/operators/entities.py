@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kinfold.functions.identity import mint_cif, stable_cluster_id
 from kinfold.operators.components import connected_components
+from kinfold.operators.skew import attach
 
 # Graph node kinds. Entity numbers sort before records, so a component that holds one is named by its smallest.
 _CIF, _NODE = "c:", "n:"
@@ -66,19 +67,38 @@ def resolve(batch: DataFrame, edges: DataFrame, clusters: DataFrame, ident: str
     return assigned.select(ident, cif_cluster_id(F.col("cif_number")).alias("cluster_id"), "cif_number"), merges(graph)
 
 
-def changed_by_merges(clusters: DataFrame, merged: DataFrame) -> DataFrame:
-    """The rows of ``clusters`` whose number was merged, with the number that replaces it."""
-    hit = clusters.join(merged, clusters.cif_number == merged.old_cif)
-    return hit.withColumns({"cif_number": F.col("new_cif"), "cluster_id": cif_cluster_id(F.col("new_cif"))}).select(*clusters.columns)
+def grown_forest(forest: DataFrame, merged: DataFrame) -> DataFrame:
+    """``number, root`` of the numbers that ``merged(old_cif, new_cif)`` hooks somewhere else.
 
+    ``forest(number, root)`` holds the numbers that were merged before, each right below its root. A merged root goes
+    below the new one, and so does everything that stood below it: the trees stay stars, and only trees that the merge
+    touches change. Records are not looked at, however many hold a number.
+    """
+    hooked = merged.select(F.col("old_cif").alias("number"), F.col("new_cif").alias("root"))
+    below = forest.join(merged, F.col("root") == F.col("old_cif")).select("number", F.col("new_cif").alias("root"))
+    return hooked.union(below)
 
-def apply_merges(clusters: DataFrame, merged: DataFrame) -> DataFrame:
-    """All rows of ``clusters`` after the merges."""
-    joined = clusters.join(merged, clusters.cif_number == merged.old_cif, "left")
-    replaced = F.col("new_cif").isNotNull()
-    return joined.withColumns(
+
+def current_numbers(links: DataFrame, forest: DataFrame) -> DataFrame:
+    """``links`` (``record_id, cluster_id, cif_number, ...``) with the root of each number in its place.
+
+    A number that a large share of the records holds does not gather them in one task.
+    """
+    held = links.groupBy("cif_number").agg(F.count(F.lit(1)).alias("records"))
+    moved = forest.join(held, F.col("number") == F.col("cif_number")).select("cif_number", "records", "root")
+    return _renumbered(attach(links, moved, "cif_number", "records", F.col("record_id")), "root").select(*links.columns)
+
+
+def _renumbered(rows: DataFrame, to: str) -> DataFrame:
+    moved = F.col(to).isNotNull()
+    return rows.withColumns(
         {
-            "cluster_id": F.when(replaced, cif_cluster_id(F.col("new_cif"))).otherwise(F.col("cluster_id")),
-            "cif_number": F.coalesce("new_cif", "cif_number"),
+            "cluster_id": F.when(moved, cif_cluster_id(F.col(to))).otherwise(F.col("cluster_id")),
+            "cif_number": F.coalesce(to, "cif_number"),
         }
-    ).select(*clusters.columns)
+    )
+
+
+def apply_merges(clusters: DataFrame, merged: DataFrame) -> DataFrame:
+    """All rows of ``clusters`` after the merges."""
+    return current_numbers(clusters, merged.select(F.col("old_cif").alias("number"), F.col("new_cif").alias("root")))

@@ -30,6 +30,7 @@ from kinfold.plans import linkage, staging
 from kinfold.session import checkpoint_root, materialize
 from kinfold.settings import DEFAULT_SETTINGS
 from kinfold.sources import readers, tables
+from kinfold.sources.batches import BatchTables
 from kinfold.sources.persons import cases, mapped_ids, persons
 from kinfold.streaming import incremental
 
@@ -64,6 +65,8 @@ SAMPLE_ROWS = 100_000
 U_PAIRS = 5_000_000
 MATCH_WEIGHT = 25.0
 SITES = "001, 002"
+# Where the second and third file of a stream begin.
+ARRIVALS = ("008", "016")
 # Record ids lead with the site: the sites from this one on register later than the others.
 NEW_FROM = "015"
 
@@ -131,6 +134,12 @@ def extract_limited(spark, folder):
     return staging.extract_increment(persons(spark, folder), last_id="010", limit=500)
 
 
+def extract_half(spark, folder):
+    """A limit of half the table: as large as the table, so it must not gather anywhere."""
+    people = persons(spark, folder)
+    return staging.extract_increment(people, limit=people.count() // 2)
+
+
 def extract_site_filter(spark, folder):
     return staging.extract_increment(persons(spark, folder), sites=SITES)
 
@@ -162,12 +171,12 @@ def source_contract(spark, folder):
 
 def extract_resumed(spark, folder):
     """Runs with two site filters, one of them in two goes; positions and staged rows as they stand afterwards."""
-    store = tables.EntityStore(spark, _folder(spark))
+    kept = BatchTables(spark, _folder(spark))
     people = persons(spark, folder)
     for run, (sites, limit) in enumerate([(SITES, 5), ("003", None), ("002,001", None), (SITES, None)]):
-        staging.extract_job(store, people, f"run-{run}", sites, limit)
-    staged = store.read("staging").select(F.lit("row").alias("kind"), F.col("record_id").alias("name"), F.col("site_id").alias("value"))
-    return staged.union(store.read("positions").select(F.lit("position"), "sites", "position"))
+        staging.extract_job(kept, people, f"run-{run}", sites, limit)
+    staged = kept.read("staging").select(F.lit("row").alias("kind"), F.col("record_id").alias("name"), F.col("site_id").alias("value"))
+    return staged.union(kept.read("positions").select(F.lit("position"), "sites", "position"))
 
 
 def unmapped_anti_join(spark, folder):
@@ -473,33 +482,68 @@ def _canonical(clusters: DataFrame) -> DataFrame:
 
 
 def _batches(spark: SparkSession, folder: str, parts: int):
-    store = tables.EntityStore(spark, _folder(spark))
-    staged = staging.to_staging(staging.extract_increment(persons(spark, folder)))
-    store.commit("load", staging=staged)
-    size = -(-store.read("staging").count() // parts)
-    return store, linkage.run(store, FROZEN, batch_size=size)
+    """All persons staged at once and linked in as many batches, in id order."""
+    kept = BatchTables(spark, _folder(spark))
+    staging.stage_batch(kept, "load", staging.to_staging(staging.extract_increment(persons(spark, folder))))
+    size = -(-kept.read("keys").count() // parts)
+    return kept, linkage.run(kept, FROZEN, batch_size=size)
 
 
 def incremental_two_batches(spark, folder):
-    store, _ = _batches(spark, folder, 2)
-    return _canonical(store.read("clusters"))
+    kept, _ = _batches(spark, folder, 2)
+    return _canonical(linkage.current_clusters(kept))
+
+
+def incremental_three_batches(spark, folder):
+    """The forest after three batches: numbers merged by later batches stand below one root."""
+    kept, _ = _batches(spark, folder, 3)
+    return _canonical(linkage.current_clusters(kept))
 
 
 def run_statistics(spark, folder):
-    store, reports = _batches(spark, folder, 1)
-    rows = [(r.records, r.record_pairs, r.matched_records, r.merged_numbers) for r in reports]
-    figures = spark.createDataFrame(rows, "records long, record_pairs long, matched_records long, merged_numbers long")
-    return figures.withColumn("entities", linkage.entity_count(store.read("clusters")).scalar())
+    """The figures of three batches, and how many entities there are in the end."""
+    kept, reports = _batches(spark, folder, 3)
+    rows = [(i, r.records, r.record_pairs, r.matched_records, r.merged_numbers) for i, r in enumerate(reports, 1)]
+    figures = spark.createDataFrame(rows, "batch int, records long, record_pairs long, matched_records long, merged_numbers long")
+    return figures.withColumn("entities", linkage.entity_count(linkage.current_clusters(kept)).scalar())
+
+
+def tf_merged(spark, folder):
+    """Frequencies from the counts of three batches, the third of which replaces rows of the first."""
+    kept = BatchTables(spark, _folder(spark))
+    staged = staging.to_staging(staging.extract_increment(persons(spark, folder)))
+    first, second = staged.filter(F.col("record_id") < NEW_FROM), staged.filter(F.col("record_id") >= NEW_FROM)
+    staging.stage_batch(kept, "first", first.withColumns({"clean_name": F.reverse("clean_name"), "clean_father": F.col("clean_mother"), "clean_mother": F.lit(None)}))
+    staging.stage_batch(kept, "second", second)
+    staging.stage_batch(kept, "third", first)
+    found = frequency.tf_of_counts(frequency.merged_counts(kept.rows("counts")), DEFAULT_SETTINGS)
+    parts = [t.select(F.lit(c).alias("column"), "value", "n", F.round("tf", 9).alias("tf")) for c, t in found.items()]
+    return reduce(DataFrame.union, parts)
+
+
+def _arrivals(spark: SparkSession, folder: str) -> tuple[str, list[DataFrame]]:
+    """A folder with three files of source rows, as they arrive."""
+    source = _folder(spark)
+    rows = staging.extract_increment(persons(spark, folder))
+    bounds = (None, *ARRIVALS, None)
+    parts = []
+    for low, high in zip(bounds, bounds[1:]):
+        part = rows if low is None else rows.filter(F.col("record_id") >= low)
+        parts.append(part if high is None else part.filter(F.col("record_id") < high))
+        parts[-1].coalesce(1).write.mode("append").parquet(source)
+    return source, parts
 
 
 def stream_stage_and_link(spark, folder):
-    source, root = _folder(spark), _folder(spark)
-    staging.extract_increment(persons(spark, folder)).write.parquet(source)
-    store = tables.EntityStore(spark, root)
-    handler = incremental.stage_and_link(store, FROZEN)
-    incremental.start(incremental.source_stream(spark, source), handler, f"{root}/checkpoint").awaitTermination()
-    sizes = store.read("clusters").groupBy("cif_number").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.groupBy("n").agg(F.count(F.lit(1)).alias("entities"))
+    """Three micro-batches, the second once more as after a lost driver: sizes of entities, micro-batches that counted."""
+    (source, parts), root = _arrivals(spark, folder), _folder(spark)
+    kept = BatchTables(spark, root)
+    handler = incremental.stage_and_link(kept, FROZEN)
+    incremental.start(incremental.source_stream(spark, source, files_per_batch=1), handler, f"{root}/checkpoint").awaitTermination()
+    handler(parts[1], 1)
+    sizes = linkage.current_clusters(kept).groupBy("cif_number").agg(F.count(F.lit(1)).alias("n"))
+    batches = kept.marks().filter(~F.col("name").endswith("-staged")).agg(F.count(F.lit(1))).scalar()
+    return sizes.groupBy("n").agg(F.count(F.lit(1)).alias("entities")).withColumn("batches", batches)
 
 
 # --- identity numbers and evaluation
@@ -542,15 +586,15 @@ def pair_precision_recall(spark, folder):
 
 def record_mapping(spark, folder):
     """Record to entity number of all staged records, batch by batch in one batch."""
-    store, _ = _batches(spark, folder, 1)
-    return linkage.mapping(store.read("staging"), store.read("clusters"))
+    kept, _ = _batches(spark, folder, 1)
+    return linkage.mapping(kept.read("keys"), linkage.current_clusters(kept))
 
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         normalize_names, normalize_addresses, normalize_documents, clean_documents,
-        extract_keyset, extract_limited, extract_site_filter, extract_custom_sql, extract_resumed, source_contract,
+        extract_keyset, extract_limited, extract_half, extract_site_filter, extract_custom_sql, extract_resumed, source_contract,
         unmapped_anti_join, case_inner_fanout_latest, staging_rows, staging_upsert, high_water_mark,
         events_high_water_mark, mark_processed,
         null_profile, dup_groups_key, dup_groups_name_dob, length_histogram, document_length_histogram,
@@ -560,7 +604,7 @@ QUERIES: dict[str, Query] = {
         scored_pairs_frozen, pairs_over_threshold, pairs_over_weight, scored_pairs_debug,
         u_from_random_pairs, prior_estimate, em_one_iteration, em_trained,
         connected_components, order_components, stable_cluster_id, resolve_entities, resolve_batch,
-        bridge_merges, apply_merges, incremental_two_batches, run_statistics, stream_stage_and_link,
+        bridge_merges, apply_merges, incremental_two_batches, incremental_three_batches, run_statistics, tf_merged, stream_stage_and_link,
         record_mapping, nik_compose_decode, national_id_quality, inject_duplicates, pair_precision_recall,
     )
 }

@@ -8,18 +8,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold import schema
 from kinfold.functions.identity import mint_cif
 from kinfold.operators.blocking import BROADCAST_NEW, guard_max_pairs, keyed_new_vs_all, profile_pairs, with_block_keys
-from kinfold.operators.entities import changed_by_merges, cif_cluster_id, entity_graph, entity_numbers, merges
-from kinfold.operators.frequency import tf_columns, tf_tables, with_tf
+from kinfold.operators.entities import cif_cluster_id, current_numbers, entity_graph, entity_numbers, grown_forest, merges
+from kinfold.operators.frequency import merged_counts, tf_columns, tf_of_counts, tf_tables, value_counts, with_tf
 from kinfold.operators.model import LinkModel
 from kinfold.operators.profiles import collapse, profile_key
 from kinfold.operators.sampling import first_n
 from kinfold.operators.scoring import matches
 from kinfold.operators.skew import attach
 from kinfold.session import forget, materialize
-from kinfold.sources.tables import EntityStore, unprocessed_ids
+from kinfold.sources.batches import BatchTables
+from kinfold.sources.tables import unprocessed_ids
 
 _ID = "record_id"
 
@@ -69,58 +69,72 @@ def link_all(
 class BatchLinks:
     """What one batch changes, and its figures."""
 
-    assignments: DataFrame
+    links: DataFrame
     merges: DataFrame
     records: int
     edges: int
     record_pairs: int
     matched_records: int
+    written: tuple[DataFrame, ...] = ()
 
 
-def _touched(everything: DataFrame, fresh_keys: DataFrame, model: LinkModel, broadcast_keys: bool) -> DataFrame:
-    """Profiles of ``everything`` that share a block with the batch, one row per rule, block and profile.
+def holders(tables: BatchTables, profiles: DataFrame) -> DataFrame:
+    """``profile, record_id``: the records that have one of these profiles now.
 
-    The blocks of the batch filter the scan before anything is shuffled, and copies collapse within each task.
+    Reads ids and profiles only. A record that was extracted again counts with its last profile.
     """
-    settings = model.settings
-    columns = [_ID, *settings.columns]
+    wanted = profiles.select("profile").distinct()
+    once = tables.rows("keys").join(wanted, "profile", "left_semi")
+    return tables.read("keys", once).join(wanted, "profile", "left_semi").select("profile", "record_id")
+
+
+def touched(tables: BatchTables, fresh_keys: DataFrame, small: bool) -> DataFrame:
+    """``rule, block`` of the batch with each profile in them: ``profile``, its columns, smallest id and ``copies``.
+
+    The index gives the profiles; of these alone, ids, numbers of copies and columns are looked up.
+    """
+    columns = tables.settings.columns
     blocks = fresh_keys.select("rule", "block").distinct()
-    keyed = with_block_keys(everything.select(*columns, profile_key(settings).alias("profile")), settings.rules)
-    near = keyed.join(F.broadcast(blocks) if broadcast_keys else blocks, ["rule", "block"], "left_semi")
-    return near.groupBy("rule", "block", "profile").agg(
-        *[F.min(c).alias(c) for c in settings.columns], F.min(_ID).alias(_ID), F.count(F.lit(1)).alias("copies")
-    )
+    near = materialize(tables.blocks().join(F.broadcast(blocks) if small else blocks, ["rule", "block"], "left_semi").distinct())
+    sizes = holders(tables, near).groupBy("profile").agg(F.min(_ID).alias(_ID), F.count(F.lit(1)).alias("copies"))
+    # A profile can have been written by several batches, always with the same columns.
+    values = tables.rows("profiles").join(near.select("profile").distinct(), "profile", "left_semi")
+    values = values.groupBy("profile").agg(*[F.min(c).alias(c) for c in columns])
+    found = materialize(near.join(sizes.join(values, "profile"), "profile"))
+    forget(near)
+    return found
+
+
+def current_clusters(tables: BatchTables, among: DataFrame | None = None) -> DataFrame:
+    """The entity number of every linked record, or of those that ``among`` lists, after all merges."""
+    return current_numbers(tables.read("links", among), tables.read("forest"))
 
 
 def link_batch(
+    tables: BatchTables,
     batch: DataFrame,
-    everything: DataFrame,
-    clusters: DataFrame,
     model: LinkModel,
-    frequencies: dict[str, DataFrame],
     threshold: float = 0.9,
     match_weight_threshold: float = -4.0,
     max_pairs: int | None = None,
     broadcast_rows: int = BROADCAST_NEW,
 ) -> BatchLinks:
-    """Match new records against all records and settle their entity numbers.
+    """Match staged records against all staged records and settle their entity numbers.
 
-    ``everything`` includes the batch; ``clusters`` holds the numbers given so far. ``max_pairs``, if given, bounds the
-    record pairs that the blocks of the batch make, and is checked before any pair is formed.
+    Nothing of the size of all data is hashed or shuffled: blocks come from the index, frequencies from the counts of
+    the batches, known numbers from the links of records around the batch. ``max_pairs``, if given, bounds the record
+    pairs that the blocks of the batch make, and is checked before any pair is formed.
     """
     settings = model.settings
     members = materialize(batch.select(_ID, *settings.columns, profile_key(settings).alias("profile")))
     rows = members.count()
     small = rows <= broadcast_rows
     fresh = members.groupBy("profile").agg(*[F.min(c).alias(c) for c in settings.columns], F.min(_ID).alias(_ID), F.count(F.lit(1)).alias("copies"))
-    if small:
-        # Only the batch's own values of the frequency tables are needed.
-        frequencies = {
-            c: table.join(F.broadcast(members.select(F.col(c).alias("value")).distinct()), "value", "left_semi") for c, table in frequencies.items()
-        }
+    counts = merged_counts(tables.rows("counts"))
+    frequencies = tf_of_counts(counts, settings, value_counts(members, settings) if small else None)
     fresh = materialize(with_tf(fresh, frequencies, _ID))
     fresh_keys = with_block_keys(fresh, settings.rules)
-    near = materialize(_touched(everything, fresh_keys, model, small))
+    near = touched(tables, fresh_keys, small)
     if max_pairs is not None:
         sides = [side.groupBy("rule", "block").agg(F.sum("copies").alias(n)) for side, n in ((fresh_keys, "a"), (near, "b"))]
         made = sides[0].join(sides[1], ["rule", "block"]).agg(F.sum(F.col("a").cast("decimal(38,0)") * (F.col("b") - 1))).first()[0]
@@ -143,23 +157,22 @@ def link_batch(
     matched = edges.select(F.col("profile_r").alias("profile"), F.col("node_r").alias("node")).distinct()
     own = near.select("profile", F.col(_ID).alias("node")).join(edges.select(F.col("profile_l").alias("profile")).distinct(), "profile", "left_semi")
     nodes = materialize(matched.union(own).distinct())
-    links = edges.join(nodes.select(F.col("profile").alias("profile_l"), F.col("node").alias("src")), "profile_l").select("src", F.col("node_r").alias("dst"))
-    copies = everything.select(_ID, profile_key(settings).alias("profile")).join(nodes, "profile")
-    known = copies.join(clusters.select(_ID, "cif_number"), _ID).select("node", "cif_number").distinct()
-    graph = materialize(entity_graph(links, known))
-
-    numbers = nodes.join(entity_numbers(graph), "node").select("profile", F.col("cif_number").alias("linked_cif"))
-    before = clusters.select(_ID, F.col("cif_number").alias("own_cif"))
-    settled = members.select(_ID, "profile").join(numbers, "profile", "left").join(before, _ID, "left")
+    linked = edges.join(nodes.select(F.col("profile").alias("profile_l"), F.col("node").alias("src")), "profile_l").select("src", F.col("node_r").alias("dst"))
+    around = materialize(holders(tables, nodes).join(nodes, "profile"))
+    known = current_clusters(tables, around.select(_ID).union(members.select(_ID)))
+    known = materialize(known.select(_ID, "cif_number"))
+    graph = materialize(entity_graph(linked, around.join(known, _ID).select("node", "cif_number").distinct()))
+
+    numbers = nodes.join(entity_numbers(graph), "node").groupBy("profile").agg(F.min("cif_number").alias("linked_cif"))
+    sizes = members.groupBy("profile").agg(F.count(F.lit(1)).alias("copies"))
+    before = known.select(_ID, F.col("cif_number").alias("own_cif"))
+    # A profile that a large share of the batch has does not gather it in one task.
+    settled = attach(members.select(_ID, "profile"), numbers.join(sizes, "profile"), "profile", "copies", F.col(_ID)).join(before, _ID, "left")
     own_cif = F.when(F.col("own_cif") != "", F.col("own_cif"))
     cif = F.coalesce("linked_cif", own_cif, mint_cif(F.col(_ID)))
-    merged = merges(graph)
-    numbered = settled.select(_ID, cif.alias("cif_number"))
-    # A record that stands alone now may still hold a number that this batch merges.
-    numbered = numbered.join(merged, numbered.cif_number == merged.old_cif, "left")
-    numbered = numbered.select(_ID, F.coalesce("new_cif", "cif_number").alias("cif_number"))
-    assignments = numbered.select(_ID, cif_cluster_id(F.col("cif_number")).alias("cluster_id"), "cif_number")
-    return BatchLinks(assignments, merged, rows, figures.edges, figures.pairs, figures.members)
+    assigned = settled.select(_ID, cif_cluster_id(cif).alias("cluster_id"), cif.alias("cif_number"))
+    # A record that stands alone now may still hold a number that this batch merges: the forest says so.
+    return BatchLinks(assigned, merges(graph), rows, figures.edges, figures.pairs, figures.members, (members, fresh, near, edges, nodes, around, known, graph))
 
 
 @dataclass(frozen=True)
@@ -172,54 +185,56 @@ class BatchReport:
     merged_numbers: int
 
 
-def commit_batch(store: EntityStore, batch_id: str, links: BatchLinks, at: Column | None = None) -> BatchReport:
-    """Log the batch's assignments together with the older rows its merges change, as one commit."""
+def commit_batch(tables: BatchTables, name: str, found: BatchLinks, at: Column | None = None) -> BatchReport:
+    """Add the numbers of the batch's records, and hook the numbers it merged, as one batch."""
     at = F.current_timestamp() if at is None else at
-    assigned = materialize(links.assignments)
-    clusters = store.read("clusters")
-    changed = changed_by_merges(clusters, links.merges).join(assigned.select(_ID), _ID, "left_anti")
-    delta = assigned.withColumn("processed_at", at).unionByName(changed.select(*schema.CLUSTERS.names))
-    store.commit(batch_id, clusters=delta)
-    return BatchReport(batch_id, links.records, links.edges, links.record_pairs, links.matched_records, links.merges.count())
+    merged = materialize(found.merges)
+    tables.write(name, links=found.links.withColumn("processed_at", at), forest=grown_forest(tables.read("forest"), merged))
+    report = BatchReport(name, found.records, found.edges, found.record_pairs, found.matched_records, merged.count())
+    forget(merged, *found.written)
+    return report
+
+
+def pending_rows(tables: BatchTables) -> DataFrame:
+    """``record_id`` and compared columns of what is staged and not linked since, in id order; written once."""
+    waiting = materialize(unprocessed_ids(tables.read("staging"), tables.read("links")))
+    rows = tables.read("staging", waiting).select(_ID, *tables.settings.columns)
+    written = materialize(rows.repartitionByRange(_ID).sortWithinPartitions(_ID))
+    forget(waiting)
+    return written
 
 
 def run(
-    store: EntityStore,
+    tables: BatchTables,
     model: LinkModel,
     threshold: float = 0.9,
     batch_size: int = 50_000,
     limit: int | None = None,
     max_pairs_per_batch: int | None = None,
     match_weight_threshold: float = -4.0,
-    compact_every: int = 20,
 ) -> list[BatchReport]:
     """Link everything that is staged and not linked yet, in batches of ``batch_size`` up to ``limit`` records.
 
-    What is pending is settled once, as a table of ids in id order; each batch then takes the next ids from it and
-    fetches only their rows. Records count as linked as of the moment their rows were read, so one that is extracted
-    again while the run goes on is pending again.
+    What is pending is written once, in id order; each batch takes the next ids of it. Records count as linked as of
+    the moment their rows were read, so one that is extracted again while the run goes on is pending again.
     """
-    read_at = F.lit(store.spark.range(1).select(F.current_timestamp()).first()[0])
-    staging = materialize(store.read("staging"))
-    frequencies = {c: materialize(t) for c, t in tf_tables(staging, model.settings).items()}
-    waiting = unprocessed_ids(staging, store.read("clusters"))
-    pending = materialize(waiting.repartitionByRange(_ID).sortWithinPartitions(_ID))
+    read_at = F.lit(tables.spark.range(1).select(F.current_timestamp()).first()[0])
+    pending = rest = pending_rows(tables)
     reports: list[BatchReport] = []
-    done, rest = 0, pending
+    done = 0
     while limit is None or done < limit:
         size = batch_size if limit is None else min(batch_size, limit - done)
-        ids = materialize(first_n(rest, _ID, size))
-        last = ids.agg(F.max(_ID)).first()[0]
+        batch = materialize(first_n(rest, _ID, size))
+        last = batch.agg(F.max(_ID)).first()[0]
         if last is None:
+            forget(batch)
             break
-        batch = staging.join(F.broadcast(ids) if size <= BROADCAST_NEW else ids, _ID, "left_semi")
-        links = link_batch(batch, staging, store.read("clusters"), model, frequencies, threshold, match_weight_threshold, max_pairs_per_batch)
-        reports.append(commit_batch(store, f"run-{uuid.uuid4().hex}", links, read_at))
-        forget(ids)
+        links = link_batch(tables, batch, model, threshold, match_weight_threshold, max_pairs_per_batch)
+        reports.append(commit_batch(tables, f"run-{uuid.uuid4().hex}", links, read_at))
+        forget(batch)
         done += links.records
         rest = pending.filter(F.col(_ID) > last)
-        if len(reports) % compact_every == 0:
-            store.compact()
+    forget(pending)
     return reports
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from kinfold.functions.text import ABBREVIATIONS, TITLES
 from kinfold.operators.model import LinkModel
-from kinfold.plans.catalog import FROZEN, MATCH_WEIGHT, NEW_FROM, NOT_ID, NOT_NAME, RULES, SAMPLE_ROWS, U_PAIRS
+from kinfold.plans.catalog import ARRIVALS, FROZEN, MATCH_WEIGHT, NEW_FROM, NOT_ID, NOT_NAME, RULES, SAMPLE_ROWS, U_PAIRS
 from kinfold.settings import DATE, DEFAULT_SETTINGS, EXACT
 from kinfold.sources.persons import CYRILLIC, LATIN, PLACEHOLDER
 
@@ -125,17 +127,64 @@ MATCHED = "edges AS (SELECT id_l AS src, id_r AS dst FROM scored WHERE match_wei
 FULL = ",\n".join([PERSONS, CLEANED, TF_CTES, pairs_cte(), gammas_cte(extra=TF_EXTRA), SCORED, MATCHED])
 
 
-def components(edges: str) -> str:
-    """Smallest node reachable from each node: recursive CTEs named ``links``, ``reached`` and ``component``."""
-    return f"""links AS (SELECT src AS a, dst AS b FROM {edges} UNION SELECT dst, src FROM {edges}),
-reached(node, least) AS (SELECT a, a FROM links UNION SELECT l.b, reached.least FROM reached JOIN links l ON l.a = reached.node),
-component AS (SELECT node, min(least) AS component FROM reached GROUP BY node)"""
+def components(edges: str, of: str = "") -> str:
+    """Smallest node reachable from each node: recursive CTEs named ``links``, ``reached`` and ``component``, with ``of`` behind."""
+    return f"""links{of} AS (SELECT src AS a, dst AS b FROM {edges} UNION SELECT dst, src FROM {edges}),
+reached{of}(node, least) AS (SELECT a, a FROM links{of} UNION SELECT l.b, r.least FROM reached{of} r JOIN links{of} l ON l.a = r.node),
+component{of} AS (SELECT node, min(least) AS component FROM reached{of} GROUP BY node)"""
 
 
 def with_(*ctes: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
 
 
+def batch_ctes(parts: int, edges: str = "edges", people: str = "cleaned") -> str:
+    """The numbers that linking in batches gives, one batch after the other: ``held_b`` after batch b, ``merged_b`` in it.
+
+    ``placed(record_id, batch)`` deals the records. Records that agree on all compared columns go by their smallest
+    id. ``{b}`` in the names of ``edges`` and ``people`` stands for the batch.
+    """
+    ctes = ["held_0 AS (SELECT NULL::VARCHAR AS record_id, NULL::VARCHAR AS cif WHERE false)"]
+    for b in range(1, parts + 1):
+        pairs, known = edges.format(b=b), people.format(b=b)
+        ctes.append(f"""rep_{b} AS (SELECT record_id, batch, min(record_id) OVER (PARTITION BY {", ".join(COLUMNS)}) AS rep FROM {known} JOIN placed USING (record_id)),
+touch_{b} AS (SELECT DISTINCT x.rep AS src, y.rep AS dst FROM {pairs} e JOIN rep_{b} x ON x.record_id = e.src JOIN rep_{b} y ON y.record_id = e.dst WHERE x.batch = {b} OR y.batch = {b}),
+nodes_{b} AS (SELECT src AS node FROM touch_{b} UNION SELECT dst FROM touch_{b}),
+graph_{b} AS (SELECT 'n:' || src AS src, 'n:' || dst AS dst FROM touch_{b}
+  UNION ALL SELECT 'n:' || rep, 'c:' || cif FROM held_{b - 1} JOIN rep_{b} USING (record_id) JOIN nodes_{b} ON node = rep),
+{components(f"graph_{b}", f"_{b}")},
+given_{b} AS (SELECT record_id, CASE WHEN component LIKE 'c:%' THEN substr(component, 3) ELSE 'CIF-' || coalesce(substr(component, 3), record_id) END AS cif
+  FROM rep_{b} LEFT JOIN component_{b} ON node = 'n:' || rep WHERE batch = {b}),
+merged_{b} AS (SELECT substr(node, 3) AS old_cif, substr(component, 3) AS new_cif FROM component_{b} WHERE node LIKE 'c:%' AND node <> component),
+held_{b} AS (SELECT record_id, coalesce(new_cif, cif) AS cif FROM (SELECT * FROM held_{b - 1} UNION ALL SELECT * FROM given_{b}) LEFT JOIN merged_{b} ON old_cif = cif)""")
+    return ",\n".join(ctes)
+
+
+def statistics_sql(parts: int = 3) -> str:
+    """The figures of each batch."""
+    placed = f"placed AS (SELECT record_id, (row_number() OVER (ORDER BY record_id) - 1) // ((count(*) OVER () + {parts - 1}) // {parts}) + 1 AS batch FROM cleaned)"
+    figures = " UNION ALL ".join(
+        f"""SELECT {b}::INT AS batch, (SELECT count(*) FROM placed WHERE batch = {b}) AS records, (SELECT count(*) FROM sided WHERE batch = {b}) AS record_pairs,
+  (SELECT count(DISTINCT record_id) FROM sided WHERE batch = {b}) AS matched_records, (SELECT count(*) FROM merged_{b}) AS merged_numbers,
+  (SELECT count(DISTINCT cif) FROM held_{parts}) AS entities"""
+        for b in range(1, parts + 1)
+    )
+    sided = "sided AS (SELECT record_id, batch FROM (SELECT src AS record_id FROM edges UNION ALL SELECT dst FROM edges) JOIN placed USING (record_id))"
+    return with_(FULL, placed, sided, batch_ctes(parts)) + figures
+
+
+def stream_sql() -> str:
+    """Three micro-batches: each is linked with the frequencies, and against the records, that have arrived by then."""
+    cut = f"CASE WHEN record_id >= '{ARRIVALS[1]}' THEN 3 WHEN record_id >= '{ARRIVALS[0]}' THEN 2 ELSE 1 END"
+    ctes = [PERSONS, CLEANED, f"placed AS (SELECT record_id, {cut} AS batch FROM cleaned)"]
+    names = "|".join(["cleaned", "pairs", "gammas", "scored", "edges", *[f"tf_{c}" for c in TF]])
+    for b in (1, 2, 3):
+        ctes.append(f"cleaned_{b} AS (SELECT * FROM cleaned WHERE {cut} <= {b})")
+        ctes.append(re.sub(rf"\b({names})\b", rf"\1_{b}", ",\n".join([TF_CTES, pairs_cte(), gammas_cte(extra=TF_EXTRA), SCORED, MATCHED])))
+    ctes.append(batch_ctes(3, "edges_{b}", "cleaned_{b}"))
+    return with_(*ctes) + "SELECT n, count(*) AS entities, 3::BIGINT AS batches FROM (SELECT count(*) AS n FROM held_3 GROUP BY cif) GROUP BY n"
+
+
 def hashed(text: str, seed: int) -> str:
     return f"('0x' || substr(md5({text} || ':{seed}'), 1, 13))::BIGINT"
 
@@ -182,12 +231,14 @@ BRIDGE_EDGES = f"""family AS (SELECT 'n:' || l.record_id AS src, 'n:' || r.recor
 graph AS (SELECT * FROM family UNION ALL SELECT 'n:' || record_id, 'c:' || cif_number FROM numbers)"""
 BRIDGES = with_(PERSONS, CLEANED, FIRST, BRIDGE_EDGES, components("graph"), "merged AS (SELECT substr(node, 3) AS old_cif, substr(component, 3) AS new_cif FROM component WHERE node LIKE 'c:%' AND node <> component)")
 
-U_SLOTS = f"(SELECT CASE WHEN count(*) * (count(*) - 1) // 2 <= {U_PAIRS} THEN 1 ELSE ceil(count(*) * count(*) / {2 * U_PAIRS}.0)::BIGINT END FROM cleaned)"
+U_SLOTS = f"""(SELECT CASE WHEN count(*) * (count(*) - 1) // 2 <= {U_PAIRS} THEN 1 WHEN count(*) <= {U_PAIRS} THEN ceil(count(*) * count(*) / {2 * U_PAIRS}.0)::BIGINT
+  ELSE count(*) // 2 END FROM cleaned)"""
+U_DRAWN = f"(SELECT count(*) <= {U_PAIRS} FROM cleaned)"
 
 
 def u_sql() -> str:
     slot = f"slots AS (SELECT *, {hashed('record_id', 5)} % {U_SLOTS} AS slot FROM cleaned)"
-    pairs = "pairs AS (SELECT l.record_id AS id_l, r.record_id AS id_r FROM slots l JOIN slots r ON l.slot = r.slot AND l.record_id < r.record_id)"
+    pairs = f"pairs AS (SELECT l.record_id AS id_l, r.record_id AS id_r FROM slots l JOIN slots r ON l.slot = r.slot AND l.record_id < r.record_id WHERE {U_DRAWN} OR l.slot < {U_PAIRS // 2})"
     parts = [f"SELECT '{c}' AS comparison, gamma_{c} AS level, count(*) AS pairs FROM gammas WHERE gamma_{c} >= 0 GROUP BY gamma_{c}" for c in COLUMNS]
     return with_(PERSONS, CLEANED, slot, pairs, gammas_cte(), f"counts AS ({' UNION ALL '.join(parts)})") + (
         "SELECT comparison, cast(level AS INTEGER) AS level, pairs, round(pairs / sum(pairs) OVER (PARTITION BY comparison)::DOUBLE, 9) AS u FROM counts"
@@ -329,6 +380,7 @@ def oracle_sql() -> dict[str, str]:
         "clean_documents": f"SELECT doc_id, {clean('text')} AS clean FROM documents",
         "extract_keyset": people + f"SELECT {SOURCE} FROM persons WHERE record_id > '010'",
         "extract_limited": people + f"SELECT {SOURCE} FROM persons WHERE record_id > '010' ORDER BY record_id LIMIT 500",
+        "extract_half": people + f"SELECT {SOURCE} FROM persons ORDER BY record_id LIMIT (SELECT count(*) // 2 FROM persons)",
         "extract_site_filter": people + f"SELECT {SOURCE} FROM persons WHERE site_id IN ('001', '002')",
         "extract_custom_sql": with_(PERSONS, MAPPED, CASES, ELIGIBLE) + "SELECT * FROM eligible",
         "source_contract": people
@@ -396,10 +448,10 @@ def oracle_sql() -> dict[str, str]:
         "apply_merges": BRIDGES
         + f"SELECT record_id, {cluster_of('coalesce(new_cif, cif_number)')} AS cluster_id, coalesce(new_cif, cif_number) AS cif_number FROM numbers LEFT JOIN merged ON cif_number = old_cif",
         "incremental_two_batches": ENTITIES + "SELECT record_id, least AS entity FROM entity",
-        "run_statistics": ENTITIES
-        + """SELECT (SELECT count(*) FROM cleaned) AS records, (SELECT 2 * count(*) FROM edges) AS record_pairs,
-        (SELECT count(*) FROM component) AS matched_records, cast(0 AS BIGINT) AS merged_numbers, (SELECT count(DISTINCT least) FROM entity) AS entities""",
-        "stream_stage_and_link": ENTITIES + "SELECT n, count(*) AS entities FROM (SELECT count(*) AS n FROM entity GROUP BY least) GROUP BY n",
+        "incremental_three_batches": ENTITIES + "SELECT record_id, least AS entity FROM entity",
+        "run_statistics": statistics_sql(),
+        "tf_merged": with_(PERSONS, CLEANED, TF_CTES) + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", value, n, round(tf, 9) AS tf FROM tf_{c}" for c in TF),
+        "stream_stage_and_link": stream_sql(),
         "record_mapping": ENTITIES + "SELECT record_id, 'CIF-' || least AS cif_number FROM entity",
         "nik_compose_decode": NIK,
         "national_id_quality": people

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from kinfold import schema
 from kinfold.functions.text import clean_text
+from kinfold.operators.blocking import with_block_keys
+from kinfold.operators.frequency import value_counts
+from kinfold.operators.profiles import profile_key
 from kinfold.operators.sampling import first_n
 from kinfold.session import forget, materialize
-from kinfold.sources.tables import EntityStore, latest_per_key
+from kinfold.sources.batches import BatchTables
+from kinfold.sources.tables import latest_per_key
 
 # Source column and the cleaned column made from it.
 CLEANED = {"full_name": "clean_name", "address": "clean_address", "father_name": "clean_father", "mother_name": "clean_mother"}
@@ -86,16 +90,40 @@ def position_row(increment: DataFrame, sites: str | None) -> DataFrame:
     return high_water_mark(increment).filter(F.col("position").isNotNull()).select(F.lit(_filter_name(sites)).alias("sites"), "position")
 
 
-def extract_job(store: EntityStore, source: DataFrame, run_id: str, sites: str | None = None, limit: int | None = None, restart: bool = False) -> int:
+def stage_batch(tables: BatchTables, name: str, staged: DataFrame, **more: DataFrame) -> bool:
+    """Add ``staged`` rows (the staging layout, one per id) as one batch, with all that linking will ask for.
+
+    The block index gets the blocks of profiles that no earlier record had, and the frequencies what these rows add;
+    rows that replace an earlier version of their record take back what that counted. False if the batch counts
+    already. ``more`` are rows for further tables of the batch.
+    """
+    if tables.finished(name):
+        return False
+    settings = tables.settings
+    rows = materialize(schema.conform(staged, schema.STAGING).withColumn("profile", profile_key(settings)))
+    counts = value_counts(rows, settings)
+    before = materialize(tables.read("keys", rows))
+    if not before.isEmpty():
+        counts = counts.unionByName(value_counts(tables.read("staging", before), settings, -1))
+    profiles = rows.groupBy("profile").agg(*[F.min(c).alias(c) for c in settings.columns])
+    known = tables.rows("keys").select("profile").join(rows.select("profile").distinct(), "profile", "left_semi").distinct()
+    profiles = materialize(profiles.join(known, "profile", "left_anti"))
+    tables.add_blocks(with_block_keys(profiles, settings.rules))
+    done = tables.write(name, staging=rows, keys=rows, profiles=profiles, counts=counts, **more)
+    forget(rows, before, profiles)
+    return done
+
+
+def extract_job(tables: BatchTables, source: DataFrame, run_id: str, sites: str | None = None, limit: int | None = None, restart: bool = False) -> int:
     """Extract what lies behind the filter's position, or everything with ``restart``; returns the number of rows.
 
-    Rows and new position become visible in one commit, so a run that fails is repeated from where it began, and
-    one that is repeated under its ``run_id`` changes nothing.
+    Rows and new position come to count together, so a run that fails is repeated from where it began, and one that
+    is repeated under its ``run_id`` changes nothing.
     """
-    last = None if restart else filter_position(store.read("positions"), sites)
+    last = None if restart else filter_position(tables.read("positions"), sites)
     rows = materialize(extract_increment(source, last, sites, limit))
     found = rows.count()
     if found:
-        store.commit(run_id, staging=to_staging(rows), positions=position_row(rows, sites))
+        stage_batch(tables, run_id, to_staging(rows), positions=position_row(rows, sites))
     forget(rows)
     return found

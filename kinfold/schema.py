@@ -51,6 +51,9 @@ CLUSTERS = _struct(
     ("processed_at", T.TimestampType()),
 )
 
+KEYS = _struct(("record_id", _S), ("profile", _S))
+COUNTS = _struct(("column", _S), ("value", _S), ("n", T.LongType()))
+FOREST = _struct(("number", _S), ("root", _S))
 POSITIONS = T.StructType([T.StructField("sites", T.StringType(), False), T.StructField("position", T.StringType())])
 MERGES = _struct(("old_cif", _S), ("new_cif", _S))
 
@@ -74,7 +77,3 @@ def from_source_names(df: DataFrame) -> DataFrame:
     """Rename source column names (any case) to ours; other columns stay as they are."""
     ours = {native.lower(): name for native, name in SOURCE_NAMES.items()}
     return df.withColumnsRenamed({c: ours[c.lower()] for c in df.columns if c.lower() in ours})
-
-
-def to_source_names(df: DataFrame) -> DataFrame:
-    return df.withColumnsRenamed({name: native for native, name in SOURCE_NAMES.items()})

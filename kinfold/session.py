@@ -16,14 +16,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, folder = _file_system(spark, path)
+    return system.exists(folder)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of this library's own; nothing happens where there is none."""
+    system, folder = _file_system(spark, path)
+    system.delete(folder, True)
+
+
 def forget(*frames: DataFrame) -> None:
     """Delete what :func:`materialize` wrote for these, once nothing reads it any more."""
     for df in frames:
         path = getattr(df, "_written_to", None)
         if path is not None:
-            jvm = df.sparkSession._jvm
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+            delete(df.sparkSession, path)
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -1,14 +1,10 @@
-"""Keyed tables on plain Parquet: upsert, latest row per key, and a store with atomic commits."""
+"""Keyed tables: upsert, latest row per key, what is waiting to be linked."""
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinfold import schema
-
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row per key in the stated ``order``, which should leave no ties.
@@ -31,105 +27,13 @@ def mark_processed(staging: DataFrame, batch: DataFrame, at: Column) -> DataFram
     return joined.withColumn("processed_at", F.when(F.col("_done"), at).otherwise(F.col("processed_at"))).select(*staging.columns)
 
 
-_COMMIT = "version long, batch_id string, at timestamp, parts array<struct<name:string,path:string,folds:long>>"
-_TABLES = {"staging": schema.STAGING, "clusters": schema.CLUSTERS, "positions": schema.POSITIONS}
-
-
-class CommitConflict(RuntimeError):
-    """Another writer took the version first; read again and repeat."""
-
-
-class EntityStore:
-    """Staged records, entity numbers and extraction positions under one folder, for one writer at a time.
-
-    Each commit adds one folder of changed rows per table and, last, one row to the commit log, so that readers see
-    all of it or nothing and a batch never rewrites a table. A batch id that is already in the log is not committed
-    again, which makes retries harmless. A version is claimed before it is used, and a second writer of the same
-    version fails. Readers take the latest row per key; :meth:`compact` folds the folders up to a version it names.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        # An empty log to begin with; nothing happens where there is one.
-        spark.createDataFrame([], _COMMIT).write.mode("ignore").json(f"{self.root}/commits")
-
-    def commits(self) -> DataFrame:
-        return self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
-
-    def _log(self) -> list:
-        # One row per commit: the log is metadata, not data.
-        return self.commits().orderBy("version").collect()
-
-    def committed(self, batch_id: str) -> bool:
-        return not self.commits().filter(F.col("batch_id") == batch_id).isEmpty()
-
-    def _claim(self, version: int) -> None:
-        jvm = self.spark._jvm
-        mark = jvm.org.apache.hadoop.fs.Path(f"{self.root}/claims/v{version:08d}")
-        if not mark.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).createNewFile(mark):
-            raise CommitConflict(f"version {version} is taken")
-
-    def commit(self, batch_id: str, folds: int | None = None, **tables: DataFrame) -> bool:
-        """Write changed rows and log them; False if the batch is already there.
-
-        With ``folds``, the rows replace all folders of their tables up to that version.
-        """
-        log = self._log()
-        if any(c.batch_id == batch_id for c in log):
-            return False
-        version = max((c.version for c in log), default=0) + 1
-        self._claim(version)
-        parts = []
-        for name, df in tables.items():
-            # The name orders rows of one key: folded rows stand where the version stood that they fold.
-            path = f"{name}/v{version if folds is None else folds:08d}-{uuid.uuid4().hex}"
-            schema.conform(df, _TABLES[name]).write.parquet(f"{self.root}/{path}")
-            parts.append((name, path, folds))
-        row = self.spark.createDataFrame([(version, batch_id, None, parts)], _COMMIT).withColumn("at", F.current_timestamp())
-        row.coalesce(1).write.mode("append").json(f"{self.root}/commits")
-        return True
-
-    def version(self) -> int:
-        return self.commits().agg(F.max("version")).first()[0] or 0
-
-    def read(self, name: str, version: int | None = None) -> DataFrame:
-        """The rows of a table, the latest per key (its first column), now or as of a version."""
-        live: list[tuple[int, str]] = []
-        for c in self._log():
-            for part in c.parts if version is None or c.version <= version else ():
-                if part.name == name:
-                    place = c.version if part.folds is None else part.folds
-                    live = live if part.folds is None else [p for p in live if p[0] > part.folds]
-                    live.append((place, f"{self.root}/{part.path}"))
-        layout = _TABLES[name]
-        if not live:
-            return schema.empty(self.spark, layout)
-        if len(live) == 1:
-            return self.spark.read.schema(layout).parquet(live[0][1])
-        rows = self.spark.read.schema(layout).parquet(*[path for _, path in live])
-        # The folder name carries the version, zero padded, so that names order as versions do.
-        folder = F.regexp_extract(F.col("_metadata.file_path"), rf"/{name}/(v\d+)-[0-9a-f]+/", 1)
-        return latest_per_key(rows.withColumn("_version", folder), layout.names[:1], [F.desc("_version")]).drop("_version")
-
-    def compact(self) -> None:
-        """Fold the folders of every table into one; commits that come in between stay on top of it."""
-        version = self.version()
-        for name in _TABLES:
-            self.commit(f"compact-{name}-{uuid.uuid4().hex}", folds=version, **{name: self.read(name, version)})
-
-
-def unprocessed_ids(staging: DataFrame, clusters: DataFrame) -> DataFrame:
+def unprocessed_ids(staging: DataFrame, links: DataFrame) -> DataFrame:
     """Ids of the staged records not linked since they were last extracted.
 
-    Follows from the entity table, so no batch has to rewrite staging; a record that is extracted again is pending
+    Follows from the links, so no batch has to rewrite staging; a record that is extracted again is pending
     again. Only ids and times are joined.
     """
-    done = clusters.select("record_id", F.col("processed_at").alias("_linked_at"))
+    done = links.select("record_id", F.col("processed_at").alias("_linked_at"))
     late = F.col("_linked_at").isNull() | (F.col("_linked_at") < F.col("extracted_at"))
     waiting = staging.filter(F.col("processed_at").isNull()).select("record_id", "extracted_at")
     return waiting.join(done, "record_id", "left").filter(late).select("record_id")
-
-
-def unprocessed(staging: DataFrame, clusters: DataFrame) -> DataFrame:
-    """The staged records that :func:`unprocessed_ids` names."""
-    return staging.join(unprocessed_ids(staging, clusters), "record_id", "left_semi")

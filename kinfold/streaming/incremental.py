@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kinfold import schema
-from kinfold.operators.frequency import tf_tables
 from kinfold.operators.model import LinkModel
-from kinfold.plans.linkage import BatchReport, commit_batch, link_batch
-from kinfold.plans.staging import to_staging
-from kinfold.session import forget, materialize
-from kinfold.sources.tables import EntityStore, unprocessed_ids
+from kinfold.plans.linkage import BatchReport, commit_batch, link_batch, pending_rows
+from kinfold.plans.staging import stage_batch, to_staging
+from kinfold.session import forget
+from kinfold.sources.batches import BatchTables
 
 
 def source_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -24,7 +23,7 @@ def source_stream(spark: SparkSession, path: str, files_per_batch: int | None =
 
 
 def stage_and_link(
-    store: EntityStore,
+    tables: BatchTables,
     model: LinkModel,
     threshold: float = 0.9,
     max_pairs: int | None = None,
@@ -33,28 +32,22 @@ def stage_and_link(
 ) -> Callable[[DataFrame, int], None]:
     """Handler for ``foreachBatch``: stage a micro-batch, then link what is not linked yet.
 
-    Both commits are named after the micro-batch, so one that is replayed after a failure changes nothing twice.
+    Both batches are named after the micro-batch, so one that is replayed after a failure changes nothing twice. What
+    a micro-batch costs follows its rows and what they touch, see :func:`kinfold.plans.linkage.link_batch`.
     """
 
     def handle(rows: DataFrame, number: int) -> None:
-        staged = f"{run_name}-{number}-staged"
-        if not store.committed(staged):
-            store.commit(staged, staging=to_staging(rows))
+        stage_batch(tables, f"{run_name}-{number}-staged", to_staging(rows))
         name = f"{run_name}-{number}"
-        if store.committed(name):
+        if tables.finished(name):
             return
         read_at = F.lit(rows.sparkSession.range(1).select(F.current_timestamp()).first()[0])
-        staging, clusters = materialize(store.read("staging")), store.read("clusters")
-        ids = materialize(unprocessed_ids(staging, clusters))
-        if ids.isEmpty():
-            return
-        batch = staging.join(ids, "record_id", "left_semi")
-        frequencies = {c: materialize(t) for c, t in tf_tables(staging, model.settings).items()}
-        links = link_batch(batch, staging, clusters, model, frequencies, threshold, max_pairs=max_pairs)
-        done = commit_batch(store, name, links, read_at)
-        forget(staging, ids, *frequencies.values())
-        if report is not None:
-            report(done)
+        batch = pending_rows(tables)
+        if not batch.isEmpty():
+            done = commit_batch(tables, name, link_batch(tables, batch, model, threshold, max_pairs=max_pairs), read_at)
+            if report is not None:
+                report(done)
+        forget(batch)
 
     return handle
 

@@ -88,8 +88,22 @@ def test_resolve(spark, name):
     after = {r.record_id: r.cif_number for r in entities.apply_merges(clusters, merges).collect()}
     replaced = dict(merged)
     assert after == {k: replaced.get(v, v) for k, v in known.items()}
-    changed = {r.record_id for r in entities.changed_by_merges(clusters, merges).collect()}
-    assert changed == {k for k, v in known.items() if v in replaced}
+
+
+def test_forest_stays_flat_and_a_hot_number_is_spread(spark, monkeypatch):
+    """Three rounds of merges: every number ever given leads straight to its root, however many records hold it."""
+    from kinfold.operators import skew
+
+    monkeypatch.setattr(skew.attach, "__defaults__", (50,))
+    links = spark.createDataFrame([(f"r{i:04d}", 1, "c" if i < 900 else f"x{i % 7}") for i in range(1000)] + [("null", 2, None), ("empty", 3, "")], "record_id string, cluster_id long, cif_number string")
+    forest = spark.createDataFrame([], "number string, root string")
+    for merged in ([("c", "b"), ("x1", "x0")], [("b", "a"), ("x0", "a")], [("x3", "x2")]):
+        delta = entities.grown_forest(forest, spark.createDataFrame(merged, "old_cif string, new_cif string"))
+        forest = spark.createDataFrame((forest.join(delta, "number", "left_anti").union(delta)).collect(), "number string, root string")
+    assert {tuple(r) for r in forest.collect()} == {("c", "a"), ("b", "a"), ("x0", "a"), ("x1", "a"), ("x3", "x2")}
+    now = {r.record_id: r.cif_number for r in entities.current_numbers(links, forest).collect()}
+    roots = {"c": "a", "x0": "a", "x1": "a", "x3": "x2"}
+    assert now == {r.record_id: roots.get(r.cif_number, r.cif_number) for r in links.collect()}
 
 
 def test_equal_numbers_have_equal_cluster_ids(spark):

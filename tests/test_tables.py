@@ -8,6 +8,7 @@ from kinfold import schema
 from kinfold.operators import checks, profiling
 from kinfold.plans import staging
 from kinfold.sources import readers, tables
+from kinfold.sources.batches import BatchTables
 
 
 def test_conform_and_names(spark):
@@ -16,7 +17,6 @@ def test_conform_and_names(spark):
     assert ours.schema == schema.SOURCE
     row = ours.first()
     assert (row.record_id, row.full_name, row.site_id) == ("1", "Budi", None)
-    assert schema.to_source_names(ours).columns == list(schema.SOURCE_NAMES)
     assert schema.empty(spark, schema.MERGES).count() == 0
 
 
@@ -28,38 +28,43 @@ def test_upsert_and_latest(spark):
     assert sorted(map(tuple, tables.latest_per_key(both, ["k"], [F.desc("v")]).collect())) == [("a", 1), ("b", 2), ("c", 2)]
 
 
-def rows_of(store):
-    return {r.record_id: r.cif_number for r in store.read("clusters").collect()}
+def rows_of(kept):
+    return {r.record_id: r.cif_number for r in kept.read("links").collect()}
 
 
-def test_store_commits_once_and_reads_the_latest(spark, tmp_path):
-    store = tables.EntityStore(spark, str(tmp_path))
-    assert store.read("clusters").schema == schema.CLUSTERS and rows_of(store) == {}
+def test_batches_count_once_and_the_latest_row_wins(spark, tmp_path, monkeypatch):
+    kept = BatchTables(spark, str(tmp_path), buckets=4)
+    assert kept.read("links").schema == schema.CLUSTERS and rows_of(kept) == {} and kept.last() == 0
 
     def delta(*rows):
         return spark.createDataFrame(rows, "record_id string, cif_number string")
 
-    assert store.commit("one", clusters=delta(("a", "1"), ("b", "1")))
-    assert store.commit("two", clusters=delta(("b", "2"), ("c", "2")))
-    assert not store.commit("two", clusters=delta(("b", "9")))
-    assert rows_of(store) == {"a": "1", "b": "2", "c": "2"} and store.committed("two") and not store.committed("three")
-    store.compact()
-    store.commit("three", clusters=delta(("a", "3")))
-    assert rows_of(tables.EntityStore(spark, str(tmp_path))) == {"a": "3", "b": "2", "c": "2"}
-    # What is committed while a compaction reads stays on top of what it folds.
-    version, held = store.version(), store.read("clusters")
-    store.commit("four", clusters=delta(("b", "4"), ("d", "4")))
-    store.commit("late-compaction", folds=version, clusters=held)
-    assert rows_of(store) == {"a": "3", "b": "4", "c": "2", "d": "4"}
-    store.compact()
-    assert rows_of(store) == {"a": "3", "b": "4", "c": "2", "d": "4"}
-    # A second writer cannot take the same version.
-    store._claim(store.version() + 1)
-    with pytest.raises(tables.CommitConflict):
-        store.commit("five", clusters=delta(("a", "5")))
-    # Files of a commit that never reached the log are not seen.
-    delta(("z", "z")).write.parquet(f"{tmp_path}/clusters/v00000099-0a")
-    assert "z" not in rows_of(store)
+    assert kept.write("one", links=delta(("a", "1"), ("b", "1")))
+    assert kept.write("two", links=delta(("b", "2"), ("c", "2")))
+    assert not kept.write("two", links=delta(("b", "9")))
+    assert rows_of(kept) == {"a": "1", "b": "2", "c": "2"} and kept.finished("two") and not kept.finished("three")
+    assert {r.record_id for r in kept.read("links", delta(("a", ""), ("z", ""))).collect()} == {"a"}
+    # A run that dies before its mark: its rows do not count, and the next batch, another one, takes its place.
+    monkeypatch.setattr(BatchTables, "_mark", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        kept.write("three", links=delta(("a", "3")), forest=spark.createDataFrame([("1", "0")], "number string, root string"))
+    monkeypatch.undo()
+    kept = BatchTables(spark, str(tmp_path), buckets=4)
+    assert rows_of(kept) == {"a": "1", "b": "2", "c": "2"} and kept.read("forest").isEmpty()
+    assert kept.write("four", links=delta(("c", "4")))
+    assert rows_of(kept) == {"a": "1", "b": "2", "c": "4"} and kept.read("forest").isEmpty() and kept.last() == 3
+    assert kept.write("three", links=delta(("a", "3")).limit(0))
+    assert rows_of(kept) == {"a": "1", "b": "2", "c": "4"} and kept.finished("three")
+
+
+def test_index_keeps_what_several_batches_add(spark, tmp_path):
+    kept = BatchTables(spark, str(tmp_path / "it's"), buckets=4)
+    rows = spark.createDataFrame([(1, 7, "p"), (2, 7, "p"), (1, 8, "q")], "rule int, block long, profile string")
+    assert kept.blocks().isEmpty()
+    kept.add_blocks(rows)
+    kept.add_blocks(rows.limit(2))
+    again = BatchTables(spark, str(tmp_path / "it's"), buckets=4)
+    assert again.blocks().count() == 5 and again.blocks().distinct().count() == 3
 
 
 def test_extract_increment_positions(spark):
