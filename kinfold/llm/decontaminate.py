@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinfold.session import materialize
+
 #: Tokens of a window, and of these at least so many that are no placeholder if other values are to match.
 WINDOW, LITERAL = 8, 5
 #: Tokens in a row that make a leak; a shorter item must occur in full.
@@ -27,24 +29,65 @@ MORE_STARTS = "([:\u2022\u2023]|\\n[ \\t\\r]*\\n|(?:^|\\n)[ \\t]*(?:[-*\u2013\u2
 NOISE = "[^\\p{L}\\p{N}\\x01 \\t\\n\\x0B\\f\\r]+"
 
 
-def tokens(text: Column) -> Column:
-    """Words of letters and digits as written; \\x01 leads those that begin a sentence. Punctuation separates.
+def marked(text: Column) -> Column:
+    """Words of letters and digits as written, between single blanks; \\x01 leads those that begin a sentence.
 
-    A sign between digits falls away (1,000 is 1000), so that a number stays one token.
+    Punctuation separates. A sign between digits falls away (1,000 is 1000), so that a number stays one word.
     """
     clean = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), "\x01", ""), "([0-9])[.,:/]([0-9])", "$1$2")
     clean = F.regexp_replace(F.regexp_replace(clean, STARTS, "$1$2\x01$3"), MORE_STARTS, "$1$2\x01$3")
     clean = F.regexp_replace(F.regexp_replace(clean, NOISE, " "), SPACES, " ")
-    return F.split(F.trim(clean), " ")
+    return F.trim(clean)
+
+
+#: What stands for a placeholder in marked words: numbers, units, and capitalised words within a sentence.
+PLACEHOLDERS = [
+    ("<n>", f"(?<![^ ])(?:[0-9][^ ]*|\x01?(?iu:{'|'.join(NUMBERS)})(?![^ ]))"),
+    ("<u>", f"(?<![^ ])\x01?(?iu:{'|'.join(UNITS)})(?![^ ])"),
+    ("<p>", "(?<![^ ])\\p{Lu}\\p{Ll}[^ ]*"),
+]
+#: Numbers or names in a row, also joined by *and*, are one token.
+RUNS = ["<n>(?: (?:and )?<n>)+", "<p>(?: (?:and )?<p>)+"]
+
+
+def template(marked_: Column) -> Column:
+    """The marked words with placeholders: ``<n>``, ``<u>``, ``<p>``, the rest in lower case."""
+    for name, pattern in PLACEHOLDERS:
+        marked_ = F.regexp_replace(marked_, pattern, name)
+    return F.lower(F.translate(marked_, "\x01", ""))
+
 
+def plain(marked_: Column) -> Column:
+    """The marked words in lower case."""
+    return F.lower(F.translate(marked_, "\x01", ""))
 
-def template(token: Column) -> Column:
-    """``<n>`` for numbers, ``<u>`` for units, ``<p>`` for capitalised words within a sentence, else the lower-cased word."""
-    first = F.substring(token, 1, 1)
-    plain = F.when(first == "\x01", F.substring(token, 2, 1 << 30)).otherwise(token)
-    low = F.lower(plain)
-    name = (first != "\x01") & (first != F.lower(first)) & (F.substring(token, 2, 1) != F.upper(F.substring(token, 2, 1)))
-    return F.when(first.between("0", "9") | low.isin(NUMBERS), "<n>").when(low.isin(UNITS), "<u>").when(name, "<p>").otherwise(low)
+
+def _hashes(texts: DataFrame, keys: list[str], text_column: str, widths: list[int] | None = None, lead: bool = False) -> DataFrame:
+    """``keys, hash, wide`` of the windows of the template, runs as one token, and of the plain words of each text.
+
+    Much cheaper than :func:`windows`, which gives no pair of equal windows that this does not.
+    """
+    made = texts.select(*keys, marked(F.col(text_column)).alias("_marked")).filter("_marked <> ''")
+    form = template(F.col("_marked"))
+    for run in RUNS:
+        form = F.regexp_replace(form, run, run[:3])
+    made = made.select(*keys, F.transform(F.split(form, " "), lambda t: F.xxhash64(t)).alias("_forms"), F.transform(F.split(plain(F.col("_marked")), " "), lambda t: F.xxhash64(t)).alias("_low"))
+
+    def of(column: str, wide: Column) -> Column:
+        at = F.sequence(F.lit(1), F.size(column) - wide + 1)
+        found = F.transform(at, lambda i: F.struct(F.xxhash64(F.slice(column, i, wide)).alias("hash"), wide.alias("wide")))
+        return F.when(F.size(column) >= wide, found).otherwise(F.slice(F.array(F.struct(F.lit(0).cast("long").alias("hash"), wide.alias("wide"))), 1, 0))
+
+    if widths:
+        each = [of(c, F.lit(w)) for c in ("_forms", "_low") for w in widths]
+    else:
+        each = [of(c, F.least(F.lit(WINDOW), F.size(c))) for c in ("_forms", "_low")]
+    if lead:
+        # The first word as a name, which it may be where the text stands within a sentence.
+        wide = F.least(F.lit(WINDOW), F.size("_forms"))
+        named = F.concat(F.array(F.xxhash64(F.lit("<p>"))), F.slice("_forms", 2, wide - 1))
+        each.append(F.array(F.struct(F.xxhash64(named).alias("hash"), wide.alias("wide"))))
+    return made.select(*keys, F.inline(F.concat(*each)))
 
 
 def windows(texts: DataFrame, keys: list[str], text_column: str, widths: list[int] | None = None, lead: bool = False) -> DataFrame:
@@ -58,8 +101,9 @@ def windows(texts: DataFrame, keys: list[str], text_column: str, widths: list[in
     Windows have each of the ``widths``; without any, WINDOW tokens, or all of a shorter text. With ``lead``, the
     window at the start comes also as it is when its first word stands within a sentence, where a capital makes a name; ``leads`` marks it.
     """
-    made = texts.select(*keys, tokens(F.col(text_column)).alias("_words")).filter(F.element_at("_words", 1) != "")
-    made = made.select(*keys, F.substring(F.regexp_replace(F.element_at("_words", 1), "\x01", ""), 1, 1).alias("_first"), F.transform("_words", template).alias("_forms"), F.transform("_words", lambda w: F.lower(F.translate(w, "\x01", ""))).alias("_low"))
+    made = texts.select(*keys, marked(F.col(text_column)).alias("_marked")).filter("_marked <> ''")
+    first = F.substring(F.translate(F.substring("_marked", 1, 2), "\x01", ""), 1, 1)
+    made = made.select(*keys, first.alias("_first"), F.split(template(F.col("_marked")), " ").alias("_forms"), F.split(plain(F.col("_marked")), " ").alias("_low"))
     made = made.select("*", F.transform("_forms", lambda f: F.substring(f, 1, 1) == "<").alias("_typed"), F.size("_low").alias("_n"))
     made = made.select("*", F.array_contains("_typed", True).alias("_some"))
     form = lambda i: F.get("_forms", i - 1)
@@ -108,6 +152,19 @@ def windows(texts: DataFrame, keys: list[str], text_column: str, widths: list[in
     return made.select(*keys, "_w.*")
 
 
+def _meeting(source: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``source`` with a window, of template or words, that an item has too."""
+    known = materialize(_hashes(items, ["_item"], "_text", lead=True).select("hash", "wide").distinct())
+    # A handful of numbers: only items shorter than a window have other widths.
+    widths = sorted(r["wide"] for r in known.select("wide").distinct().collect()) or [WINDOW]
+    small = known.count() <= MOST_BROADCAST
+    met = _hashes(source, ["doc_id", "_row"], "_text", widths).join(F.broadcast(known) if small else known, ["hash", "wide"], "left_semi")
+    met = materialize(met.select(F.col("doc_id").alias("_met_id"), F.col("_row").alias("_met_row")).distinct())
+    few = met.count() <= MOST_BROADCAST
+    same = F.col("doc_id").eqNullSafe(F.col("_met_id")) & (F.col("_row") == F.col("_met_row"))
+    return source.join(F.broadcast(met) if few else met, same, "left_semi")
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
     """``doc_id, item_id, kind, n_windows, n_item_windows, from_token, to_token, text_hash``: benchmark items found in documents.
 
@@ -122,8 +179,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     template show the same passage, the template's is given. ``n_item_windows`` counts the item's windows
     of the same kind; tokens are words, counted from 1 in the document. ``text_hash`` tells rows of the same id apart.
 
-    Only the windows of the benchmark are broadcast, after a count; a larger benchmark is joined by a shuffle.
-    Windows of documents are made and matched in the task that reads them.
+    A first pass makes bare hashes of the windows and finds the documents that meet the benchmark at all; only of
+    those come values, places and passages. Only the windows of the benchmark are broadcast, after a count, and the
+    list of documents that meet it, if it is small; larger ones are joined by a shuffle. Windows of documents are made
+    and matched in the task that reads them.
 
     Null and empty texts have no windows; null ids are ids like others. Repeated rows count once, an item that occurs
     several times in a document is reported for each passage. An empty table on either side gives no rows.
@@ -139,6 +198,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     # Only items shorter than a window have other widths: WINDOW - 1 of them at most.
     found = known.groupBy("_item_wide").count().collect()
     small = sum(r["count"] for r in found) <= MOST_BROADCAST
+    source = _meeting(source, items)
     seen = windows(source, ["doc_id", "_row"], "_text", sorted(r["_item_wide"] for r in found) or [WINDOW])
     met = seen.join(F.broadcast(known) if small else known, "hash").filter(F.col("wide") == F.col("_item_wide"))
     pair = lambda a, b: F.struct(a.alias("item"), b.alias("doc"))

@@ -33,9 +33,10 @@ def test_partial_passages(spark):
     assert leaks(spark, ["say one small step for a man today", "small step for a man"], ["One small step for a man", "a b"]) == [(0, 0, "exact")]
 
 
-def test_placeholders_alone_are_no_evidence(spark):
-    table = " ".join(str(i) for i in range(40))
-    assert leaks(spark, [table, table], [table]) == []
+def test_a_row_of_numbers_is_found_verbatim_only(spark):
+    """Placeholders alone are no evidence, but equal values are."""
+    table, other = (" ".join(str(i) for i in range(n, n + 40)) for n in (0, 500))
+    assert [(r[0], r[1], r[-1]) for r in leaks(spark, [table, table, other], [table])] == [(0, 0, "exact"), (1, 0, "exact")]
 
 
 def test_awkward_rows(spark):

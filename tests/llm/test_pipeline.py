@@ -39,4 +39,4 @@ def test_run(spark, folder):
     found = corpus_pipeline.run(spark, folder)
     assert {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(found.columns)
     assert 100 < found.count() <= spark.read.parquet(f"{folder}/documents.parquet").count()
-    assert len(QUERIES) == 10 and len(corpus_pipeline.STAGES) == 5
+    assert len(QUERIES) == 13 and len(corpus_pipeline.STAGES) == 5
