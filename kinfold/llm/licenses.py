@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,21 +78,43 @@ MPL_HEADER = "This Source Code Form is subject to the terms of the Mozilla Publi
 
 #: Larger tables of licences are joined by a shuffle.
 MOST_BROADCAST = 100_000
-COPYRIGHT_LINE = r"(?md)^[^\n\p{L}\p{N}]*(?:copyright|\(c\)|©)[^\n]*[0-9]{4}[^\n]*$"
-#: The same, and lines that name a holder without a year; a licence's own sentences on copyright stay.
-COPYRIGHT_LINES = (
-    r"(?md)^[^\n\p{L}\p{N}]*(?:(?:copyright|\(c\)|©)[^\n]*[0-9]{4}[^\n]*|copyright[ \t]*(?:\(c\)|©|[\[<{]|by )[^\n]*|©[^\n]*"
-    r"|copyright (?!holder|owner|notice)[^\n]*\b(?:authors|contributors)\.?[ \t]*)$"
-)
-NOT_WORD = r"[^\p{L}\p{N}\n]+"
+# What makes a lower-case line one of copyright: a year, a sign, or a holder without either. A licence's
+# own sentences on copyright stay.
+_BEFORE = r"[^\n\p{L}\p{N}]*"
+WITH_YEAR = rf"{_BEFORE}(?:copyright|\(c\)|©)[^\n]*[0-9]{{4}}[^\n]*"
+WITH_SIGN = rf"{_BEFORE}(?:copyright[ \t]*(?:\(c\)|©|[\[<{{]|by )[^\n]*|©[^\n]*)"
+WITH_TEAM = rf"{_BEFORE}copyright [^\n]*\b(?:authors|contributors)\.?[ \t]*"
+NO_HOLDER = rf"{_BEFORE}copyright (?:holder|owner|notice)"
+COPYRIGHT_LINES = rf"(?md)^(?:{WITH_YEAR}|{WITH_SIGN}|(?!{NO_HOLDER}){WITH_TEAM})$"
+COPYRIGHT_SIGNS = ["copyright", "(c)", "©"]
+#: Stands for a blank line between paragraphs.
+BREAK = "\x02"
+NOT_WORD = rf"[^\p{{L}}\p{{N}}\n{BREAK}]+"
+BLANK_LINE = r"\n[ \t]*\n"
+
+
+def spelled(text: Column) -> Column:
+    """Lower case, copyright lines emptied, spellings made equal, punctuation and blanks as single blanks; lines stay.
+
+    Nothing here looks past the end of a line, so the lines of the result are what each line alone would give.
+    """
+    out = F.lower(F.translate(F.coalesce(text, F.lit("")), BREAK, " "))
+    out = F.replace(F.replace(out, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    out = F.regexp_replace(out, BLANK_LINE, f"\n{BREAK}\n")
+    signs = reduce(lambda a, b: a | b, [F.contains(out, F.lit(sign)) for sign in COPYRIGHT_SIGNS])
+    out = F.when(signs, F.regexp_replace(out, COPYRIGHT_LINES, "")).otherwise(out)
+    for pattern, replacement in SPELLINGS:
+        out = F.regexp_replace(out, pattern, replacement) if any(c in pattern for c in "[(") else F.replace(out, F.lit(pattern), F.lit(replacement))
+    return F.regexp_replace(out, NOT_WORD, " ")
+
+
+def _flat(spelled_: Column) -> Column:
+    return F.trim(F.regexp_replace(spelled_, f"[ \n{BREAK}]+", " "))
 
 
 def canonical(text: Column) -> Column:
-    """Lower case, copyright lines gone, spellings made equal, punctuation and space as single blanks."""
-    out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINES, "")
-    for pattern, replacement in SPELLINGS:
-        out = F.regexp_replace(out, pattern, replacement) if any(c in pattern for c in "[(") else F.replace(out, F.lit(pattern), F.lit(replacement))
-    return F.trim(F.regexp_replace(F.regexp_replace(out, NOT_WORD, " "), r"[ \n]+", " "))
+    """The whole text on one line, spelled alike."""
+    return _flat(spelled(text))
 
 
 def digest(text: Column) -> Column:
@@ -142,19 +165,19 @@ def license_scan(docs: DataFrame, known: DataFrame, id_column: str = "doc_id", t
     is looked up as ``text`` only, a paragraph of one line as ``paragraph`` only. Blank units, and null or empty
     texts, match nothing. Repeated rows count together; an empty table gives no rows.
 
-    Units go through a hash join with the digests: broadcast, since the table of licences is counted first, and a
+    A text is spelled alike once, before it is cut into units. These go through a hash join with the digests: broadcast, since the table of licences is counted first, and a
     shuffled join when it is large. Only matches are shuffled, counted per document beforehand in each task.
     """
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    source = docs.select(F.col(id_column).alias("doc_id"), F.regexp_replace(text, r"\r\n?", "\n").alias("_text"))
+    source = docs.select(F.col(id_column).alias("doc_id"), spelled(F.col(text_column)).alias("_text"))
 
     def several(unit: str, between: str) -> Column:
         parts = F.split("_text", between)
         return F.when(F.size(parts) > 1, F.transform(parts, lambda p: F.struct(F.lit(unit).alias("unit"), p.alias("body")))).otherwise(F.expr("array()"))
 
     whole = F.array(F.struct(F.lit("text").alias("unit"), F.col("_text").alias("body")))
-    units = source.select("doc_id", F.explode(F.concat(whole, several("paragraph", r"\n[ \t]*\n"), several("line", "\n"))).alias("_unit"))
-    units = units.select("doc_id", "_unit.unit", canonical(F.col("_unit.body")).alias("_form")).filter("_form <> ''")
+    units = source.select("doc_id", F.explode(F.concat(whole, several("paragraph", BREAK), several("line", "\n"))).alias("_unit"))
+    line = F.trim(F.translate(F.col("_unit.body"), BREAK, ""))
+    units = units.select("doc_id", "_unit.unit", F.when(F.col("_unit.unit") == "line", line).otherwise(_flat(F.col("_unit.body"))).alias("_form")).filter("_form <> ''")
     units = units.select("doc_id", "unit", F.sha2("_form", 256).alias("digest"))
     small = known.count() <= MOST_BROADCAST
     found = units.join(F.broadcast(known) if small else known, "digest")

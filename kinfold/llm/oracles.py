@@ -70,13 +70,16 @@ FROM keyed k LEFT JOIN often o ON k.key = o.key GROUP BY doc_id"""
 
 
 def _canonical(text: str) -> str:
-    out = f"regexp_replace(lower({text}), {_text(n.COPYRIGHT_LINE.replace('(?md)', '(?m)'))}, '', 'g')"
+    """Line by line, since the pattern of copyright lines looks ahead, which not every engine can."""
+    team = f"regexp_full_match(x, {_text(n.WITH_TEAM)}) AND NOT regexp_matches(x, {_text('^' + n.NO_HOLDER)})"
+    gone = f"regexp_full_match(x, {_text(n.WITH_YEAR)}) OR regexp_full_match(x, {_text(n.WITH_SIGN)}) OR ({team})"
+    out = f"array_to_string(list_transform(string_split(lower(translate({text}, chr(2), ' ')), chr(10)), lambda x: CASE WHEN {gone} THEN '' ELSE x END), chr(10))"
     for pattern, replacement in n.SPELLINGS:
         if "(" in pattern:
             out = f"regexp_replace({out}, {_text(pattern)}, {_text(replacement.replace('$1', chr(92) + '1'))}, 'g')"
         else:
             out = f"replace({out}, {_text(pattern)}, {_text(replacement)})"
-    return f"trim(regexp_replace(regexp_replace({out}, {_text(n.NOT_WORD)}, ' ', 'g'), '[ \\n]+', ' ', 'g'))"
+    return f"trim(regexp_replace(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g'), '[ \\n]+', ' ', 'g'))"
 
 
 LICENSES = f"""
@@ -86,7 +89,8 @@ units AS (
   SELECT doc_id, 'text' AS unit, text AS body FROM cut
   UNION ALL SELECT doc_id, 'paragraph', unnest(ps) FROM cut WHERE len(ps) > 1
   UNION ALL SELECT doc_id, 'line', unnest(ls) FROM cut WHERE len(ls) > 1),
-known AS (SELECT DISTINCT license, {_canonical("text")} AS form FROM (VALUES {", ".join(f"({_text(a)}, {_text(b)})" for a, b in n.NOTICES)}) v(license, text))
+known AS (SELECT DISTINCT license, {_canonical("text")} AS form
+  FROM (VALUES {", ".join(f"({_text(a)}, {_text(b)})" for a, b in n.NOTICES + n.headers() + n.full_texts())}) v(license, text))
 SELECT doc_id, license, unit, count(*) AS n_matches
 FROM (SELECT doc_id, unit, {_canonical("body")} AS form FROM units) u JOIN known USING (form) WHERE form <> '' GROUP BY ALL"""
 
