@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.operators.sampling import sample_n
@@ -47,7 +47,11 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     Values are counted first and the counts written, so that range and bins come from distinct values.
     """
     counted = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    counted = materialize(counted)
+    return counts_histogram(materialize(counted), bins)
+
+
+def counts_histogram(counted: DataFrame, bins: int = 30) -> DataFrame:
+    """The same from stored counts, ``value, n`` with a double each."""
     low, high = counted.agg(F.min("value")).scalar(), counted.agg(F.max("value")).scalar()
     ranged = counted.withColumns({"lowest": low, "width": (high - low) / bins})
     # One value only: a single bin of width 1 around it holds everything, as numpy does it.
@@ -67,13 +71,40 @@ def length_histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     return histogram(df.select(F.char_length(column).alias("length")), "length", bins)
 
 
+def _joined(columns: list[str]) -> Column:
+    """One text per list of values; nulls and '' differ, and no two lists run together."""
+    return F.concat_ws("|", *[F.coalesce(F.concat(F.char_length(c.cast("string")), F.lit(":"), c.cast("string")), F.lit("-")) for c in map(F.col, columns)])
+
+
+def _long_counts(df: DataFrame, key: str, pair: list[str], lengths: list[str], frequent: list[str]) -> DataFrame:
+    """``kind, column, value, n`` of everything a profile counts, each row of ``df`` adding one to several of them.
+
+    Counts are combined in each task before the one shuffle, so what moves are distinct values, not rows.
+    """
+
+    def entry(kind: str, column: str | None, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.lit(column).cast("string").alias("column"), value.cast("string").alias("value"))
+
+    nothing = F.lit(None)
+    entries = [entry("rows", None, nothing)]
+    entries += [F.when(F.col(c).isNull(), entry("missing", c, nothing)) for c in df.columns]
+    entries += [F.when(F.col(key).isNotNull(), entry("same", key, F.col(key))), entry("same", "+".join(pair), _joined(pair))]
+    entries += [F.when(F.col(c).isNotNull(), entry("length", c, F.char_length(c))) for c in lengths]
+    entries += [entry("frequent", c, F.col(c)) for c in frequent]
+    long = df.select(F.inline(F.array_compact(F.array(*entries))))
+    return long.groupBy("kind", "column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def report(df: DataFrame, key: str, name: str, birth_date: str, lengths: list[str], frequent: list[str]) -> DataFrame:
     """The profile in long form: ``metric, column, item, value``; ready to be written as JSON or Parquet.
 
-    The source is read once: the profiled columns are written, and each figure then reads only the columns it needs.
+    The source is read once and shuffled once, as counts of values; every figure follows from these.
     """
-    df = materialize(df)
-    columns = df.columns
+    pair = [name, birth_date]
+    counted = materialize(_long_counts(df, key, pair, lengths, frequent))
+
+    def of(kind: str, column: str) -> DataFrame:
+        return counted.filter((F.col("kind") == kind) & (F.col("column") == column))
 
     def rows(source: DataFrame, metric, column, item, value) -> DataFrame:
         return source.select(
@@ -84,17 +115,21 @@ def report(df: DataFrame, key: str, name: str, birth_date: str, lengths: list[st
         )
 
     nothing = F.lit(None)
-    wide = df.select(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    counts = wide.unpivot([], ["_rows", *columns], "column", "n")
+    number = F.coalesce(F.sum(F.when(F.col("kind") == "rows", F.col("n"))), F.lit(0))
+    missing = [F.coalesce(F.sum(F.when((F.col("kind") == "missing") & (F.col("column") == c), F.col("n"))), F.lit(0)).alias(c) for c in df.columns]
+    wide = counted.filter(F.col("kind").isin("rows", "missing")).agg(number.alias("_rows"), *missing)
+    counts = wide.unpivot([], ["_rows", *df.columns], "column", "n")
     total = F.col("column") == "_rows"
     parts = [rows(counts, F.when(total, "rows").otherwise("missing"), F.when(~total, F.col("column")), nothing, F.col("n"))]
-    for keys, keep_nulls in (([key], False), ([name, birth_date], True)):
-        found = exact_duplicates(df, keys, keep_nulls).unpivot([], ["dup_groups", "dup_rows"], "metric", "value")
-        parts.append(rows(found, F.col("metric"), F.lit("+".join(keys)), nothing, F.col("value")))
+    for column in (key, "+".join(pair)):
+        found = of("same", column).filter("n > 1").agg(F.count(F.lit(1)).alias("dup_groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("dup_rows"))
+        parts.append(rows(found.unpivot([], ["dup_groups", "dup_rows"], "metric", "value"), F.col("metric"), F.lit(column), nothing, F.col("value")))
     for c in lengths:
-        parts.append(rows(length_histogram(df, c), "length", F.lit(c), F.round("low", 3), F.col("n")))
+        binned = counts_histogram(of("length", c).select(F.col("value").cast("double").alias("value"), "n"))
+        parts.append(rows(binned, "length", F.lit(c), F.round("low", 3), F.col("n")))
     for c in frequent:
-        parts.append(rows(top_values(df, c), "frequent", F.lit(c), F.col("value"), F.col("n")))
+        best = of("frequent", c).orderBy(F.desc("n"), F.asc_nulls_last("value")).limit(5)
+        parts.append(rows(best, "frequent", F.lit(c), F.col("value"), F.col("n")))
     return reduce(DataFrame.unionByName, parts)
 
 

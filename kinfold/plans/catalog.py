@@ -26,6 +26,7 @@ from kinfold.operators import (
     training,
 )
 from kinfold.operators.model import LinkModel, load_model
+from kinfold.operators.skew import attach
 from kinfold.plans import linkage, staging
 from kinfold.session import checkpoint_root, materialize
 from kinfold.settings import DEFAULT_SETTINGS
@@ -399,10 +400,13 @@ def em_one_iteration(spark, folder):
 
 
 def em_trained(spark, folder):
-    model = training.train(_compared(spark, folder), DEFAULT_SETTINGS, allow_partial=True).model
+    """The model of all sessions, saved and loaded again, and whether they settled within their rounds."""
+    found = training.train(_compared(spark, folder), DEFAULT_SETTINGS, allow_partial=True)
     path = _folder(spark)
-    model.save(spark, path)
-    return load_model(spark, path, DEFAULT_SETTINGS).to_frame(spark)
+    found.model.save(spark, path)
+    rows = load_model(spark, path, DEFAULT_SETTINGS).to_frame(spark)
+    rounded = {"m": F.round("m", 6), "u": F.round("u", 9), "prior": F.round("prior", 12)}
+    return rows.withColumns(rounded).withColumn("settled", F.lit(found.settled))
 
 
 # --- entities
@@ -436,10 +440,9 @@ def resolve_entities(spark, folder):
     return linkage.link_all(_compared(spark, folder), FROZEN)
 
 
-def resolve_batch(spark, folder):
+def _resolved(spark: SparkSession, folder: str, people: DataFrame, numbers: DataFrame) -> DataFrame:
     """New records, those of the later sites, against records that already have numbers."""
-    people = _compared(spark, folder)
-    known = _first_numbers(people).filter(F.col("record_id") < NEW_FROM)
+    known = numbers.filter(F.col("record_id") < NEW_FROM)
     batch = people.filter(F.col("record_id") >= NEW_FROM).select("record_id")
     edges = _edges(spark, folder)
     both = edges.select(F.col("src").alias("new_id"), F.col("dst").alias("candidate_id"))
@@ -448,10 +451,23 @@ def resolve_batch(spark, folder):
     return assigned
 
 
+def resolve_batch(spark, folder):
+    people = _compared(spark, folder)
+    return _resolved(spark, folder, people, _first_numbers(people))
+
+
+def resolve_batch_gaps(spark, folder):
+    """The same where some known records have no number, or an empty one: they name nothing."""
+    people = _compared(spark, folder)
+    last = F.right("record_id", F.lit(1))
+    number = F.when(last == "3", None).when(last == "7", "").otherwise(F.col("cif_number"))
+    return _resolved(spark, folder, people, _first_numbers(people).withColumn("cif_number", number))
+
+
 def _first_numbers(people: DataFrame) -> DataFrame:
     """Numbers as a first pass over the national id alone would give them."""
-    least = people.filter("national_id IS NOT NULL").groupBy("national_id").agg(F.min("record_id").alias("least"))
-    joined = people.select("record_id", "national_id").join(least, "national_id", "left")
+    least = people.filter("national_id IS NOT NULL").groupBy("national_id").agg(F.min("record_id").alias("least"), F.count(F.lit(1)).alias("records"))
+    joined = attach(people.select("record_id", "national_id"), least, "national_id", "records", F.col("record_id"))
     cif = identity.mint_cif(F.coalesce("least", "record_id"))
     return joined.select("record_id", entities.cif_cluster_id(cif).alias("cluster_id"), cif.alias("cif_number"))
 
@@ -603,7 +619,7 @@ QUERIES: dict[str, Query] = {
         jaro_winkler_pairs, dob_levels, order_date_levels, gamma_pattern_counts,
         scored_pairs_frozen, pairs_over_threshold, pairs_over_weight, scored_pairs_debug,
         u_from_random_pairs, prior_estimate, em_one_iteration, em_trained,
-        connected_components, order_components, stable_cluster_id, resolve_entities, resolve_batch,
+        connected_components, order_components, stable_cluster_id, resolve_entities, resolve_batch, resolve_batch_gaps,
         bridge_merges, apply_merges, incremental_two_batches, incremental_three_batches, run_statistics, tf_merged, stream_stage_and_link,
         record_mapping, nik_compose_decode, national_id_quality, inject_duplicates, pair_precision_recall,
     )

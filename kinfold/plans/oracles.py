@@ -236,11 +236,16 @@ U_SLOTS = f"""(SELECT CASE WHEN count(*) * (count(*) - 1) // 2 <= {U_PAIRS} THEN
 U_DRAWN = f"(SELECT count(*) <= {U_PAIRS} FROM cleaned)"
 
 
-def u_sql() -> str:
-    slot = f"slots AS (SELECT *, {hashed('record_id', 5)} % {U_SLOTS} AS slot FROM cleaned)"
+def u_ctes(seed: int) -> tuple[str, ...]:
+    """Level counts of random pairs: CTEs up to ``counts``."""
+    slot = f"slots AS (SELECT *, {hashed('record_id', seed)} % {U_SLOTS} AS slot FROM cleaned)"
     pairs = f"pairs AS (SELECT l.record_id AS id_l, r.record_id AS id_r FROM slots l JOIN slots r ON l.slot = r.slot AND l.record_id < r.record_id WHERE {U_DRAWN} OR l.slot < {U_PAIRS // 2})"
     parts = [f"SELECT '{c}' AS comparison, gamma_{c} AS level, count(*) AS pairs FROM gammas WHERE gamma_{c} >= 0 GROUP BY gamma_{c}" for c in COLUMNS]
-    return with_(PERSONS, CLEANED, slot, pairs, gammas_cte(), f"counts AS ({' UNION ALL '.join(parts)})") + (
+    return PERSONS, CLEANED, slot, pairs, gammas_cte(), f"counts AS ({' UNION ALL '.join(parts)})"
+
+
+def u_sql() -> str:
+    return with_(*u_ctes(5)) + (
         "SELECT comparison, cast(level AS INTEGER) AS level, pairs, round(pairs / sum(pairs) OVER (PARTITION BY comparison)::DOUBLE, 9) AS u FROM counts"
     )
 
@@ -265,12 +270,77 @@ def em_sql(number: int, prior: float = 0.5) -> str:
     return with_(*ctes) + f"SELECT {number} AS rule, comparison, cast(level AS INTEGER) AS level, round(m, 6) AS m, round((SELECT avg(p) FROM chance), 6) AS prior FROM steps"
 
 
+def em_trained_sql(max_rounds: int = 25, settled: float = 1e-4, tiny: float = 1e-12) -> str:
+    """Training to the end: each rule's rounds as a recursive CTE over its comparison vectors, then the medians.
+
+    Parameters of all comparisons stand in one list, in the order of comparisons and levels.
+    """
+    levels = [(c, i) for c in DEFAULT_SETTINGS.comparisons for i in range(c.top + 1)]
+    place = {(c.column, i): n for n, (c, i) in enumerate(levels, 1)}
+    start = [0.05 / c.top if i < c.top else 0.95 for c, i in levels]
+    counted = [f"greatest(coalesce(max(pairs) FILTER (comparison = '{c.column}' AND level = {i}), 0), 0.5)" for c, i in levels]
+    of_column = {c.column: [n for n, (d, _) in enumerate(levels, 1) if d is c] for c in DEFAULT_SETTINGS.comparisons}
+    shares = [f"w[{n}] / (" + " + ".join(f"w[{k}]" for k in of_column[c.column]) + ")" for n, (c, _) in enumerate(levels, 1)]
+    ctes = [
+        *u_ctes(0)[:4],
+        u_ctes(0)[4].replace("gammas AS", "u_gammas AS"),
+        u_ctes(0)[5].replace("FROM gammas", "FROM u_gammas"),
+        f"weighed AS (SELECT [{', '.join(counted)}]::DOUBLE[] AS w FROM counts)",
+        f"us AS MATERIALIZED (SELECT [{', '.join(shares)}] AS u FROM weighed)",
+        TF_CTES,
+        """priors AS (SELECT least(1.0, pairs / 0.7 / (records::DOUBLE * (records - 1) / 2)) AS prior FROM (SELECT (SELECT count(*) FROM cleaned) AS records,
+  coalesce(sum(n * (n - 1) / 2.0), 0)::DOUBLE AS pairs FROM (SELECT count(*) AS n FROM cleaned WHERE national_id IS NOT NULL GROUP BY national_id)))""",
+        f"model_0 AS (SELECT {start}::DOUBLE[] AS m)",
+    ]
+    for s, rule in enumerate(RULES, 1):
+        active = [c for c in DEFAULT_SETTINGS.comparisons if c.column not in rule]
+        keys = ", ".join(f"gamma_{c.column}" for c in active)
+        factor = " * ".join(["1.0::DOUBLE"] + [f"CASE WHEN gamma_{c.column} = {c.top} THEN greatest(u[{place[c.column, c.top]}], {tiny}) / tf_{c.column} ELSE 1.0 END" for c in active if c.term_frequency])
+        weight = " + ".join(["log2(p / (1 - p))"] + [f"log2(greatest(m[{k}], {tiny}) / greatest(u[{k}], {tiny}))" for k in (place[c, DEFAULT_SETTINGS.comparison(c).top] for c in rule)])
+        odds = [f"prior / greatest(1 - prior, {tiny})", "tf_factor"]
+        for c in active:
+            cases = "".join(f" WHEN {i} THEN greatest(m[{place[c.column, i]}], {tiny}) / greatest(u[{place[c.column, i]}], {tiny})" for i in range(c.top + 1))
+            odds.append(f"CASE gamma_{c.column}{cases} ELSE 1.0 END")
+        new = []
+        for n, (c, i) in enumerate(levels, 1):
+            gained = f"coalesce(sum(e) FILTER (gamma_{c.column} = {i}), 0) / nullif(sum(e) FILTER (gamma_{c.column} >= 0), 0)"
+            new.append(f"coalesce(greatest({gained}, {tiny}), m[{n}])" if c in active else f"m[{n}]")
+        moved = ", ".join(["abs(now - prior)", *[f"abs(ms[{n}] - m[{n}])" for n, (c, _) in enumerate(levels, 1) if c in active]])
+        seen = [f"count(*) FILTER (gamma_{c.column} = {i}) > 0" if c in active else "false" for c, i in levels]
+        known = [f"[{', '.join(f'taught_{t}.m[{n}]' for t in range(1, s + 1))}]" for n in range(1, len(levels) + 1)]
+        medians = [f"coalesce(list_aggregate({k}, 'median'), model_0.m[{n}])" for n, k in enumerate(known, 1)]
+        ctes += [
+            pairs_cte(rules=(rule,), name=f"pairs_{s}"),
+            gammas_cte(f"pairs_{s}", TF_EXTRA).replace("gammas AS", f"gammas_{s} AS"),
+            f"vectors_{s} AS MATERIALIZED (SELECT {keys}, {factor} AS tf_factor, count(*)::DOUBLE AS n FROM gammas_{s}, us GROUP BY ALL)",
+            f"start_{s} AS (SELECT 1 / (1 + pow(2.0, -greatest(least({weight}, 500), -500))) AS prior, m FROM model_{s - 1}, us, (SELECT least(greatest(prior, {tiny}), 1 - {tiny}) AS p FROM priors))",
+            f"""em_{s}(round, prior, m, moved) AS (
+  SELECT 0, prior, m, 1.0::DOUBLE FROM start_{s} UNION ALL
+  SELECT round + 1, now, ms, greatest({moved}) FROM (
+    SELECT round, prior, m, sum(e) / sum(n) AS now, [{", ".join(new)}] AS ms
+    FROM (SELECT *, n * odds / (1 + odds) AS e FROM (SELECT *, {" * ".join(odds)} AS odds FROM em_{s}, vectors_{s}, us WHERE round < {max_rounds} AND moved >= {settled}))
+    GROUP BY round, prior, m))""",
+            f"last_{s} AS (SELECT m, moved FROM em_{s} ORDER BY round DESC LIMIT 1)",
+            f"seen_{s} AS (SELECT [{', '.join(seen)}] AS s FROM vectors_{s})",
+            f"taught_{s} AS (SELECT [{', '.join(f'CASE WHEN s[{n}] THEN m[{n}] END' for n in range(1, len(levels) + 1))}] AS m FROM last_{s}, seen_{s})",
+            f"raw_{s} AS (SELECT [{', '.join(medians)}] AS w FROM model_0, {', '.join(f'taught_{t}' for t in range(1, s + 1))})",
+            f"model_{s} AS (SELECT [{', '.join(shares)}] AS m FROM raw_{s})",
+        ]
+    done = " AND ".join(f"(SELECT moved FROM last_{s}) < {settled}" for s in range(1, len(RULES) + 1))
+    label = lambda c, i: c.labels[i].replace("'", "''")
+    rows = " UNION ALL ".join(
+        f"SELECT '{c.column}' AS comparison, {i}::INT AS level, '{label(c, i)}' AS label, round(m[{n}], 6) AS m, round(u[{n}], 9) AS u, {str(c.term_frequency).lower()} AS tf, round(prior, 12) AS prior FROM model_{len(RULES)}, us, priors"
+        for n, (c, i) in enumerate(levels, 1)
+    )
+    return with_(*ctes) + f"SELECT *, {done} AS settled FROM ({rows})"
+
+
 ENTITIES = with_(FULL, components("edges"), "entity AS (SELECT c.record_id, coalesce(k.component, c.record_id) AS least FROM cleaned c LEFT JOIN component k ON k.node = c.record_id)")
 
 
-def resolve_batch_sql() -> str:
+def resolve_batch_sql(held: str = "true") -> str:
     """New records against known numbers, in the graph of records and numbers."""
-    known = f"known AS (SELECT * FROM numbers WHERE record_id < '{NEW_FROM}')"
+    known = f"known AS (SELECT * FROM numbers WHERE record_id < '{NEW_FROM}' AND {held})"
     touching = f"touching AS (SELECT * FROM edges WHERE src >= '{NEW_FROM}' OR dst >= '{NEW_FROM}')"
     nodes = f"nodes AS (SELECT src AS node FROM touching UNION SELECT dst FROM touching UNION SELECT record_id FROM cleaned WHERE record_id >= '{NEW_FROM}')"
     graph = "graph AS (SELECT 'n:' || src AS src, 'n:' || dst AS dst FROM touching UNION ALL SELECT 'n:' || record_id, 'c:' || cif_number FROM known JOIN nodes ON node = record_id)"
@@ -440,10 +510,12 @@ def oracle_sql() -> dict[str, str]:
         + """SELECT records, pairs::BIGINT AS pairs, round(least(1.0, pairs / 0.7 / (records::DOUBLE * (records - 1) / 2)), 12) AS prior
         FROM (SELECT (SELECT count(*) FROM cleaned) AS records, coalesce(sum(n * (n - 1) / 2.0), 0)::DOUBLE AS pairs FROM (SELECT count(*) AS n FROM cleaned WHERE national_id IS NOT NULL GROUP BY national_id))""",
         "em_one_iteration": " UNION ALL ".join(f"SELECT * FROM ({em_sql(i)})" for i in range(1, len(RULES) + 1)),
+        "em_trained": em_trained_sql(),
         "connected_components": with_(FULL, components("edges")) + "SELECT node, component FROM component",
         "stable_cluster_id": people + f"SELECT record_id, {stable_id('record_id')} AS numeric_id, {stable_id(chr(39) + 'CIF-' + chr(39) + ' || record_id')} AS hashed_id FROM persons",
         "resolve_entities": ENTITIES + f"SELECT record_id, {cluster_of(chr(39) + 'CIF-' + chr(39) + ' || least')} AS cluster_id, 'CIF-' || least AS cif_number FROM entity",
         "resolve_batch": resolve_batch_sql(),
+        "resolve_batch_gaps": resolve_batch_sql("right(record_id, 1) NOT IN ('3', '7')"),
         "bridge_merges": BRIDGES + "SELECT old_cif, new_cif FROM merged",
         "apply_merges": BRIDGES
         + f"SELECT record_id, {cluster_of('coalesce(new_cif, cif_number)')} AS cluster_id, coalesce(new_cif, cif_number) AS cif_number FROM numbers LEFT JOIN merged ON cif_number = old_cif",

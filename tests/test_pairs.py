@@ -136,10 +136,38 @@ def test_samples(spark):
     sample = sampling.sample_n(df, "id", 300, seed=4)
     ids = {r.id for r in sample.collect()}
     assert len(ids) == 300 and ids == {r.id for r in sampling.sample_n(df.repartition(3), "id", 300, seed=4).collect()}
-    first = [r.id for r in sampling.first_n(df, "id", 700).collect()]
+    first = sorted(r.id for r in sampling.first_n(df, "id", 700).collect())
     assert first == sorted(str(i) for i in range(20000))[:700]
 
 
+def test_a_large_limit_is_cut_where_the_rows_lie(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "_ALONE", 50)
+    df = spark.range(6000, numPartitions=5).select(F.col("id").cast("string").alias("id"), F.lit("x").alias("v"))
+    half = sampling.first_n(df, "id", 3000)
+    assert sorted(r.id for r in half.collect()) == sorted(str(i) for i in range(6000))[:3000]
+    plan = half._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "SinglePartition" not in plan and "Sort" not in plan
+
+
+def test_limits_with_nulls_ties_and_one_id(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "_ALONE", 5)
+    ids = [None] * 4 + ["b"] * 300 + [f"a{i:02d}" for i in range(40)] + ["c", "d"]
+    df = spark.createDataFrame([(i, n) for n, i in enumerate(ids)], "id string, n int").repartition(3)
+    want = sorted(ids, key=lambda i: (i is not None, i or ""))
+    for n in (0, 3, 4, 5, 44, 45, 200, 344, 345, 346, 900):
+        got = [r.id for r in sampling.first_n(df, "id", n).collect()]
+        assert sorted(got, key=lambda i: (i is not None, i or "")) == want[:n], n
+
+
+def test_pairs_of_a_large_table_move_no_more_rows_than_pairs(spark):
+    df = spark.range(40_000).select(F.col("id").cast("string").alias("id"))
+    assert sampling.pair_slots(40_000, 1000) == (20_000, 500) and sampling.pair_slots(900, 1000) == (405, 405)
+    pairs = sampling.random_pairs(df, "id", [], 1000)
+    rows = [tuple(r) for r in pairs.collect()]
+    assert 700 < len(rows) < 1300 and len(set(rows)) == len(rows) and all(a < b for a, b in rows)
+    assert pairs._jdf.queryExecution().executedPlan().toString().count("ReusedExchange") >= 1
+
+
 def test_random_pairs_are_all_pairs_when_few(spark):
     df = spark.range(90).select(F.col("id").cast("string").alias("id"))
     pairs = [tuple(r) for r in sampling.random_pairs(df, "id", [], 10_000).collect()]

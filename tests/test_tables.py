@@ -139,6 +139,21 @@ def test_histogram_agrees_with_numpy(spark, values):
     assert found == {i: n for i, n in enumerate(counts.tolist()) if n}
 
 
+def test_profile_shuffles_once(spark):
+    """Every count comes from one aggregation of the rows; a table without rows has zeros."""
+    rows = [("1", "A", None, "x"), ("2", "A", None, None), (None, "B", dt.date(2000, 1, 1), "y")]
+    df = spark.createDataFrame(rows, "national_id string, full_name string, birth_date date, site_id string")
+    counts = profiling._long_counts(df, "national_id", ["full_name", "birth_date"], ["full_name"], ["site_id"])
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    found = {(r.metric, r.column, r.item): r.value for r in profiling.report(df, "national_id", "full_name", "birth_date", ["full_name"], ["site_id"]).collect()}
+    assert found["rows", None, None] == 3 and found["missing", "birth_date", None] == 2 and found["missing", "full_name", None] == 0
+    assert found["dup_groups", "full_name+birth_date", None] == 1 and found["dup_rows", "full_name+birth_date", None] == 2
+    assert found["dup_rows", "national_id", None] == 0 and found["frequent", "site_id", None] == 1
+    none = {r.value for r in profiling.report(df.limit(0), "national_id", "full_name", "birth_date", ["full_name"], ["site_id"]).collect()}
+    assert none == {0}
+
+
 def test_analyze_sample(spark, folder):
     from kinfold.sources.persons import persons
 
