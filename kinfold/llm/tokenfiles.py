@@ -23,6 +23,9 @@ SEQUENCE, BATCH = 2048, 512
 #: Characters of text that are encoded together.
 SPAN = 1 << 21
 
+#: Matches of the pattern whose ids a worker remembers.
+MATCHES_REMEMBERED = 200_000
+
 _encoders: dict[tuple[str, str], WordMemory] = {}
 _added: dict[str, tuple[regex.Pattern | None, dict[str, int]]] = {}
 
@@ -53,8 +56,16 @@ def encoder(path: str, pattern: str) -> WordMemory:
         pieces_of, letters = regex.compile(pattern).findall, byte_letters()
         tokenize = _tokenizer(path).model.tokenize
 
+        known: dict[str, bytes] = {}
+
         def solve(words: list[str]) -> list[bytes]:
-            return [array("i", [t.id for p in pieces_of(w) for t in tokenize(p.encode().decode("latin-1").translate(letters))]).tobytes() for w in words]
+            """Matches of the pattern come in many words, so their ids are remembered as well."""
+            split = [pieces_of(w) for w in words]
+            if len(known) > MATCHES_REMEMBERED:
+                known.clear()
+            new = set().union(*split).difference(known)
+            known.update((p, array("i", [t.id for t in tokenize(p.encode().decode("latin-1").translate(letters))]).tobytes()) for p in new)
+            return [b"".join(map(known.__getitem__, s)) for s in split]
 
         _encoders[path, pattern] = WordMemory(solve)
     return _encoders[path, pattern]
