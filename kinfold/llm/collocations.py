@@ -19,7 +19,9 @@ TRIE_PHRASES, BROADCAST_BYTES = 1 << 17, 32 << 20
 #: Buckets of a filter are a power of two, at least one for each word of the corpus, up to this power: 32 MB.
 MOST_BUCKET_BITS = 28
 #: Distinct words a task counts or remembers before it lets them go, and keys that it handles at once.
-WORDS_HELD, KEYS_AT_ONCE = 100_000, 1 << 17
+WORDS_HELD, KEYS_AT_ONCE = 100_000, 1 << 15
+#: Buckets whose bits are summed together, and occurrences that a task holds before it sends them.
+BLOCK, BUCKETS_HELD = 1 << 15, 1 << 20
 #: Characters that are split into words at once.
 RUN = 1 << 20
 
@@ -93,14 +95,13 @@ def _hash(*keys: np.ndarray) -> np.ndarray:
 class Filter:
     """One bit for each bucket of a hash: whether a phrase of this hash may occur often enough."""
 
-    def __init__(self, buckets: DataFrame, bits: int):
-        """``buckets(bucket)`` are those that pass. Their bitmap, of ``2**bits / 8`` bytes, passes the driver."""
+    def __init__(self, blocks: DataFrame, bits: int):
+        """``blocks(block, bitmap)``: the bits of ``BLOCK`` buckets each. All of ``2**bits / 8`` bytes pass the driver."""
         self.bits = bits
-        blocks = buckets.groupBy(F.shiftright("bucket", 15).alias("block")).agg(F.bitmap_construct_agg(F.col("bucket").bitwiseAND(32767)).alias("bitmap"))
-        flags = np.zeros(max(4096, 1 << (bits - 3)), np.uint8)
+        flags = np.zeros(max(BLOCK, 1 << bits) // 8, np.uint8)
         for block, bitmap in blocks.toLocalIterator():
-            flags[block * 4096 : (block + 1) * 4096] = np.frombuffer(bitmap, np.uint8)
-        self.flags = buckets.sparkSession.sparkContext.broadcast(flags)
+            flags[block * BLOCK // 8 : (block + 1) * BLOCK // 8] = np.frombuffer(bitmap, np.uint8)
+        self.flags = blocks.sparkSession.sparkContext.broadcast(flags)
 
     def passes(self, hashes: np.ndarray) -> np.ndarray:
         bucket = _bucket(hashes, self.bits)
@@ -151,17 +152,54 @@ def _chunks(batches):
 
 
 def _frequent(corpus: DataFrame, kept: list[Filter], bits: int, min_count: int) -> Filter:
-    """The buckets of phrases one word longer than the last of ``kept`` speaks of that hold ``min_count`` occurrences."""
-    words = len(kept) + 2
+    """The buckets of phrases one word longer than the last of ``kept`` speaks of that hold ``min_count`` occurrences.
 
-    def run(batches):
+    Tasks send what they counted as one row per block of buckets, places and counts, so that a block is summed as an
+    array; only whether a count reaches ``min_count`` matters, so none goes beyond it.
+    """
+    words, kind = len(kept) + 2, np.min_scalar_type(min_count)
+
+    def count(batches):
+        def rows(held):
+            bucket, n = np.unique(np.concatenate(held), return_counts=True)
+            n = np.minimum(n, min_count).astype(kind)
+            block, place = bucket // BLOCK, (bucket % BLOCK).astype(np.uint16)
+            cuts = np.r_[0, np.flatnonzero(block[1:] != block[:-1]) + 1, len(block)]
+            for lows in (cuts[i : i + 2049] for i in range(0, len(cuts) - 1, 2048)):
+                spans = list(zip(lows, lows[1:]))
+                columns = [[int(block[a]) for a, _ in spans], [place[a:b].tobytes() for a, b in spans], [n[a:b].tobytes() for a, b in spans]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()))], ["block", "places", "counts"])
+
+        held, size = [], 0
         for keys in _chunks(batches):
             starts = _candidates(keys, kept, words)
-            bucket, n = np.unique(_bucket(_hash(*[keys[starts + i] for i in range(words)]), bits), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(n)], ["bucket", "n"])
+            held.append(_bucket(_hash(*[keys[starts + i] for i in range(words)]), bits))
+            size += len(starts)
+            if size > BUCKETS_HELD:
+                yield from rows(held)
+                held, size = [], 0
+        if size:
+            yield from rows(held)
+
+    def add(batches):
+        at, total = None, np.zeros(BLOCK, np.uint64)
+
+        def row():
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([np.packbits(total >= min_count, bitorder="little").tobytes()], pa.binary())], ["block", "bitmap"])
+
+        for batch in batches:
+            for block, places, counts in zip(*(batch.column(i) for i in range(3))):
+                if at is not None and block.as_py() != at:
+                    yield row()
+                    total[:] = 0
+                at = block.as_py()
+                total[np.frombuffer(places.as_py(), np.uint16)] += np.frombuffer(counts.as_py(), kind)
+        if at is not None:
+            yield row()
 
-    found = corpus.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    return Filter(found.filter(F.col("n") >= min_count).select("bucket"), bits)
+    found = corpus.mapInArrow(count, "block int, places binary, counts binary")
+    dealt = found.repartition("block").sortWithinPartitions("block")
+    return Filter(materialize(dealt.mapInArrow(add, "block int, bitmap binary")), bits)
 
 
 def _candidates(keys: np.ndarray, kept: list[Filter], words: int) -> np.ndarray:
@@ -299,7 +337,8 @@ def phrase_counts(spark: SparkSession, docs: DataFrame, words: DataFrame, longes
     total = words.agg(F.sum("n")).first()[0] or 0
     bits = max(18, min(most_bits, int(total).bit_length()))
     keys = words.filter(F.col("n") >= min_count).select(F.shiftrightunsigned("key", 64 - bits).alias("bucket"))
-    corpus = materialize(_encoded(docs, Filter(keys.distinct(), bits)))
+    blocks = keys.groupBy((F.col("bucket") / BLOCK).cast("int").alias("block")).agg(F.bitmap_construct_agg(F.col("bucket") % BLOCK).alias("bitmap"))
+    corpus = materialize(_encoded(docs, Filter(blocks, bits)))
     kept: list[Filter] = []
     for _ in range(2, longest + 1):
         kept.append(_frequent(corpus, kept, bits, min_count))
