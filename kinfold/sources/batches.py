@@ -99,7 +99,10 @@ class BatchTables:
 
         Rows are only ever added. Some may come twice, or belong to a batch that never came to count; ``keys`` tells.
         """
-        return self.spark.table(self._index())
+        name = self._index()
+        # A stream adds rows in a session of its own, which this one's list of files does not know of.
+        self.spark.catalog.refreshTable(name)
+        return self.spark.table(name)
 
     def add_blocks(self, rows: DataFrame) -> None:
         name = self._index()
