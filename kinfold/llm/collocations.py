@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from kinfold.llm.common import LOWER, UPPER, pieces
 from kinfold.llm.tries import Trie, build
-from kinfold.session import materialize
+from kinfold.session import forget, materialize
 
 #: Phrases of one trie, on average, and bytes of the tries that are broadcast together; more take further passes.
 TRIE_PHRASES, BROADCAST_BYTES = 1 << 17, 32 << 20
@@ -348,7 +348,9 @@ def phrase_counts(spark: SparkSession, docs: DataFrame, words: DataFrame, longes
         return None
     tries = max(1, -(-candidates // phrases))
     built = materialize(_tries(listed, longest, tries))
-    return _counted(corpus, built, longest, tries, most_bytes).filter(F.col("n") >= min_count)
+    found = materialize(_counted(corpus, built, longest, tries, most_bytes).filter(F.col("n") >= min_count))
+    forget(corpus, listed, built)
+    return found
 
 
 def _score(a: str, left: str, right: str) -> Column:
@@ -404,7 +406,6 @@ def collocations(docs: DataFrame, group_column: str = "lang", text_column: str =
     found = phrase_counts(spark, source, words, 3, min_count, **limits)
     if found is None:
         return spark.createDataFrame([], "lang string, rank int, phrase string, a long, l long, r long, n long, score long")
-    found = materialize(found)
     single = materialize(words.filter(F.col("n") >= min_count))
     scored = _scored(found, single).join(_inside_longer(found, share), ["k1", "k2"], "left")
     scored = scored.filter((F.col("k3") != 0) | F.col("most").isNull() | (F.col("most") < F.col("a") * share)).drop("most")

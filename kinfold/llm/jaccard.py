@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from kinfold.llm.common import partitions
 from kinfold.llm.signatures import difference_bound, mix, shingle_set, signatures
 from kinfold.operators.components import connected_components
-from kinfold.session import materialize
+from kinfold.session import forget, materialize
 
 #: Sets that one task compares with the same first set, at least.
 STAR_ROWS = 4_000
@@ -251,6 +251,7 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     place = F.struct(F.col("keep_id").isNull().alias("none"), "keep_id", "keep_hash")
     first = named.groupBy("root").agg(F.min(place).alias("first"))
     grouped = materialize(named.join(first, "root").select("class", F.col("first.keep_id").alias("first_id"), F.col("first.keep_hash").alias("first_hash")))
+    forget(keepers, stars, compared, rest, roots)
     kept = F.col("class").isNull() | (F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash")))
     joined = classes.join(grouped, "class", "left")
     return joined.select("doc_id", "n_shingles", F.coalesce("first_id", "doc_id").alias("component_id"), "text_hash", kept.alias("kept"))
