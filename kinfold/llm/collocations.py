@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import LOWER, UPPER, pieces
+from kinfold.llm.common import LOWER, UPPER, arrow_rows, pieces
 from kinfold.llm.tries import Trie, build
 from kinfold.session import forget, materialize
 
@@ -22,6 +22,8 @@ MOST_BUCKET_BITS = 28
 WORDS_HELD, KEYS_AT_ONCE = 100_000, 1 << 15
 #: Buckets whose bits are summed together, and occurrences that a task holds before it sends them.
 BLOCK, BUCKETS_HELD = 1 << 15, 1 << 20
+#: Texts, and rows of keys, that a task takes over at once.
+TEXTS_AT_ONCE, ROWS_AT_ONCE = 256, 16
 #: Characters that are split into words at once.
 RUN = 1 << 20
 
@@ -338,17 +340,21 @@ def phrase_counts(spark: SparkSession, docs: DataFrame, words: DataFrame, longes
     bits = max(18, min(most_bits, int(total).bit_length()))
     keys = words.filter(F.col("n") >= min_count).select(F.shiftrightunsigned("key", 64 - bits).alias("bucket"))
     blocks = keys.groupBy((F.col("bucket") / BLOCK).cast("int").alias("block")).agg(F.bitmap_construct_agg(F.col("bucket") % BLOCK).alias("bitmap"))
-    corpus = materialize(_encoded(docs, Filter(blocks, bits)))
+    often = Filter(blocks, bits)
+    with arrow_rows(spark, TEXTS_AT_ONCE):
+        corpus = materialize(_encoded(docs, often))
     kept: list[Filter] = []
-    for _ in range(2, longest + 1):
-        kept.append(_frequent(corpus, kept, bits, min_count))
-    listed = materialize(_listed(corpus, kept, longest))
+    with arrow_rows(spark, ROWS_AT_ONCE):
+        for _ in range(2, longest + 1):
+            kept.append(_frequent(corpus, kept, bits, min_count))
+        listed = materialize(_listed(corpus, kept, longest))
     candidates = listed.count()
     if not candidates:
         return None
     tries = max(1, -(-candidates // phrases))
     built = materialize(_tries(listed, longest, tries))
-    found = materialize(_counted(corpus, built, longest, tries, most_bytes).filter(F.col("n") >= min_count))
+    with arrow_rows(spark, ROWS_AT_ONCE):
+        found = materialize(_counted(corpus, built, longest, tries, most_bytes).filter(F.col("n") >= min_count))
     forget(corpus, listed, built)
     return found
 
@@ -402,7 +408,8 @@ def collocations(docs: DataFrame, group_column: str = "lang", text_column: str =
     """
     spark = docs.sparkSession
     source = docs.select(F.coalesce(F.col(group_column).cast("string"), F.lit(unknown)).alias("group"), F.col(text_column).alias("text"))
-    words = materialize(word_counts(source))
+    with arrow_rows(spark, TEXTS_AT_ONCE):
+        words = materialize(word_counts(source))
     found = phrase_counts(spark, source, words, 3, min_count, **limits)
     if found is None:
         return spark.createDataFrame([], "lang string, rank int, phrase string, a long, l long, r long, n long, score long")

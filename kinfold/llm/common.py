@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Iterable
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyarrow import fs
@@ -62,6 +63,18 @@ def open_store(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Within it, jobs hand Python at most so many rows at once: rows may be long, and a batch is held several times."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def mapped(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``mapInArrow`` with a function of one batch."""
 
