@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -75,18 +75,6 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(key, before)
 
 
-def mapped(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``mapInArrow`` with a function of one batch."""
-
-    def run(batches):
-        for batch in batches:
-            out = work(batch)
-            if out is not None:
-                yield out
-
-    return df.mapInArrow(run, schema)
-
-
 def pieces(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
     """(first row, texts) of a batch in runs of about ``limit`` characters, so that memory follows one run."""
     values = batch.column(batch.schema.get_field_index(column))
