@@ -15,7 +15,7 @@ from kinfold.llm.tries import Trie, build
 from kinfold.session import forget, materialize
 
 #: Phrases of one trie, on average, and bytes of the tries that are broadcast together; more take further passes.
-TRIE_PHRASES, BROADCAST_BYTES = 1 << 17, 32 << 20
+TRIE_PHRASES, BROADCAST_BYTES = 1 << 17, 24 << 20
 #: Buckets of a filter are a power of two, at least one for each word of the corpus, up to this power: 32 MB.
 MOST_BUCKET_BITS = 28
 #: Distinct words a task counts or remembers before it lets them go, and keys that it handles at once.
@@ -150,7 +150,9 @@ def _encoded(docs: DataFrame, often: Filter) -> DataFrame:
 def _chunks(batches):
     for batch in batches:
         for value in batch.column(0):
-            yield np.frombuffer(value.as_py(), np.int64)
+            yield np.frombuffer(value.as_buffer(), np.int64)
+    # A worker lives on after its task, and need not keep the memory of it.
+    pa.default_memory_pool().release_unused()
 
 
 def _frequent(corpus: DataFrame, kept: list[Filter], bits: int, min_count: int) -> Filter:
@@ -311,7 +313,7 @@ def _counted(corpus: DataFrame, tries: DataFrame, words: int, count: int, most_b
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seen), number, np.int32)), pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["trie", "at", "n"])
 
         sums.append(materialize(corpus.mapInArrow(run, "trie int, at int, n long").groupBy("trie", "at").agg(F.sum("n").alias("n"))))
-        sent.unpersist()
+        sent.destroy()
     found = sums[0]
     for more in sums[1:]:
         found = found.union(more)
@@ -348,6 +350,8 @@ def phrase_counts(spark: SparkSession, docs: DataFrame, words: DataFrame, longes
         for _ in range(2, longest + 1):
             kept.append(_frequent(corpus, kept, bits, min_count))
         listed = materialize(_listed(corpus, kept, longest))
+    for filter_ in (often, *kept):
+        filter_.flags.destroy()
     candidates = listed.count()
     if not candidates:
         return None
