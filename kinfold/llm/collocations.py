@@ -10,12 +10,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import LOWER, UPPER, arrow_rows, pieces
+from kinfold.llm.common import LOWER, UPPER, arrow_rows, give_back, pieces
 from kinfold.llm.tries import Trie, build
 from kinfold.session import forget, materialize
 
 #: Phrases of one trie, on average, and bytes of the tries that are broadcast together; more take further passes.
-TRIE_PHRASES, BROADCAST_BYTES = 1 << 17, 24 << 20
+TRIE_PHRASES, BROADCAST_BYTES = 1 << 16, 24 << 20
 #: Buckets of a filter are a power of two, at least one for each word of the corpus, up to this power: 32 MB.
 MOST_BUCKET_BITS = 28
 #: Distinct words a task counts or remembers before it lets them go, and keys that it handles at once.
@@ -75,6 +75,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     yield from rows()
                     distinct = 0
         yield from rows()
+        give_back()
 
     found = docs.select("group", "text").mapInArrow(run, "group string, word string, n long")
     return found.groupBy("group", "word").agg(F.sum("n").alias("n")).withColumn("key", F.xxhash64("group", "word"))
@@ -143,6 +144,9 @@ def _encoded(docs: DataFrame, often: Filter) -> DataFrame:
                     held, size = [], 0
         if held:
             yield row()
+        held, known = [], {}
+        memory.clear()
+        give_back()
 
     return docs.select("group", "text").mapInArrow(run, "keys binary")
 
@@ -151,8 +155,7 @@ def _chunks(batches):
     for batch in batches:
         for value in batch.column(0):
             yield np.frombuffer(value.as_buffer(), np.int64)
-    # A worker lives on after its task, and need not keep the memory of it.
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def _frequent(corpus: DataFrame, kept: list[Filter], bits: int, min_count: int) -> Filter:
@@ -311,6 +314,8 @@ def _counted(corpus: DataFrame, tries: DataFrame, words: int, count: int, most_b
             for number, total in totals.items():
                 seen = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seen), number, np.int32)), pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["trie", "at", "n"])
+            totals.clear()
+            give_back()
 
         sums.append(materialize(corpus.mapInArrow(run, "trie int, at int, n long").groupBy("trie", "at").agg(F.sum("n").alias("n"))))
         sent.destroy()

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
 from collections.abc import Iterable
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import pyarrow as pa
 from pyarrow import fs
@@ -75,6 +76,14 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(key, before)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on after its task, beside others that work."""
+    pa.default_memory_pool().release_unused()
+    # Not every C library has it.
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def pieces(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
     """(first row, texts) of a batch in runs of about ``limit`` characters, so that memory follows one run."""
     values = batch.column(batch.schema.get_field_index(column))
