@@ -13,8 +13,6 @@ from kinfold.llm.common import pieces
 
 LONGEST = 4
 BUCKET_BITS = 16
-#: Labelled rows per language that training reads at most; more are thinned by a hash of the row.
-TRAINING_ROWS = 20_000
 SMOOTHING = 0.1
 UNKNOWN = "und"
 #: Code points that are scored at once.
@@ -86,13 +84,13 @@ class LanguageModel:
     log_prior: np.ndarray
 
 
-def _thinned(labelled: DataFrame, text_column: str, label_column: str, training_rows: int) -> tuple[DataFrame, dict[str, int]]:
+def _teaching(labelled: DataFrame, text_column: str, label_column: str, training_rows: int | None) -> tuple[DataFrame, dict[str, int]]:
     """The labelled rows that teach, and the number of all labelled rows of each language."""
     rows = labelled.select(F.col(text_column).alias("text"), F.col(label_column).alias("lang")).filter("text is not null and lang is not null")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     thin = None
     for name in sorted(sizes):
-        if sizes[name] > training_rows:
+        if training_rows is not None and sizes[name] > training_rows:
             keep = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(training_rows / sizes[name] * (1 << 20))
             thin = (F.col("lang") != name) | keep if thin is None else thin & ((F.col("lang") != name) | keep)
     if thin is not None:
@@ -100,13 +98,13 @@ def _thinned(labelled: DataFrame, text_column: str, label_column: str, training_
     return rows, sizes
 
 
-def train(labelled: DataFrame, text_column: str = "text", label_column: str = "lang", training_rows: int = TRAINING_ROWS) -> LanguageModel:
-    """Count n-grams per language in the labelled rows, thinned to about ``training_rows`` of each language.
+def train(labelled: DataFrame, text_column: str = "text", label_column: str = "lang", training_rows: int | None = None) -> LanguageModel:
+    """Count n-grams per language in all labelled rows; ``training_rows`` thins them to about so many of each language.
 
     Rows without text or label teach nothing. Tasks count in numpy and send (language, bucket, count) triples that
     Spark adds up; the driver receives the sums, at most languages * 2 ** BUCKET_BITS of them.
     """
-    rows, sizes = _thinned(labelled, text_column, label_column, training_rows)
+    rows, sizes = _teaching(labelled, text_column, label_column, training_rows)
     languages = sorted(sizes)
     number = {x: i for i, x in enumerate(languages)}
 
@@ -191,11 +189,13 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text", c
     return out.select(*[F.col(f"carried.`{c}`").alias(c) for c in carry], "lang_pred", "score", *(["fit", "letters"] if with_fit else []))
 
 
-def least_fits(labelled: DataFrame, model: LanguageModel, text_column: str = "text", label_column: str = "lang", training_rows: int = TRAINING_ROWS) -> dict[str, float]:
-    """For each language the fit that all but POOR_SHARE of its training rows reach, of those recognised as it."""
-    rows, _ = _thinned(labelled, text_column, label_column, training_rows)
-    found = identify(rows, model, carry=["lang"], with_fit=True).filter("lang = lang_pred")
-    return {r["lang"]: r["low"] for r in found.groupBy("lang").agg(F.percentile_approx("fit", POOR_SHARE, 10_000).alias("low")).collect()}
+def least_fits(judged: DataFrame, label: Column) -> dict[str, float]:
+    """For each language the fit that all but POOR_SHARE of its labelled rows reach, of those recognised as it.
+
+    ``judged`` is what ``identify`` gives ``with_fit``; all its rows count whose ``label`` is the language found.
+    """
+    found = judged.filter(label == F.col("lang_pred"))
+    return {r["lang_pred"]: r["low"] for r in found.groupBy("lang_pred").agg(F.percentile_approx("fit", POOR_SHARE, 10_000).alias("low")).collect()}
 
 
 def fits(low: dict[str, float]) -> Column:
