@@ -110,3 +110,19 @@ def test_equal_numbers_have_equal_cluster_ids(spark):
     rows = spark.createDataFrame([("CIF-0012",), ("CIF-0012",), ("CIF-x",)], "cif string")
     ids = [r[0] for r in rows.select(entities.cif_cluster_id(F.col("cif"))).collect()]
     assert ids[0] == ids[1] == 12 and ids[2] != 12
+
+
+def test_edges_are_read_once(spark):
+    """Edges may be costly, as scored pairs are; loops and links come from one reading of them."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    edges = [("a", "b"), ("b", "c"), ("d", "d"), ("e", "f"), ("b", "a"), (None, "g"), ("a", "a")]
+    df = spark.createDataFrame(edges, "src string, dst string").mapInArrow(seen, "src string, dst string")
+    rows = sorted(map(tuple, connected_components(df).collect()))
+    assert rows == [("a", "a"), ("b", "a"), ("c", "a"), ("d", "d"), ("e", "e"), ("f", "e")]
+    assert read.value == len(edges)
