@@ -11,6 +11,8 @@ WINDOW, LITERAL = 8, 5
 LEAK_TOKENS = 13
 #: More windows than this are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
+#: Words of a phrase that a document must hold for a window of the benchmark to occur in it; with more such phrases than the second number, no document is left out beforehand.
+PHRASE, MOST_PHRASES = 4, 50_000
 
 # Words that count as numbers, and units.
 NUMBERS = """zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen
@@ -27,12 +29,19 @@ MORE_STARTS = "([:\u2022\u2023]|\\n[ \\t\\r]*\\n|(?:^|\\n)[ \\t]*(?:[-*\u2013\u2
 NOISE = "[^\\p{L}\\p{N}\\x01 \\t\\n\\x0B\\f\\r]+"
 
 
+def _joined_digits(text: Column) -> Column:
+    whole = F.coalesce(text, F.lit(""))
+    # Few texts hold the mark's character.
+    plain = F.when(whole.contains("\x01"), F.translate(whole, "\x01", "")).otherwise(whole)
+    return F.regexp_replace(plain, "([0-9])[.,:/]([0-9])", "$1$2")
+
+
 def tokens(text: Column) -> Column:
     """Words of letters and digits as written; \\x01 leads those that begin a sentence. Punctuation separates.
 
     A sign between digits falls away (1,000 is 1000), so that a number stays one token.
     """
-    clean = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), "\x01", ""), "([0-9])[.,:/]([0-9])", "$1$2")
+    clean = _joined_digits(text)
     clean = F.regexp_replace(F.regexp_replace(clean, STARTS, "$1$2\x01$3"), MORE_STARTS, "$1$2\x01$3")
     clean = F.regexp_replace(F.regexp_replace(clean, NOISE, " "), SPACES, " ")
     return F.split(F.trim(clean), " ")
@@ -47,6 +56,31 @@ def template(token: Column) -> Column:
     return F.when(first.between("0", "9") | low.isin(NUMBERS), "<n>").when(low.isin(UNITS), "<u>").when(name, "<p>").otherwise(low)
 
 
+def _holds_one_of(text: Column, phrases: dict[int, list[int]]) -> Column:
+    """Whether the text holds one of the phrases, given by length as hashes of the hashes of their lower-cased words.
+
+    Marks of sentences stand in front of words only, so words are those of :func:`tokens` without them.
+    """
+    hashes = F.transform(F.split(_joined_digits(text), "[^\\p{L}\\p{N}]+"), lambda w: F.xxhash64(F.lower(w)))
+
+    def at(h: Column, i: Column) -> Column:
+        found = F.lit(False)
+        for length, known in sorted(phrases.items()):
+            # Behind the last word there is null, which counts nothing in a hash: a shorter phrase may pass as well.
+            found = found | F.xxhash64(*[F.get(h, i + k) for k in range(length)]).isin(known)
+        return found
+
+    # The array around the hashes lets them be worked out once.
+    return F.exists(F.array(hashes), lambda h: F.exists(F.sequence(F.lit(0), F.size(h) - 1), lambda i: at(h, i)))
+
+
+def _phrase(sure: Column) -> Column:
+    """Of the runs of words in ``sure`` (null where any may stand), PHRASE words or all of the longest; the longest words, as they are the rarest."""
+    whole = lambda n: F.filter(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(sure) - n + 1)), lambda i: F.slice(sure, i, n)), lambda x: (F.size(x) == n) & F.forall(x, lambda w: w.isNotNull()))
+    best = [F.array_max(F.transform(whole(n), lambda x: F.struct(F.length(F.array_join(x, "")).alias("size"), x.alias("words")))) for n in range(PHRASE, 0, -1)]
+    return F.coalesce(*best)["words"]
+
+
 def windows(texts: DataFrame, keys: list[str], text_column: str, widths: list[int] | None = None, lead: bool = False) -> DataFrame:
     """``keys, at, word_at, last, hash, slots, wide, verbatim, leads`` of the windows of each text, of template and of plain words.
 
@@ -56,7 +90,8 @@ def windows(texts: DataFrame, keys: list[str], text_column: str, widths: list[in
     of words are made where a placeholder stands; without one both are the same window. Those are ``verbatim``.
 
     Windows have each of the ``widths``; without any, WINDOW tokens, or all of a shorter text. With ``lead``, the
-    window at the start comes also as it is when its first word stands within a sentence, where a capital makes a name; ``leads`` marks it.
+    window at the start comes also as it is when its first word stands within a sentence, where a capital makes a name; ``leads`` marks it,
+    and ``sure`` has the words that any text with an equal window holds at these places in a row; null where others may stand.
     """
     made = texts.select(*keys, tokens(F.col(text_column)).alias("_words")).filter(F.element_at("_words", 1) != "")
     made = made.select(*keys, F.substring(F.regexp_replace(F.element_at("_words", 1), "\x01", ""), 1, 1).alias("_first"), F.transform("_words", template).alias("_forms"), F.transform("_words", lambda w: F.lower(F.translate(w, "\x01", ""))).alias("_low"))
@@ -73,14 +108,18 @@ def windows(texts: DataFrame, keys: list[str], text_column: str, widths: list[in
     start = lambda k: F.get("_starts", k - 1)
     value = lambda k: F.array_join(F.slice("_low", start(k), start(k + 1) - start(k)), " ")
 
-    def window(at: Column, first: Column, last: Column, hash_: Column, slots: Column, wide: Column, verbatim: Column, leads: bool = False) -> Column:
-        return F.struct(at.alias("at"), first.alias("word_at"), last.alias("last"), hash_.alias("hash"), slots.alias("slots"), wide.alias("wide"), verbatim.alias("verbatim"), F.lit(leads).alias("leads"))
+    def window(at: Column, first: Column, last: Column, hash_: Column, slots: Column, wide: Column, verbatim: Column, sure: Column, leads: bool = False) -> Column:
+        more = [sure.alias("sure")] if lead else []
+        return F.struct(at.alias("at"), first.alias("word_at"), last.alias("last"), hash_.alias("hash"), slots.alias("slots"), wide.alias("wide"), verbatim.alias("verbatim"), F.lit(leads).alias("leads"), *more)
 
     none = F.lit(None).cast("array<string>")
 
     def in_template(k: Column, wide: Column, hashes: Column, slots: Column, leads: bool = False) -> Column:
         own = F.when(slots.isNull() | (wide - F.size(slots) >= LITERAL), F.xxhash64(hashes)).otherwise(F.xxhash64(hashes, slots))
-        return window(k, start(k), start(k + wide) - 1, own, slots, wide, slots.isNull(), leads)
+        literal = F.transform(F.sequence(k, k + wide - 1), lambda j: F.when(~F.get("_types", j - 1) & (F.lit(not leads) | (j > k)), F.get("_low", start(j) - 1)))
+        # Where the values are in the hash, all words agree.
+        sure = F.when(slots.isNotNull() & (wide - F.size(slots) >= LITERAL), literal).otherwise(F.slice("_low", start(k), start(k + wide) - start(k)))
+        return window(k, start(k), start(k + wide) - 1, own, slots, wide, slots.isNull(), sure, leads)
 
     def of_width(wide: Column, words_wide: Column) -> Column:
         def templates(k: Column) -> Column:
@@ -90,7 +129,7 @@ def windows(texts: DataFrame, keys: list[str], text_column: str, widths: list[in
             return in_template(k, wide, F.slice("_tokens", k, wide), slots)
 
         def words(i: Column) -> Column:
-            return window(F.lit(None).cast("int"), i, i + words_wide - 1, F.xxhash64(F.transform(F.slice("_low", i, words_wide), lambda w: F.xxhash64(w))), none, words_wide, F.lit(True))
+            return window(F.lit(None).cast("int"), i, i + words_wide - 1, F.xxhash64(F.transform(F.slice("_low", i, words_wide), lambda w: F.xxhash64(w))), none, words_wide, F.lit(True), F.slice("_low", i, words_wide))
 
         every = F.when(F.col("_m") >= wide, F.transform(F.sequence(F.lit(1), F.col("_m") - wide + 1), templates))
         held = F.filter(F.sequence(F.lit(1), F.col("_n") - words_wide + 1), lambda i: F.array_contains(F.slice("_typed", i, words_wide), True))
@@ -123,7 +162,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     of the same kind; tokens are words, counted from 1 in the document. ``text_hash`` tells rows of the same id apart.
 
     Only the windows of the benchmark are broadcast, after a count; a larger benchmark is joined by a shuffle.
-    Windows of documents are made and matched in the task that reads them.
+    Windows of documents are made and matched in the task that reads them. A document that holds none of the phrases,
+    one per window of the benchmark, that no equal window lacks, has nothing to match and no windows made.
 
     Null and empty texts have no windows; null ids are ids like others. Repeated rows count once, an item that occurs
     several times in a document is reported for each passage. An empty table on either side gives no rows.
@@ -131,6 +171,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     source = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("_row"), F.col(text_column).alias("_text"))
     items = benchmark.select(F.col(item_column).alias("item_id"), F.xxhash64(F.coalesce(F.col(item_text), F.lit(""))).alias("_item"), F.col(item_text).alias("_text")).distinct()
     known = windows(items, ["item_id", "_item"], "_text", lead=True)
+    phrase = known.select(_phrase(F.col("sure")).alias("words"))
+    phrases = phrase.select(F.size("words").alias("length"), F.xxhash64(F.transform("words", lambda w: F.xxhash64(w))).alias("hash")).distinct().limit(MOST_PHRASES + 1).collect()
+    if 0 < len(phrases) <= MOST_PHRASES:
+        by_length: dict[int, list[int]] = {}
+        for length, hash_ in phrases:
+            by_length.setdefault(length, []).append(hash_)
+        source = source.filter(_holds_one_of(F.col("_text"), by_length))
     known = known.select("item_id", "_item", "hash", *[F.col(c).alias(f"_item_{c}") for c in ("at", "word_at", "slots", "wide", "verbatim", "leads")])
     totals = known.groupBy(F.col("item_id").alias("_total_id"), F.col("_item").alias("_total_item")).agg(
         F.size(F.collect_set(F.when(F.col("_item_verbatim"), F.col("_item_word_at")))).cast("bigint").alias("_of_words"),

@@ -60,3 +60,23 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([], BENCH)
     assert find_leaks(frame(spark), bench).count() == 0
     assert find_leaks(frame(spark, []), spark.createDataFrame([(1, ITEM, 1)], BENCH)).count() == 0
+
+
+def test_only_texts_with_a_phrase_of_the_benchmark_get_windows(spark, monkeypatch):
+    items = [ITEM, "If John has 5 apples, Mary has 3 and Bob has 2, then 7 or 8 go to Ann", "7 14 3 99 12 8 41 6 5 22", "Name three primes", "Berlin", "one small step", "\x01A. B.C 1,000 İstanbul ΑΣ'Α straße in the U.S. of 2.5 km", "see New York and Rome and 12 and 13 m of it"]
+    other = [i.replace("12", "40").replace("Tom", "Eve").replace("Paris", "Oslo").replace("Rome", "Bath") for i in items]
+    texts = [f"{before}{i}{after}" for i in items + other for before, after in (("", ""), ("- ", "\n"), (f"{prose(2, 20)}. ", " then"))]
+    texts += [i.lower() for i in items] + [i.upper() for i in items] + [None, "", " . ", prose(1, 60), prose(4, 60)]
+    made, plain = [], d.windows
+
+    def windows(frame, keys, *a, **kw):
+        made.append(frame.count()) if "doc_id" in keys else None
+        return plain(frame, keys, *a, **kw)
+
+    monkeypatch.setattr(d, "windows", windows)
+    found = leaks(spark, texts, items)
+    monkeypatch.setattr(d, "MOST_PHRASES", 0)
+    assert leaks(spark, texts, items) == found
+    held = {doc for doc, _, _ in found}
+    assert len(held) > len(texts) / 2
+    assert len(held) <= made[0] <= len(texts) - 5 and made[1] == len(texts)
