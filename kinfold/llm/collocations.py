@@ -20,8 +20,10 @@ TRIE_PHRASES, BROADCAST_BYTES = 1 << 16, 24 << 20
 MOST_BUCKET_BITS = 28
 #: Distinct words a task counts or remembers before it lets them go, and keys that it handles at once.
 WORDS_HELD, KEYS_AT_ONCE = 100_000, 1 << 15
-#: Buckets whose bits are summed together, and occurrences that a task holds before it sends them.
-BLOCK, BUCKETS_HELD = 1 << 15, 1 << 20
+#: Buckets of a row of a filter, spans that buckets are summed in, and occurrences that a task holds before it sends them.
+BLOCK, SPANS, BUCKETS_HELD = 1 << 15, 1 << 10, 1 << 20
+#: The widest gap between two places of a span that 16 bits tell.
+WIDEST = (1 << 16) - 1
 #: Texts, and rows of keys, that a task takes over at once.
 TEXTS_AT_ONCE, ROWS_AT_ONCE = 256, 16
 #: Characters that are split into words at once.
@@ -161,21 +163,30 @@ def _chunks(batches):
 def _frequent(corpus: DataFrame, kept: list[Filter], bits: int, min_count: int) -> Filter:
     """The buckets of phrases one word longer than the last of ``kept`` speaks of that hold ``min_count`` occurrences.
 
-    Tasks send what they counted as one row per block of buckets, places and counts, so that a block is summed as an
-    array; only whether a count reaches ``min_count`` matters, so none goes beyond it.
+    Tasks send what they counted as one row per span of buckets, places and counts, so that a span is summed as an
+    array; only whether a count reaches ``min_count`` matters, so none goes beyond it. There are as many spans for
+    many buckets as for few, so that rows grow with the corpus, not with corpus times buckets.
     """
     words, kind = len(kept) + 2, np.min_scalar_type(min_count)
+    # A power of two of blocks, whose number is that of SPANS at most however many buckets there are.
+    span = max(BLOCK, (1 << bits) // SPANS)
 
     def count(batches):
         def rows(held):
             bucket, n = np.unique(np.concatenate(held), return_counts=True)
             n = np.minimum(n, min_count).astype(kind)
-            block, place = bucket // BLOCK, (bucket % BLOCK).astype(np.uint16)
-            cuts = np.r_[0, np.flatnonzero(block[1:] != block[:-1]) + 1, len(block)]
-            for lows in (cuts[i : i + 2049] for i in range(0, len(cuts) - 1, 2048)):
-                spans = list(zip(lows, lows[1:]))
-                columns = [[int(block[a]) for a, _ in spans], [place[a:b].tobytes() for a, b in spans], [n[a:b].tobytes() for a, b in spans]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()))], ["block", "places", "counts"])
+            of, gap = bucket // span, np.diff(bucket, prepend=0)
+            first = np.r_[True, of[1:] != of[:-1]]
+            gap[first] = bucket[first] % span
+            # A place is told by its distance to the one before; over wide gaps come places that count nothing.
+            steps = np.maximum(gap - 1, 0) // WIDEST
+            at = np.cumsum(steps + 1) - 1
+            gaps, counts = np.full(at[-1] + 1, WIDEST, np.uint16), np.zeros(at[-1] + 1, kind)
+            gaps[at], counts[at] = gap - steps * WIDEST, n
+            starts = (at - steps)[first].tolist()
+            spans = list(zip(starts, [*starts[1:], len(gaps)]))
+            columns = [of[first], [gaps[a:b].tobytes() for a, b in spans], [counts[a:b].tobytes() for a, b in spans]]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()))], ["span", "gaps", "counts"])
 
         held, size = [], 0
         for keys in _chunks(batches):
@@ -183,29 +194,31 @@ def _frequent(corpus: DataFrame, kept: list[Filter], bits: int, min_count: int)
             held.append(_bucket(_hash(*[keys[starts + i] for i in range(words)]), bits))
             size += len(starts)
             if size > BUCKETS_HELD:
-                yield from rows(held)
+                yield rows(held)
                 held, size = [], 0
         if size:
-            yield from rows(held)
+            yield rows(held)
 
     def add(batches):
-        at, total = None, np.zeros(BLOCK, np.uint64)
+        at, total = None, np.zeros(span, np.uint64)
 
         def row():
-            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([np.packbits(total >= min_count, bitorder="little").tobytes()], pa.binary())], ["block", "bitmap"])
+            bitmaps = np.packbits(total >= min_count, bitorder="little").reshape(-1, BLOCK // 8)
+            blocks = np.arange(len(bitmaps), dtype=np.int32) + at * len(bitmaps)
+            return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array([b.tobytes() for b in bitmaps], pa.binary())], ["block", "bitmap"])
 
         for batch in batches:
-            for block, places, counts in zip(*(batch.column(i) for i in range(3))):
-                if at is not None and block.as_py() != at:
+            for number, gaps, counts in zip(*(batch.column(i) for i in range(3))):
+                if at is not None and number.as_py() != at:
                     yield row()
                     total[:] = 0
-                at = block.as_py()
-                total[np.frombuffer(places.as_py(), np.uint16)] += np.frombuffer(counts.as_py(), kind)
+                at = number.as_py()
+                total[np.cumsum(np.frombuffer(gaps.as_py(), np.uint16), dtype=np.int64)] += np.frombuffer(counts.as_py(), kind)
         if at is not None:
             yield row()
 
-    found = corpus.mapInArrow(count, "block int, places binary, counts binary")
-    dealt = found.repartition("block").sortWithinPartitions("block")
+    found = corpus.mapInArrow(count, "span int, gaps binary, counts binary")
+    dealt = found.repartition("span").sortWithinPartitions("span")
     return Filter(materialize(dealt.mapInArrow(add, "block int, bitmap binary")), bits)
 
 

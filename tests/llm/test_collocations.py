@@ -114,3 +114,27 @@ def test_trie_counts():
     phrases = np.array([p for p in grams if sum(p) % 3], np.int64)
     trie = build(phrases)
     assert trie.width == 2 and trie.count(keys, np.arange(len(keys))).tolist() == [grams[tuple(p)] for p in phrases.tolist()]
+
+
+def test_rows_of_bucket_counts_do_not_follow_the_buckets(spark, monkeypatch):
+    keys = np.random.default_rng(5).integers(1, 1 << 62, 60)
+    keys = np.concatenate([np.tile(keys, 3), [0], np.random.default_rng(6).integers(1, 1 << 62, 4_000)])
+    corpus = spark.createDataFrame([(bytearray(keys.tobytes()),)], "keys binary").coalesce(1)
+    written, plain = [], c.materialize
+
+    def seen(df):
+        written.append(df.count())
+        return plain(df)
+
+    monkeypatch.setattr(c, "materialize", seen)
+    monkeypatch.setattr(c, "SPANS", 4, raising=False)
+    sent, repartition = [], type(corpus).repartition
+    monkeypatch.setattr(type(corpus), "repartition", lambda self, *a: (sent.append(self.count()), repartition(self, *a))[1])
+    for bits in (18, 23):
+        often = c._frequent(corpus, [], bits, 3)
+        starts = c._candidates(keys, [], 2)
+        bucket, n = np.unique(c._bucket(c._hash(keys[starts], keys[starts + 1]), bits), return_counts=True)
+        want = np.zeros(1 << bits, bool)
+        want[bucket[n >= 3]] = True
+        assert (np.unpackbits(often.flags.value, bitorder="little") == want).all() and want.any()
+    assert sent == [4, 4] and written == [8, 256]
