@@ -18,14 +18,16 @@ from kinfold.session import forget, materialize
 TRIE_PHRASES, BROADCAST_BYTES = 1 << 16, 24 << 20
 #: Buckets of a filter are a power of two, at least one for each word of the corpus, up to this power: 32 MB.
 MOST_BUCKET_BITS = 28
-#: Distinct words a task counts or remembers before it lets them go, and keys that it handles at once.
-WORDS_HELD, KEYS_AT_ONCE = 100_000, 1 << 15
+#: Distinct words a task counts or remembers before it lets them go, and keys of a row, up to the end of a piece.
+WORDS_HELD, KEYS_AT_ONCE = 100_000, 1 << 14
 #: Buckets of a row of a filter, spans that buckets are summed in, and occurrences that a task holds before it sends them.
 BLOCK, SPANS, BUCKETS_HELD = 1 << 15, 1 << 10, 1 << 20
 #: The widest gap between two places of a span that 16 bits tell.
 WIDEST = (1 << 16) - 1
 #: Texts, and rows of keys, that a task takes over at once.
 TEXTS_AT_ONCE, ROWS_AT_ONCE = 256, 16
+#: Of rows so long the writer must look at each: by itself it fills a page with a hundred, and pages are held whole.
+LONG_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1", "parquet.block.size": str(16 << 20)}
 #: Characters that are split into words at once.
 RUN = 1 << 20
 
@@ -120,11 +122,14 @@ def _encoded(docs: DataFrame, often: Filter) -> DataFrame:
         memory: dict[str, dict[bytes, int]] = {}
         held, size, distinct = [], 0, 0
 
-        def row():
+        def rows():
             keys = np.concatenate(held)
             # Of zeros in a row one says it all.
             keys = keys[np.r_[True, (keys[1:] != 0) | (keys[:-1] != 0)]]
-            return pa.RecordBatch.from_arrays([pa.array([keys.tobytes()], pa.binary())], ["keys"])
+            ends = np.flatnonzero(keys == 0) + 1
+            cuts = [0, *np.unique(ends[np.searchsorted(ends, np.arange(KEYS_AT_ONCE, len(keys), KEYS_AT_ONCE))]).tolist()]
+            cuts += [len(keys)] * (cuts[-1] < len(keys))
+            return pa.RecordBatch.from_arrays([pa.array([keys[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], ["keys"])
 
         for batch in batches:
             for group, texts in _by_group(batch):
@@ -142,10 +147,10 @@ def _encoded(docs: DataFrame, often: Filter) -> DataFrame:
                     memory.clear()
                     distinct = 0
                 if size >= KEYS_AT_ONCE:
-                    yield row()
+                    yield rows()
                     held, size = [], 0
         if held:
-            yield row()
+            yield rows()
         held, known = [], {}
         memory.clear()
         give_back()
@@ -154,9 +159,12 @@ def _encoded(docs: DataFrame, often: Filter) -> DataFrame:
 
 
 def _chunks(batches):
+    """The keys of the rows of a batch in a row, with a zero between rows."""
+    end = np.zeros(1, np.int64)
     for batch in batches:
-        for value in batch.column(0):
-            yield np.frombuffer(value.as_buffer(), np.int64)
+        rows = [np.frombuffer(value.as_buffer(), np.int64) for value in batch.column(0)]
+        if rows:
+            yield np.concatenate([part for row in rows for part in (row, end)][:-1])
     give_back()
 
 
@@ -362,7 +370,7 @@ def phrase_counts(spark: SparkSession, docs: DataFrame, words: DataFrame, longes
     blocks = keys.groupBy((F.col("bucket") / BLOCK).cast("int").alias("block")).agg(F.bitmap_construct_agg(F.col("bucket") % BLOCK).alias("bitmap"))
     often = Filter(blocks, bits)
     with arrow_rows(spark, TEXTS_AT_ONCE):
-        corpus = materialize(_encoded(docs, often))
+        corpus = materialize(_encoded(docs, often), **LONG_ROWS)
     kept: list[Filter] = []
     with arrow_rows(spark, ROWS_AT_ONCE):
         for _ in range(2, longest + 1):

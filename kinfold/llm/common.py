@@ -66,14 +66,16 @@ def open_store(uri: str) -> tuple[fs.FileSystem, str]:
 
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int):
-    """Within it, jobs hand Python at most so many rows at once: rows may be long, and a batch is held several times."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+    """Within it, jobs read Parquet and hand Python at most so many rows at once: rows may be long, and a batch is held several times."""
+    keys = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize"
+    before = [spark.conf.get(key) for key in keys]
+    for key in keys:
+        spark.conf.set(key, str(rows))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in zip(keys, before):
+            spark.conf.set(key, value)
 
 
 def give_back() -> None:

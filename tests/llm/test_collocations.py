@@ -7,8 +7,10 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 
 from kinfold.llm import collocations as c
+from kinfold.llm.common import open_store
 from kinfold.llm.oracles import ORACLES
 from kinfold.llm.tries import build
 from tests.llm.rows import awkward, frame
@@ -138,3 +140,32 @@ def test_rows_of_bucket_counts_do_not_follow_the_buckets(spark, monkeypatch):
         want[bucket[n >= 3]] = True
         assert (np.unpackbits(often.flags.value, bitorder="little") == want).all() and want.any()
     assert sent == [4, 4] and written == [8, 256]
+
+
+def test_rows_of_keys_are_short_and_end_with_a_piece(spark):
+    rng = random.Random(8)
+    text = "".join(rng.choice(["so", "it", "is", "now"]) + rng.choice([" "] * 9 + [". "]) for _ in range(150_000))
+    docs = spark.createDataFrame([("en", text), ("en", "so it is"), ("de", "")], "group string, text string").coalesce(1)
+    often = c.Filter(spark.createDataFrame([(i, bytearray(b"\xff" * (c.BLOCK // 8))) for i in range(8)], "block int, bitmap binary"), 18)
+    rows = [np.frombuffer(r.keys, np.int64) for r in c._encoded(docs, often).collect()]
+    assert len(rows) > 5 and max(map(len, rows)) < c.KEYS_AT_ONCE + 1_000
+    assert all(r[-1] == 0 for r in rows)
+    words = [w for w in c.words_of([text, "so it is"])]
+    ends = [a == b == c._END for a, b in zip(words, words[1:])] + [False]
+    assert sum(map(len, rows)) == len(words) - sum(ends)
+
+
+def test_pages_of_long_rows_are_small(spark):
+    def seen():
+        return spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")
+
+    before = seen()
+    with c.arrow_rows(spark, 16):
+        assert seen() == "16"
+    assert seen() == before
+    rng = np.random.default_rng(3)
+    rows = spark.createDataFrame([(bytearray(rng.bytes(1 << 17)),) for _ in range(200)], "keys binary").coalesce(1)
+    files = c.materialize(rows, **c.LONG_ROWS).inputFiles()
+    store, at = open_store(files[0])
+    found = pq.ParquetFile(at, filesystem=store).metadata
+    assert found.num_row_groups > 1 and max(found.row_group(i).total_byte_size for i in range(found.num_row_groups)) < 20 << 20
