@@ -6,6 +6,7 @@ import functools
 import uuid
 import zlib
 from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +54,16 @@ def encoder(path: str, pattern: str) -> WordMemory:
         pieces_of, letters = regex.compile(pattern).findall, byte_letters()
         tokenize = _tokenizer(path).model.tokenize
 
+        blank = chr(letters[32])
+
+        def spelled(piece: str) -> str:
+            # All that ASCII shows is its own letter but the blank.
+            return piece.replace(" ", blank) if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(letters)
+
         def solve(words: list[str]) -> list[bytes]:
-            return [array("i", [t.id for p in pieces_of(w) for t in tokenize(p.encode().decode("latin-1").translate(letters))]).tobytes() for w in words]
+            split = list(map(pieces_of, words))
+            ids = {p: array("i", [t.id for t in tokenize(spelled(p))]).tobytes() for p in set(chain.from_iterable(split))}
+            return [b"".join(map(ids.__getitem__, parts)) for parts in split]
 
         _encoders[path, pattern] = WordMemory(solve)
     return _encoders[path, pattern]
