@@ -24,10 +24,18 @@ WORDS_HELD, KEYS_AT_ONCE = 100_000, 1 << 14
 BLOCK, SPANS, BUCKETS_HELD = 1 << 15, 1 << 10, 1 << 20
 #: The widest gap between two places of a span that 16 bits tell.
 WIDEST = (1 << 16) - 1
-#: Texts, and rows of keys, that a task takes over at once.
-TEXTS_AT_ONCE, ROWS_AT_ONCE = 256, 16
+#: Buckets of the filters for each span that candidates are listed in, up to SPANS of these.
+BUCKETS_OF_SPAN = 1 << 17
+#: Words that have a number in all rows: 20 MB for each task.
+MOST_NUMBERED = 1 << 20
+#: Keys of a packed row, and candidates that a task holds before it looks for those it holds twice.
+PACKED_KEYS, LISTED_HELD = 1 << 16, 1 << 20
+#: Texts, and packed rows of keys, that a task takes over at once.
+TEXTS_AT_ONCE, ROWS_AT_ONCE = 256, 4
 #: Of rows so long the writer must look at each: by itself it fills a page with a hundred, and pages are held whole.
 LONG_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1", "parquet.block.size": str(16 << 20)}
+#: Numbers of words compress well.
+PACKED_ROWS = {**LONG_ROWS, "compression": "zstd"}
 #: Characters that are split into words at once.
 RUN = 1 << 20
 
@@ -115,8 +123,49 @@ class Filter:
         return (self.flags.value[bucket >> 3] >> (bucket & 7).astype(np.uint8)) & 1 == 1
 
 
-def _encoded(docs: DataFrame, often: Filter) -> DataFrame:
-    """``keys``: the corpus as 64-bit keys, zero for the end of a piece and for words that cannot be frequent."""
+class Numbers:
+    """Numbers of the most frequent words: 0 is key 0, then they come by falling frequency."""
+
+    def __init__(self, words: DataFrame, min_count: int, most: int):
+        """``words(key, n)``: as many of them as ``most`` allows pass the driver, of which those of one ``n`` all or none."""
+        sizes = words.filter(F.col("n") >= min_count).groupBy("n").agg(F.count(F.lit(1)).alias("words"))
+        upto = F.sum("words").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("n")))
+        # A corpus has far fewer different counts than words.
+        least = sizes.withColumn("upto", upto).filter(F.col("upto") <= most).agg(F.min("n")).first()[0]
+        found = words.filter(F.col("n") >= least if least is not None else F.lit(False)).select("key", "n").toArrow()
+        keys, n = (found.column(i).to_numpy() for i in range(2))
+        keys = np.r_[np.int64(0), keys[np.argsort(-n, kind="stable")]]
+        order = np.argsort(keys, kind="stable")
+        self.sent = words.sparkSession.sparkContext.broadcast((keys, keys[order], order.astype(np.uint32)))
+
+    def pack(self, keys: np.ndarray) -> tuple[bytes, bytes]:
+        """The distinct keys that have no number, and a number for each key; these are numbered behind the rest.
+
+        Numbers have four bytes, of which first come the lowest of all and last the highest: most of these are zero.
+        """
+        known, ordered, numbers = self.sent.value
+        words, at = np.unique(keys, return_inverse=True)
+        place = np.minimum(np.searchsorted(ordered, words), len(ordered) - 1)
+        rare = ordered[place] != words
+        number = numbers[place]
+        number[rare] = len(known) + np.arange(rare.sum(), dtype=np.uint32)
+        return words[rare].tobytes(), number[at].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+    def unpack(self, words: pa.Scalar, numbers: pa.Scalar) -> np.ndarray:
+        known, words = self.sent.value[0], np.frombuffer(words.as_buffer(), np.int64)
+        number = np.ascontiguousarray(np.frombuffer(numbers.as_buffer(), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+        keys = known[np.minimum(number, len(known) - 1)]
+        rare = number >= len(known)
+        keys[rare] = words[number[rare] - len(known)]
+        return keys
+
+
+def _encoded(docs: DataFrame, often: Filter, numbers: Numbers | None = None) -> DataFrame:
+    """``keys``: the corpus as 64-bit keys, zero for the end of a piece and for words that cannot be frequent.
+
+    With ``numbers`` it is ``words, numbers`` of longer rows, as :meth:`Numbers.pack` gives them.
+    """
+    at_once, columns = (PACKED_KEYS, ["words", "numbers"]) if numbers else (KEYS_AT_ONCE, ["keys"])
 
     def run(batches):
         memory: dict[str, dict[bytes, int]] = {}
@@ -127,9 +176,10 @@ def _encoded(docs: DataFrame, often: Filter) -> DataFrame:
             # Of zeros in a row one says it all.
             keys = keys[np.r_[True, (keys[1:] != 0) | (keys[:-1] != 0)]]
             ends = np.flatnonzero(keys == 0) + 1
-            cuts = [0, *np.unique(ends[np.searchsorted(ends, np.arange(KEYS_AT_ONCE, len(keys), KEYS_AT_ONCE))]).tolist()]
+            cuts = [0, *np.unique(ends[np.searchsorted(ends, np.arange(at_once, len(keys), at_once))]).tolist()]
             cuts += [len(keys)] * (cuts[-1] < len(keys))
-            return pa.RecordBatch.from_arrays([pa.array([keys[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], ["keys"])
+            found = [numbers.pack(keys[a:b]) if numbers else (keys[a:b].tobytes(),) for a, b in zip(cuts, cuts[1:])]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)], columns)
 
         for batch in batches:
             for group, texts in _by_group(batch):
@@ -146,7 +196,7 @@ def _encoded(docs: DataFrame, often: Filter) -> DataFrame:
                 if distinct > WORDS_HELD:
                     memory.clear()
                     distinct = 0
-                if size >= KEYS_AT_ONCE:
+                if size >= at_once:
                     yield rows()
                     held, size = [], 0
         if held:
@@ -155,20 +205,23 @@ def _encoded(docs: DataFrame, often: Filter) -> DataFrame:
         memory.clear()
         give_back()
 
-    return docs.select("group", "text").mapInArrow(run, "keys binary")
+    return docs.select("group", "text").mapInArrow(run, ", ".join(f"{c} binary" for c in columns))
 
 
-def _chunks(batches):
-    """The keys of the rows of a batch in a row, with a zero between rows."""
+def _chunks(batches, numbers: Numbers | None = None):
+    """The keys of the rows of a batch in a row, with a zero between rows; ``numbers`` are those they were packed with."""
     end = np.zeros(1, np.int64)
     for batch in batches:
-        rows = [np.frombuffer(value.as_buffer(), np.int64) for value in batch.column(0)]
+        if numbers:
+            rows = list(map(numbers.unpack, batch.column(0), batch.column(1)))
+        else:
+            rows = [np.frombuffer(value.as_buffer(), np.int64) for value in batch.column(0)]
         if rows:
             yield np.concatenate([part for row in rows for part in (row, end)][:-1])
     give_back()
 
 
-def _frequent(corpus: DataFrame, kept: list[Filter], bits: int, min_count: int) -> Filter:
+def _frequent(corpus: DataFrame, kept: list[Filter], bits: int, min_count: int, numbers: Numbers | None = None) -> Filter:
     """The buckets of phrases one word longer than the last of ``kept`` speaks of that hold ``min_count`` occurrences.
 
     Tasks send what they counted as one row per span of buckets, places and counts, so that a span is summed as an
@@ -197,7 +250,7 @@ def _frequent(corpus: DataFrame, kept: list[Filter], bits: int, min_count: int)
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()))], ["span", "gaps", "counts"])
 
         held, size = [], 0
-        for keys in _chunks(batches):
+        for keys in _chunks(batches, numbers):
             starts = _candidates(keys, kept, words)
             held.append(_bucket(_hash(*[keys[starts + i] for i in range(words)]), bits))
             size += len(starts)
@@ -244,22 +297,106 @@ def _candidates(keys: np.ndarray, kept: list[Filter], words: int) -> np.ndarray:
     return np.flatnonzero(good)
 
 
-def _listed(corpus: DataFrame, kept: list[Filter], words: int) -> DataFrame:
-    """``k1, k2, ..., place``: the distinct phrases that every filter lets pass; ``place`` deals them over tries."""
+def _thinned(found: np.ndarray) -> np.ndarray:
+    """The columns of ``found`` without repeats, but for those that another column with the same hash parts."""
+    order = np.argsort(_hash(*found[: len(_ODD)]), kind="stable")
+    found = found[:, order]
+    return found[:, np.r_[True, (found[:, 1:] != found[:, :-1]).any(0)]]
+
+
+def _ordered(found: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct columns of ``found`` and their ``of``, in order of both; a phrase comes before its continuations."""
+    order = np.lexsort([*found[::-1].view(np.uint64), of])
+    found, of = found[:, order], of[order]
+    new = np.r_[True, (found[:, 1:] != found[:, :-1]).any(0)]
+    return found[:, new], of[new]
+
+
+def _front_coded(found: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A byte for each column of ``found``, its keys that the column before has not, and their number.
+
+    The byte tells how many keys are shared with the column before (none where ``first``) and how many there are.
+    """
+    level = np.arange(len(found))
+    shared = np.r_[0, np.logical_and.accumulate(found[:, 1:] == found[:, :-1]).sum(0)]
+    shared[first] = 0
+    long = (found != 0).sum(0)
+    own = (level >= shared[:, None]) & (level < long[:, None])
+    return (shared << 4 | long).astype(np.uint8), found.T[own], long - shared
+
+
+def _front_decoded(marks: np.ndarray, keys: np.ndarray, words: int) -> np.ndarray:
+    """What :func:`_front_coded` was given."""
+    level, shared, long = np.arange(words), marks >> 4, marks & 15
+    found = np.zeros((len(marks), words), np.int64)
+    found[(level >= shared[:, None]) & (level < long[:, None])] = keys
+    for i in range(words - 1):
+        found[:, i] = found[np.maximum.accumulate(np.where(shared <= i, np.arange(len(marks)), 0)), i]
+    return np.ascontiguousarray(found.T)
+
+
+def _listed(corpus: DataFrame, kept: list[Filter], words: int, numbers: Numbers, spans: int) -> DataFrame:
+    """``k1, k2, ..., place``: the distinct phrases that every filter lets pass; ``place`` deals them over tries.
+
+    A task sends the phrases it has found as a row per span of places: in order, and without the words that a phrase
+    shares with the one before. The same phrase comes from many tasks, so this is most of what is shuffled.
+    """
     names = [f"k{i + 1}" for i in range(words)]
 
     def run(batches):
-        for keys in _chunks(batches):
+        held, size = [], 0
+
+        def rows():
+            found = np.concatenate(held, 1)
+            found, of = _ordered(found, _place(found[0], found[1]) % spans)
+            starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+            marks, keys, own = _front_coded(found, starts)
+            ends, at = [*starts[1:].tolist(), len(of)], np.r_[0, np.cumsum(own)]
+            parts = list(zip(starts.tolist(), ends))
+            columns = [of[starts], [marks[a:b].tobytes() for a, b in parts], *zip(*[numbers.pack(keys[at[a] : at[b]]) for a, b in parts])]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), *[pa.binary()] * 3))], ["span", "marks", "words", "numbers"])
+
+        for keys in _chunks(batches, numbers):
             for long in range(2, words + 1):
                 starts = _candidates(keys, kept, long)
-                hashes = _hash(*[keys[starts + i] for i in range(long)])
-                order = np.argsort(hashes, kind="stable")
-                found = np.stack([keys[starts[order] + i] if i < long else np.zeros(len(order), np.int64) for i in range(words)])
-                if found.shape[1]:
-                    found = found[:, np.r_[True, (found[:, 1:] != found[:, :-1]).any(0)]]
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, found), pa.array(_place(found[0], found[1]))], [*names, "place"])
+                if len(starts):
+                    held.append(_thinned(np.stack([keys[starts + i] if i < long else np.zeros(len(starts), np.int64) for i in range(words)])))
+                    size += held[-1].shape[1]
+            if size > LISTED_HELD:
+                held = [_thinned(np.concatenate(held, 1))]
+                size = held[0].shape[1]
+                if size > LISTED_HELD // 2:
+                    yield rows()
+                    held, size = [], 0
+        if size:
+            yield rows()
+
+    def merge(batches):
+        at, held, size, most = None, [], 0, LISTED_HELD
+
+        def row():
+            found = _thinned(np.concatenate(held, 1))
+            found, place = _ordered(found, _place(found[0], found[1]))
+            return pa.RecordBatch.from_arrays([*map(pa.array, found), pa.array(place)], [*names, "place"])
 
-    return corpus.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", place int").distinct()
+        for batch in batches:
+            for span, marks, rare, number in zip(*(batch.column(i) for i in range(4))):
+                if at is not None and span.as_py() != at:
+                    yield row()
+                    held, size, most = [], 0, LISTED_HELD
+                at = span.as_py()
+                held.append(_front_decoded(np.frombuffer(marks.as_buffer(), np.uint8), numbers.unpack(rare, number), words))
+                size += held[-1].shape[1]
+                if size > most:
+                    held = [_thinned(np.concatenate(held, 1))]
+                    size = held[0].shape[1]
+                    most = max(LISTED_HELD, 2 * size)
+        if at is not None:
+            yield row()
+
+    found = corpus.mapInArrow(run, "span int, marks binary, words binary, numbers binary")
+    dealt = found.repartition("span").sortWithinPartitions("span")
+    return dealt.mapInArrow(merge, ", ".join(f"{n} long" for n in names) + ", place int")
 
 
 def _place(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -302,7 +439,7 @@ def _tries(listed: DataFrame, words: int, tries: int) -> DataFrame:
     return dealt.mapInArrow(run, "trie int, width int, " + ", ".join(f"{n} binary" for n in _TRIE) + ", size long")
 
 
-def _counted(corpus: DataFrame, tries: DataFrame, words: int, count: int, most_bytes: int) -> DataFrame:
+def _counted(corpus: DataFrame, tries: DataFrame, words: int, count: int, most_bytes: int, numbers: Numbers) -> DataFrame:
     """``k1, k2, ..., n``: occurrences of each phrase of the tries.
 
     As many tries as fit ``most_bytes`` are broadcast at a time and take one pass over the corpus together.
@@ -327,7 +464,7 @@ def _counted(corpus: DataFrame, tries: DataFrame, words: int, count: int, most_b
 
         def run(batches, sent=sent):
             totals = {number: np.zeros(trie.phrases, np.int64) for number, trie in sent.value.items()}
-            for keys in _chunks(batches):
+            for keys in _chunks(batches, numbers):
                 starts = np.flatnonzero((keys[:-1] != 0) & (keys[1:] != 0))
                 of = _place(keys[starts], keys[starts + 1]) % count
                 for number, trie in sent.value.items():
@@ -368,14 +505,14 @@ def phrase_counts(spark: SparkSession, docs: DataFrame, words: DataFrame, longes
     bits = max(18, min(most_bits, int(total).bit_length()))
     keys = words.filter(F.col("n") >= min_count).select(F.shiftrightunsigned("key", 64 - bits).alias("bucket"))
     blocks = keys.groupBy((F.col("bucket") / BLOCK).cast("int").alias("block")).agg(F.bitmap_construct_agg(F.col("bucket") % BLOCK).alias("bitmap"))
-    often = Filter(blocks, bits)
+    often, numbers = Filter(blocks, bits), Numbers(words, min_count, MOST_NUMBERED)
     with arrow_rows(spark, TEXTS_AT_ONCE):
-        corpus = materialize(_encoded(docs, often), **LONG_ROWS)
+        corpus = materialize(_encoded(docs, often, numbers), **PACKED_ROWS)
     kept: list[Filter] = []
     with arrow_rows(spark, ROWS_AT_ONCE):
         for _ in range(2, longest + 1):
-            kept.append(_frequent(corpus, kept, bits, min_count))
-        listed = materialize(_listed(corpus, kept, longest))
+            kept.append(_frequent(corpus, kept, bits, min_count, numbers))
+        listed = materialize(_listed(corpus, kept, longest, numbers, max(1, min(SPANS, (1 << bits) // BUCKETS_OF_SPAN))))
     for filter_ in (often, *kept):
         filter_.flags.destroy()
     candidates = listed.count()
@@ -384,7 +521,8 @@ def phrase_counts(spark: SparkSession, docs: DataFrame, words: DataFrame, longes
     tries = max(1, -(-candidates // phrases))
     built = materialize(_tries(listed, longest, tries))
     with arrow_rows(spark, ROWS_AT_ONCE):
-        found = materialize(_counted(corpus, built, longest, tries, most_bytes).filter(F.col("n") >= min_count))
+        found = materialize(_counted(corpus, built, longest, tries, most_bytes, numbers).filter(F.col("n") >= min_count))
+    numbers.sent.destroy()
     forget(corpus, listed, built)
     return found
 

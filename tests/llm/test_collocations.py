@@ -169,3 +169,42 @@ def test_pages_of_long_rows_are_small(spark):
     store, at = open_store(files[0])
     found = pq.ParquetFile(at, filesystem=store).metadata
     assert found.num_row_groups > 1 and max(found.row_group(i).total_byte_size for i in range(found.num_row_groups)) < 20 << 20
+
+
+def test_listed_phrases_are_sent_without_what_they_share(spark, monkeypatch):
+    """Tasks that hold the same phrases send few bytes for each; all of these come back, each once."""
+    rng = np.random.default_rng(9)
+    keys = rng.integers(1, 1 << 62, 300)
+    keys[::3] *= -1
+    rows = [np.r_[rng.choice(keys, 3_000) * (rng.random(3_000) > 0.05), 0] for _ in range(12)]
+    want = {tuple(r[i : i + k].tolist()) + (0,) * (3 - k) for r in rows for k in (2, 3) for i in range(len(r) - k + 1) if (r[i : i + k] != 0).all()}
+    words = spark.createDataFrame([(int(k), 20 + i) for i, k in enumerate(keys)], "key long, n long")
+    all_pass = [c.Filter(spark.createDataFrame([(i, bytearray(b"\xff" * (c.BLOCK // 8))) for i in range(8)], "block int, bitmap binary"), 18)] * 2
+    for most, held in ((1 << 20, 1 << 20), (100, 500), (0, 1 << 20)):
+        monkeypatch.setattr(c, "LISTED_HELD", held)
+        numbers = c.Numbers(words, 10, most)
+        assert len(numbers.sent.value[0]) == min(most, 300) + 1
+        corpus = spark.createDataFrame([tuple(map(bytearray, numbers.pack(r))) for r in rows], "words binary, numbers binary").repartition(4)
+        sent, repartition = [], type(corpus).repartition
+        with monkeypatch.context() as m:
+            m.setattr(type(corpus), "repartition", lambda self, *a: (sent.append(self), repartition(self, *a))[1])
+            got = c._listed(corpus, all_pass, 3, numbers, 8)
+        found = [(r.k1, r.k2, r.k3) for r in got.collect()]
+        assert len(found) == len(want) and set(found) == want
+        assert all(r.place == c._place(np.array([r.k1]), np.array([r.k2]))[0] for r in got.limit(50).collect())
+        if held > 500:
+            bytes_ = sent[0].selectExpr("sum(length(marks) + length(words) + length(numbers))").first()[0]
+            assert bytes_ < len(rows) * 6_000 * (10 if most else 30)
+
+
+def test_rows_of_numbers_give_the_keys_back(spark):
+    text = " ".join(f"w{i % 700}." if i % 9 == 0 else f"w{i % 700}" for i in range(100_000))
+    docs = spark.createDataFrame([("en", text), ("de", "w1 w2. w3"), ("en", None)], "group string, text string").coalesce(1)
+    words = c.word_counts(docs)
+    often = c.Filter(spark.createDataFrame([(i, bytearray(b"\xff" * (c.BLOCK // 8))) for i in range(8)], "block int, bitmap binary"), 18)
+    plain = np.concatenate([np.frombuffer(r.keys, np.int64) for r in c._encoded(docs, often).collect()])
+    for most in (1 << 20, 200, 0):
+        numbers = c.Numbers(words, 10, most)
+        packed = c._encoded(docs, often, numbers).toArrow()
+        back = np.concatenate(list(map(numbers.unpack, packed.column(0), packed.column(1))))
+        assert (back == plain).all() and sum(packed.column(i).nbytes for i in range(2)) < 6 * len(plain)
