@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,6 +18,10 @@ from kinfold.session import forget, materialize
 STAR_ROWS = 4_000
 #: Documents whose signatures are looked at to lay out the shuffle of all signatures.
 PROBE_DOCS = 20_000
+#: Sets beside the same first set whose differences meet in one task; more are dealt over several by the differences.
+REST_ROWS = 1_000
+#: Pairs that a task holds before it lets them go.
+PAIRS_HELD = 1 << 18
 #: Words of 64 bits of a set's parity sketch.
 SKETCH = 8
 #: Copies of one set, and documents of the probe with one signature, that never count as many.
@@ -186,6 +191,51 @@ def _compared(docs: DataFrame, keepers: DataFrame, pairs: DataFrame, words: int,
     return ordered.mapInArrow(run, "low long, class long, linked boolean, n long, apart long, delta array<int>, sketch array<bigint>")
 
 
+def _differing_alike(stars: pa.Table, percent: int):
+    """``low, class`` of the pairs within a ``low, part`` of ``stars`` that share a difference and may link."""
+    low, part, name, root, n, apart = (stars.column(i).to_numpy() for i in range(6))
+    sketches = stars.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH)
+    delta = stars.column("delta").combine_chunks()
+    long = pc.list_value_length(delta).to_numpy()
+    row = np.repeat(np.arange(len(low)), long)
+    at = np.arange(len(row)) - np.repeat(np.cumsum(long) - long, long)
+    some = stars.column("at").combine_chunks()
+    if some.null_count < len(some):
+        at[np.repeat(some.is_valid().to_numpy(zero_copy_only=False), long)] = some.flatten().to_numpy()
+    star = np.cumsum(np.r_[0, (low[1:] != low[:-1]) | (part[1:] != part[:-1])])
+    # Equal differences of one star become neighbours.
+    key = star[row] << 32 | delta.flatten().to_numpy().view(np.uint32).astype(np.int64)
+    order = np.argsort(key)
+    key, row, left = key[order], row[order], apart[row[order]] - at[order]
+    found, size = [], 0
+
+    def pairs():
+        both = np.unique(np.concatenate(found, 1), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["low", "class"])
+
+    first, step = np.arange(len(key)), 0
+    while len(first):
+        step += 1
+        first = first[first + step < len(key)]
+        first = first[key[first] == key[first + step]]
+        a, b = row[first], row[first + step]
+        sizes = n[a] + n[b]
+        reach = 2 * np.minimum(left[first], left[first + step]) - apart[a] - apart[b]
+        may = (name[a] != name[b]) & (root[a] != root[b]) & (n[a] * 100 >= n[b] * percent) & (n[b] * 100 >= n[a] * percent)
+        may &= reach * (100 + percent) + (100 - percent) * sizes >= 0
+        a, b, sizes = a[may], b[may], sizes[may]
+        differ = np.bitwise_count(sketches[a] ^ sketches[b]).sum(1, dtype=np.int64)
+        may = differ * (100 + percent) <= (100 - percent) * sizes
+        a, b = name[a[may]], name[b[may]]
+        found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+        size += len(a)
+        if size > PAIRS_HELD:
+            yield pairs()
+            found, size = [], 0
+    if size:
+        yield pairs()
+
+
 def _rest_pairs(compared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Pairs ``low, class`` of different components that may still link, from what they differ in from one ``low``.
 
@@ -196,26 +246,35 @@ def _rest_pairs(compared: DataFrame, roots: DataFrame, percent: int) -> DataFram
     shared ones; what cannot reach ``(|D1| + |D2| - k) / 2`` is never formed, nor is a pair whose sketches differ in
     more than k bits. So texts that have much in common with ``low``, but each differ from it in their own way, or
     were changed in the same places by different words, do not meet.
+
+    A set crosses the shuffle once with all its differences; of a large star each part gets some of these.
     """
     placed = compared.drop("linked").join(roots, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("component", "class"))
-    mixed = placed.groupBy("low").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter(F.col("least") < F.col("most")).select("low")
-    bits = [F.get("sketch", F.lit(i)).alias(f"bits{i}") for i in range(SKETCH)]
-    rows = placed.join(mixed, "low", "left_semi").select("low", "class", "root", "n", "apart", *bits, F.posexplode("delta").alias("at", "element"))
-    a, b = rows.alias("a"), rows.alias("b")
-    reach = F.least(F.col("a.apart") - F.col("a.at"), F.col("b.apart") - F.col("b.at"))
-    sizes = F.col("a.n") + F.col("b.n")
-    differ = sum((F.bit_count(F.col(f"a.bits{i}").bitwiseXOR(F.col(f"b.bits{i}"))) for i in range(SKETCH)), F.lit(0))
-    may = (
-        (F.col("a.low") == F.col("b.low"))
-        & (F.col("a.element") == F.col("b.element"))
-        & (F.col("a.class") < F.col("b.class"))
-        & (F.col("a.root") != F.col("b.root"))
-        & (F.col("a.n") * 100 >= F.col("b.n") * percent)
-        & (F.col("b.n") * 100 >= F.col("a.n") * percent)
-        & ((2 * reach - F.col("a.apart") - F.col("b.apart")) * (100 + percent) + (100 - percent) * sizes >= 0)
-        & (differ * (100 + percent) <= (100 - percent) * sizes)
-    )
-    return a.join(b, may).select(F.col("a.class").alias("low"), F.col("b.class").alias("class")).distinct()
+    mixed = placed.groupBy("low").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("rows")).filter(F.col("least") < F.col("most"))
+    rows = placed.filter(F.size("delta") > 0).join(mixed.select("low", F.ceil(F.col("rows") / REST_ROWS).cast("int").alias("parts")), "low")
+    rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    # Null stands for all places.
+    places = F.expr("if(parts > 1, filter(sequence(0, size(delta) - 1), i -> pmod(hash(delta[i]), parts) = part), null)")
+    rows = rows.withColumn("at", places).filter("at IS NULL OR size(at) > 0")
+    rows = rows.select("low", "part", "class", "root", "n", "apart", "sketch", F.expr("if(at IS NULL, delta, transform(at, i -> delta[i]))").alias("delta"), "at")
+    dealt = rows.repartition("low", "part").sortWithinPartitions("low", "part")
+
+    def run(batches):
+        held = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            low, part = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cut = int(np.flatnonzero(np.r_[True, (low[1:] != low[:-1]) | (part[1:] != part[:-1])])[-1])
+            # The last star may go on in the next batch.
+            if cut or held and (held[-1].column(0)[-1], held[-1].column(1)[-1]) != (batch.column(0)[0], batch.column(1)[0]):
+                yield from _differing_alike(pa.Table.from_batches([*held, batch.slice(0, cut)]), percent)
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield from _differing_alike(pa.Table.from_batches(held), percent)
+
+    return dealt.mapInArrow(run, "low long, class long").distinct()
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, percent: int = 80, share: float = 0.3) -> DataFrame:

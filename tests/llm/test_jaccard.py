@@ -142,3 +142,37 @@ def test_helpers():
     assert len(shingle_set("A  b\tC d", 4)) == 1 and (shingle_set("A  b\tC d", 4) == shingle_set("a B c\nD", 4)).all()
     assert len(shingle_set(None, 4)) == len(shingle_set(" \n", 4)) == 0
     assert [j for j, _, _ in levels_of(10, 85)] == [levels_of(10, 85)[0][0], levels_of(10, 85)[0][0] + 1]
+
+
+def test_sets_cross_the_shuffle_with_their_differences_at_once(spark, monkeypatch):
+    """A row per set and part of its star, not one per difference; the pairs are those that the rule names."""
+    rng = np.random.default_rng(2)
+    sets = []
+    for name in range(160):
+        apart = int(rng.integers(8, 40))
+        delta = rng.permutation(60)[: int(rng.integers(0, min(apart, 25)))] - 30
+        sketch = np.array([rng.integers(0, 8), *[0] * (jaccard.SKETCH - 2), -1 if rng.random() < 0.1 else 0], np.int64)
+        sets.append((int(rng.integers(0, 4)), name * (-1) ** name, True, int(rng.integers(90, 130)), apart, delta.tolist(), sketch.tolist()))
+    compared = spark.createDataFrame(sets, "low long, class long, linked boolean, n long, apart long, delta array<int>, sketch array<bigint>").repartition(3)
+    root = {s[1]: int(rng.integers(0, 5)) for s in sets[:100]}
+    roots = spark.createDataFrame(list(root.items()), "node long, component long")
+    want, bound = set(), (100 - 85) / (100 + 85)
+    for la, a, _, na, da, xa, sa in sets:
+        for lb, b, _, nb, db, xb, sb in sets:
+            if la != lb or a >= b or root.get(a, a) == root.get(b, b) or na * 100 < nb * 85 or nb * 100 < na * 85:
+                continue
+            if sum(bin((x ^ y) & (2**64 - 1)).count("1") for x, y in zip(sa, sb)) > bound * (na + nb):
+                continue
+            if any(x == y and da + db - 2 * min(da - i, db - j) <= bound * (na + nb) for i, x in enumerate(xa) for j, y in enumerate(xb)):
+                want.add((a, b))
+    assert len(want) > 100
+    repartition = type(compared).repartition
+    for most in (1_000, 3):
+        sent = []
+        with monkeypatch.context() as m:
+            m.setattr(jaccard, "REST_ROWS", most, raising=False)
+            m.setattr(jaccard, "PAIRS_HELD", most, raising=False)
+            m.setattr(type(compared), "repartition", lambda self, *a: (sent.append(self.count()), repartition(self, *a))[1])
+            got = [tuple(r) for r in jaccard._rest_pairs(compared, roots, 85).collect()]
+        assert len(got) == len(want) and set(got) == want
+        assert len(sent) == 1 and sent[0] <= len(sets) * (1 if most > 3 else 25)

@@ -40,3 +40,12 @@ def test_run(spark, folder):
     assert {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(found.columns)
     assert 100 < found.count() <= spark.read.parquet(f"{folder}/documents.parquet").count()
     assert len(QUERIES) == 13 and len(corpus_pipeline.STAGES) == 5
+
+
+def test_language_leaves_no_texts_behind(spark, folder):
+    """Of what it judged, only the names of the rows that go are kept until its result is written."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    odd = spark.createDataFrame([(docs.first()["doc_id"], "123", None), (None, "...", "en"), (None, None, None), (-1, "the and of", "en")], "doc_id long, text string, lang string")
+    made = corpus_pipeline.language(spark, docs.select("doc_id", "text", "lang").union(odd), folder)
+    assert spark.read.parquet(made._written_to).columns == ["doc_id", "text_hash"]
+    assert made.count() == docs.count() + 1 and made.columns == ["doc_id", "text", "lang"]
