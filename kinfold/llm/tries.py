@@ -32,27 +32,28 @@ class Trie:
     def root(self) -> int:
         return len(self.base) - 1
 
-    def count(self, keys: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Occurrences of each phrase at the places ``starts`` of ``keys``; key 0 belongs to no phrase.
+    def count(self, keys: np.ndarray, starts: np.ndarray, times: np.ndarray | None = None) -> np.ndarray:
+        """Occurrences of each phrase at the places ``starts`` of ``keys``, each ``times`` (1); key 0 belongs to no phrase.
 
         The states of all places advance together, digit by digit; those without a transition fall out.
         """
         counts = np.zeros(self.phrases, np.int64)
+        times = np.ones(len(starts), np.int64) if times is None else times
         states = np.full(len(starts), self.root, np.int64)
         for word in range(self.words):
             inside = starts + word < len(keys)
-            starts, states = starts[inside], states[inside]
+            starts, states, times = starts[inside], states[inside], times[inside]
             found = keys[starts + word]
             place = np.minimum(np.searchsorted(self.vocabulary, found), len(self.vocabulary) - 1)
             known = self.vocabulary[place] == found
-            starts, states, place = starts[known], states[known], place[known]
+            starts, states, place, times = starts[known], states[known], place[known], times[known]
             for digit in reversed(range(self.width)):
                 cells = self.base[states] + (place // DIGITS**digit) % DIGITS
                 goes = self.check[cells] == states
-                starts, states, place = starts[goes], cells[goes], place[goes]
+                starts, states, place, times = starts[goes], cells[goes], place[goes], times[goes]
             if word:
                 ends = self.accept[states]
-                counts += np.bincount(ends[ends >= 0], minlength=self.phrases)
+                np.add.at(counts, ends[ends >= 0], times[ends >= 0])
         return counts
 
 

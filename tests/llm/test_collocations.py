@@ -208,3 +208,39 @@ def test_rows_of_numbers_give_the_keys_back(spark):
         packed = c._encoded(docs, often, numbers).toArrow()
         back = np.concatenate(list(map(numbers.unpack, packed.column(0), packed.column(1))))
         assert (back == plain).all() and sum(packed.column(i).nbytes for i in range(2)) < 6 * len(plain)
+
+
+def test_more_tries_take_no_more_passes(spark, monkeypatch):
+    """The corpus is gone over once for all phrases, however many tries count them and however little is held."""
+    rows = corpus(10, 200)
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    written, plain, built, build_ = [], c.materialize, spark.sparkContext.accumulator(0), c.build
+
+    def counted(phrases):
+        built.add(1)
+        return build_(phrases)
+
+    monkeypatch.setattr(c, "materialize", lambda df, **options: (written.append(df.columns), plain(df, **options))[1])
+    monkeypatch.setattr(c, "build", counted)
+    found = []
+    for limits in ({}, {"phrases": 5, "most_bytes": 1}):
+        before, had = len(written), built.value
+        found.append((check(spark, df, rows, min_count=3, **limits), len(written) - before, built.value - had))
+    assert found[0][:2] == found[1][:2] and found[1][2] > 10 * found[0][2] > 0
+
+
+def test_counts_come_back_and_phrases_count_where_longer_ones_go_on(spark):
+    rng = np.random.default_rng(4)
+    for most in (1, 255, 256, 70_000, 1 << 40):
+        n = np.r_[rng.integers(1, most, 50, endpoint=True), most]
+        assert (c._unplaned(np.frombuffer(c._planes(n), np.uint8), len(n)) == n).all()
+    keys = rng.integers(1, 40, 20_000) * (rng.random(20_000) > 0.1)
+    grams = Counter()
+    for k in (2, 3):
+        grams.update(tuple(keys[i : i + k].tolist()) + (0,) * (3 - k) for i in range(len(keys) - k + 1) if (keys[i : i + k] != 0).all())
+    numbers = c.Numbers(spark.createDataFrame([(k, 50) for k in range(1, 30)], "key long, n long"), 10, 100)
+    packed = [tuple(map(bytearray, numbers.pack(part))) for part in np.split(np.r_[keys, 0], [i + 1 for i in np.flatnonzero(keys == 0)[::200].tolist()])]
+    all_pass = [c.Filter(spark.createDataFrame([(i, bytearray(b"\xff" * (c.BLOCK // 8))) for i in range(8)], "block int, bitmap binary"), 18)] * 2
+    for phrases, most_bytes in ((1 << 16, 1 << 20), (30, 1)):
+        listed = c._listed(spark.createDataFrame(packed, "words binary, numbers binary").repartition(3), all_pass, 3, numbers, 4, phrases, most_bytes)
+        assert {(r.k1, r.k2, r.k3): r.n for r in listed.collect()} == grams
